@@ -52,10 +52,12 @@ def join_events_mentions(export: DataFrame, mentions: DataFrame) -> DataFrame:
 
 
 def _clean_event_rows(joined: DataFrame, language: str = "MentionDocTranslationInfo",
-                      language_is_code: bool = False) -> DataFrame:
+                      language_is_code: bool = False, extra: list[str] | None = None
+                      ) -> DataFrame:
     parts = X.event_date_parts("Day")
     lang = F.col(language) if language_is_code else X.source_language(language)
     rows = joined.select(
+        *(extra or []),
         F.col("GlobalEventID").alias("global_event_id"),
         parts["event_year"].alias("event_year"),
         parts["event_month"].alias("event_month"),
@@ -77,7 +79,8 @@ def event_mentions(export: DataFrame, mentions: DataFrame) -> DataFrame:
 
 
 def latest_event_mentions(export: DataFrame, mentions: DataFrame,
-                          with_order_columns: bool = False) -> DataFrame:
+                          with_order_columns: bool = False,
+                          batch_col: str | None = None) -> DataFrame:
     """One row per event: the batch's ``event_mentions`` after the keyed upsert.
 
     Equal to ``latest_per_key(event_mentions(...))`` but cheaper and skew-proof:
@@ -85,26 +88,37 @@ def latest_event_mentions(export: DataFrame, mentions: DataFrame,
     the join (the ranking uses mention columns only, and the row filter uses
     event columns only, so the two commute).  The join then sees at most one
     mention per event, so a hot event no longer skews it.
+
+    ``batch_col`` (an integer batch sequence present on both inputs) processes
+    many batches in one job: the join stays inside a batch, as when each batch
+    is processed on its own, and the highest batch wins per key, as when the
+    batches are upserted one after another.
     """
+    batch = [batch_col] if batch_col else []
     m = mentions.select(
-        "GlobalEventID", "MentionTimeDate", "MentionIdentifier",
+        *batch, "GlobalEventID", "MentionTimeDate", "MentionIdentifier",
         X.source_language("MentionDocTranslationInfo").alias("source_language"))
-    best = latest_per_key(m, "GlobalEventID",
+    best = latest_per_key(m, batch + ["GlobalEventID"],
                           [("MentionTimeDate", "desc"), ("MentionIdentifier", "asc"),
                            ("source_language", "asc")])
-    e = export.select(*EXPORT_FIELDS)
-    joined = e.join(best, on="GlobalEventID", how="inner")
-    rows = _clean_event_rows(joined, language="source_language", language_is_code=True)
-    # A second pass only matters when an event row is duplicated in the batch;
-    # the join output is already partitioned by the key, so it adds no shuffle.
+    e = export.select(*batch, *EXPORT_FIELDS)
+    joined = e.join(best, on=batch + ["GlobalEventID"], how="inner")
+    rows = _clean_event_rows(joined, language="source_language", language_is_code=True,
+                             extra=batch)
+    # A second pass only matters when an event row is duplicated in the batch
+    # (or for several batches); the join output is already partitioned by the
+    # key, so it adds no shuffle for a single batch.
     cols = EVENT_MENTIONS_COLUMNS + (MENTION_ORDER_COLUMNS if with_order_columns else [])
-    return latest_per_key(rows, "global_event_id", EVENT_MENTIONS_ORDER, cols)
+    order = [(batch_col, "desc")] + EVENT_MENTIONS_ORDER if batch_col else EVENT_MENTIONS_ORDER
+    return latest_per_key(rows, "global_event_id", order, cols)
 
 
-def articles(gkg: DataFrame) -> DataFrame:
+def articles(gkg: DataFrame, batch_col: str | None = None) -> DataFrame:
     """Cleaned article rows of one batch (serving columns, before the upsert)."""
     parts = X.article_date_parts("DATE")
+    batch = [batch_col] if batch_col else []
     rows = gkg.select(
+        *batch,
         F.col("GKGRECORDID").alias("global_event_id"),
         F.col("SourceCommonName").alias("internet_source"),
         parts["event_year"].alias("event_year"),
@@ -115,12 +129,12 @@ def articles(gkg: DataFrame) -> DataFrame:
         F.col("Locations").alias("countries_name"),
         X.first_tone("V2Tone").alias("event_tone"),
     )
-    rows = X.blank_to_null(rows)
+    rows = X.blank_to_null(rows, ARTICLES_COLUMNS + ["countries_name"])
     rows = rows.dropna(how="any", subset=ARTICLE_REQUIRED)
     # Country list computed once, then indexed (CollapseProject keeps it shared).
     rows = rows.withColumn("countries", X.location_countries("countries_name"))
     return rows.select(
-        "global_event_id", "internet_source", "event_year", "event_month", "event_day",
+        *batch, "global_event_id", "internet_source", "event_year", "event_month", "event_day",
         X.first_theme("event_themes").alias("event_themes"),
         "person_list", "event_tone",
         F.get("countries", F.lit(0)).alias("first_country"),
@@ -128,6 +142,8 @@ def articles(gkg: DataFrame) -> DataFrame:
     )
 
 
-def latest_articles(gkg: DataFrame) -> DataFrame:
-    """One row per article id (keyed upsert of one batch)."""
-    return latest_per_key(articles(gkg), "global_event_id", ARTICLES_ORDER, ARTICLES_COLUMNS)
+def latest_articles(gkg: DataFrame, batch_col: str | None = None) -> DataFrame:
+    """One row per article id (keyed upsert of one batch; with ``batch_col``,
+    of several batches in order, the highest batch winning)."""
+    order = [(batch_col, "desc")] + ARTICLES_ORDER if batch_col else ARTICLES_ORDER
+    return latest_per_key(articles(gkg, batch_col), "global_event_id", order, ARTICLES_COLUMNS)

@@ -41,22 +41,24 @@ def _rank_fields(df: DataFrame, order: Sequence[tuple[str, str]]) -> list[Column
     return fields
 
 
-def latest_per_key(df: DataFrame, key: str, order: Sequence[tuple[str, str]],
+def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[tuple[str, str]],
                    columns: Sequence[str] | None = None) -> DataFrame:
     """One row per ``key``: the first row under ``order`` (then all other columns, asc).
 
-    ``order`` is a list of ``(column, 'asc' | 'desc')``; nulls always rank last.
-    Remaining columns are appended to the ranking so the winner is unique
-    whatever the partitioning.  Returns ``columns`` (default: all of ``df``).
+    ``key`` is a column name or a list of names.  ``order`` is a list of
+    ``(column, 'asc' | 'desc')``; nulls always rank last.  Remaining columns are
+    appended to the ranking so the winner is unique whatever the partitioning.
+    Returns ``columns`` (default: all of ``df``).
     """
+    keys = [key] if isinstance(key, str) else list(key)
     columns = list(columns or df.columns)
     ranked = [c for c, _ in order]
-    rest = [(c, "asc") for c in df.columns if c != key and c not in ranked]
+    rest = [(c, "asc") for c in df.columns if c not in keys and c not in ranked]
     full_order = list(order) + rest
-    payload = [F.col(c).alias(f"p_{c}") for c in columns if c != key]
+    payload = [F.col(c).alias(f"p_{c}") for c in columns if c not in keys]
     winner = F.min(F.struct(*_rank_fields(df, full_order), *payload)).alias("w")
-    out = df.groupBy(key).agg(winner)
-    return out.select(*[F.col(key) if c == key else F.col(f"w.p_{c}").alias(c)
+    out = df.groupBy(*keys).agg(winner)
+    return out.select(*[F.col(c) if c in keys else F.col(f"w.p_{c}").alias(c)
                         for c in columns])
 
 

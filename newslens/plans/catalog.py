@@ -8,6 +8,7 @@ matching rows (see ``FIXTURES.md``).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import partial
 
@@ -19,8 +20,13 @@ from newslens.operators import prepare
 from newslens.plans import oracle
 from newslens.plans import queries as Q
 from newslens.schemas import EXPORT_SCHEMA, GKG_SCHEMA, MENTIONS_SCHEMA
-from newslens.sources.fixtures import fixture
+from newslens.plans import ingest
+from newslens.sources import archives, manifest, serving
+from newslens.sources.fixtures import (LINE_FIXTURES, TWO_WINDOW_SPLITS, TWO_WINDOW_STARTS,
+                                       fixture, window_lines, write_archives)
 from newslens.sources.lines import parse_lines
+from newslens.session import scratch_path
+from newslens.streaming.ingest_stream import start_ingest_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -126,6 +132,92 @@ def _parse(feed_lines: str, schema, fields: list[str]) -> QueryFn:
     return run
 
 
+# --- manifest and windows --------------------------------------------------------
+MANIFEST_WINDOW = (dt.datetime(2024, 1, 5, 0, 0, 0), dt.datetime(2024, 1, 5, 11, 45, 0),
+                   "export.CSV.zip")
+FILES_PER_WINDOW_DAYS = (dt.date(2024, 1, 5), dt.date(2024, 1, 7))
+TS_TEXT = "yyyy-MM-dd HH:mm:ss"
+
+
+def _entries(spark, sf_dir):
+    return manifest.manifest_entries(fixture(spark, sf_dir, "raw_manifest"))
+
+
+def _manifest_window(spark, sf_dir):
+    w = manifest.manifest_window(_entries(spark, sf_dir), *MANIFEST_WINDOW)
+    return w.select("url", "file_name", "file_key",
+                    F.date_format("file_ts", TS_TEXT).alias("file_time"))
+
+
+def _manifest_by_feed(spark, sf_dir):
+    return manifest.manifest_by_feed(_entries(spark, sf_dir))
+
+
+def _window_text(df):
+    return df.select(F.date_format("window_start", TS_TEXT).alias("window_start"),
+                     F.date_format("window_end", TS_TEXT).alias("window_end"),
+                     *[c for c in df.columns if c not in ("window_start", "window_end")])
+
+
+def _ingest_windows(spark, sf_dir):
+    return _window_text(ingest.windows_from_entries(_entries(spark, sf_dir)))
+
+
+def _files_per_window(spark, sf_dir):
+    windows = ingest.half_day_windows(spark, *FILES_PER_WINDOW_DAYS)
+    return _window_text(ingest.files_per_window(_entries(spark, sf_dir), windows))
+
+
+# --- two windows, upserted one after the other into written tables ---------------
+def _two_window(table: str) -> QueryFn:
+    def run(spark, sf_dir):
+        path = scratch_path(spark, f"two-window-{table}")
+        for b, pred in TWO_WINDOW_SPLITS.items():
+            if table == "event_mentions":
+                batch = prepare.latest_event_mentions(
+                    fixture(spark, sf_dir, "raw_export").filter(F.expr(pred["raw_export"])),
+                    fixture(spark, sf_dir, "raw_mentions").filter(F.expr(pred["raw_mentions"])))
+            else:
+                batch = prepare.latest_articles(
+                    fixture(spark, sf_dir, "raw_gkg").filter(F.expr(pred["raw_gkg"])))
+            serving.upsert_serving(spark, batch, path, table)
+        return serving.read_serving(spark, path, table)
+    return run
+
+
+def _landing(spark, sf_dir) -> str:
+    """Landing directory with the two windows of all three feeds as zip archives."""
+    landing = scratch_path(spark, "landing")
+    for b, start in TWO_WINDOW_STARTS.items():
+        for feed, (_, _, suffix) in LINE_FIXTURES.items():
+            write_archives(window_lines(spark, sf_dir, feed, b), landing, start, suffix).collect()
+    return landing
+
+
+def _stream(table: str) -> QueryFn:
+    def run(spark, sf_dir):
+        landing = _landing(spark, sf_dir)
+        em_path, art_path = (scratch_path(spark, "stream-event_mentions"),
+                             scratch_path(spark, "stream-articles"))
+        q = start_ingest_stream(spark, landing, em_path, art_path,
+                                scratch_path(spark, "stream-checkpoint"))
+        q.awaitTermination()
+        return serving.read_serving(spark, em_path if table == "event_mentions" else art_path,
+                                    table)
+    return run
+
+
+def _archive_round_trip(feed: str) -> QueryFn:
+    def run(spark, sf_dir):
+        raw, lines_name, suffix = LINE_FIXTURES[feed]
+        out = scratch_path(spark, f"archives-{feed}")
+        written = write_archives(fixture(spark, sf_dir, lines_name), out,
+                                 "2024-01-01 00:00:00", suffix).collect()
+        got = archives.archive_lines(spark, [r.path for r in written])
+        return got.filter(F.col("value") != "").select("value")
+    return run
+
+
 # --- registry -------------------------------------------------------------------
 def _registry() -> dict[str, tuple[QueryFn, str | None]]:
     reg: dict[str, tuple[QueryFn, str | None]] = {
@@ -179,6 +271,23 @@ def _registry() -> dict[str, tuple[QueryFn, str | None]]:
                                                 country2=Q4_PAIR[1], granularity=g,
                                                 limit=Q42_K)),
                            oracle.q42(*Q4_PAIR, g, Q42_K))
+    reg["manifest_window"] = (_manifest_window, oracle.manifest_window(
+        "2024-01-05 00:00:00", "2024-01-05 11:45:00", MANIFEST_WINDOW[2]))
+    reg["manifest_by_feed"] = (_manifest_by_feed, oracle.manifest_by_feed())
+    reg["ingest_windows"] = (_ingest_windows, oracle.ingest_windows())
+    reg["files_per_window"] = (_files_per_window, oracle.files_per_window(
+        *[d.isoformat() for d in FILES_PER_WINDOW_DAYS]))
+    reg["two_window_upsert"] = (_two_window("event_mentions"),
+                                oracle.two_window_event_mentions(TWO_WINDOW_SPLITS))
+    reg["two_window_upsert_articles"] = (_two_window("articles"),
+                                         oracle.two_window_articles(TWO_WINDOW_SPLITS))
+    reg["stream_upsert"] = (_stream("event_mentions"),
+                            oracle.two_window_event_mentions(TWO_WINDOW_SPLITS))
+    reg["stream_upsert_articles"] = (_stream("articles"),
+                                     oracle.two_window_articles(TWO_WINDOW_SPLITS))
+    reg["archive_lines"] = (_archive_round_trip("export"),
+                            oracle.lines_of("raw_export_lines"))
+    reg["decode_fallback"] = (_archive_round_trip("gkg"), oracle.lines_of("raw_gkg_lines"))
     reg["q42_substring"] = (
         _on_articles(partial(Q.themes_by_countries, country1=Q42_SUBSTRING_PAIR[0],
                              country2=Q42_SUBSTRING_PAIR[1], granularity="year",

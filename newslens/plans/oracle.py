@@ -11,7 +11,7 @@ from newslens.operators.period import period_columns
 from newslens.sources.fixtures import fixture_cte
 
 EVENT_MENTIONS_CTE = r"""
-event_mentions AS (
+{name} AS (
   SELECT * FROM (
     SELECT e.GlobalEventID AS global_event_id,
       CAST(year(e.d) AS INTEGER) AS event_year,
@@ -44,7 +44,7 @@ UPSERT_EVENT_MENTIONS_CTE = r"""
 )"""
 
 ARTICLES_CTE = r"""
-articles AS (
+{name} AS (
   SELECT global_event_id, internet_source, event_year, event_month, event_day,
     split_part(event_themes, '#', 1) AS event_themes, person_list, event_tone,
     countries[1] AS first_country, countries[2] AS second_country
@@ -73,7 +73,7 @@ articles AS (
 )"""
 
 UPSERT_ARTICLES_CTE = r"""
-upsert_articles AS (
+{name} AS (
   SELECT global_event_id, internet_source, event_year, event_month, event_day, event_themes,
          person_list, event_tone, first_country, second_country FROM (
     SELECT *, row_number() OVER (PARTITION BY global_event_id ORDER BY
@@ -81,7 +81,7 @@ upsert_articles AS (
         internet_source ASC NULLS LAST, event_themes ASC NULLS LAST, person_list ASC NULLS LAST,
         event_tone ASC NULLS LAST, first_country ASC NULLS LAST,
         second_country ASC NULLS LAST) AS rn
-    FROM articles) x WHERE rn = 1
+    FROM {source}) x WHERE rn = 1
 )"""
 
 
@@ -91,14 +91,14 @@ def _with(*ctes: str) -> str:
 
 def with_event_tables() -> str:
     return _with(fixture_cte(["raw_export", "raw_mentions"]),
-                 EVENT_MENTIONS_CTE.format(export="raw_export", mentions="raw_mentions"),
+                 EVENT_MENTIONS_CTE.format(name="event_mentions", export="raw_export", mentions="raw_mentions"),
                  UPSERT_EVENT_MENTIONS_CTE.format(name="upsert_event_mentions",
                                                   source="event_mentions"))
 
 
 def with_article_tables() -> str:
-    return _with(fixture_cte(["raw_gkg"]), ARTICLES_CTE.format(gkg="raw_gkg"),
-                 UPSERT_ARTICLES_CTE)
+    return _with(fixture_cte(["raw_gkg"]), ARTICLES_CTE.format(name="articles", gkg="raw_gkg"),
+                 UPSERT_ARTICLES_CTE.format(name="upsert_articles", source="articles"))
 
 
 def _p(granularity: str) -> str:
@@ -221,7 +221,7 @@ FROM raw_export e JOIN raw_mentions m ON e.GlobalEventID = m.GlobalEventID"""
 
 def event_mentions() -> str:
     return _with(fixture_cte(["raw_export", "raw_mentions"]),
-                 EVENT_MENTIONS_CTE.format(export="raw_export", mentions="raw_mentions")) + \
+                 EVENT_MENTIONS_CTE.format(name="event_mentions", export="raw_export", mentions="raw_mentions")) + \
         "SELECT * FROM event_mentions"
 
 
@@ -230,7 +230,7 @@ def upsert_event_mentions() -> str:
 
 
 def articles() -> str:
-    return _with(fixture_cte(["raw_gkg"]), ARTICLES_CTE.format(gkg="raw_gkg")) + \
+    return _with(fixture_cte(["raw_gkg"]), ARTICLES_CTE.format(name="articles", gkg="raw_gkg")) + \
         "SELECT * FROM articles"
 
 
@@ -320,3 +320,106 @@ SELECT NULLIF(GKGRECORDID, '') AS GKGRECORDID, DATE,
        NULLIF(Persons, '') AS Persons, NULLIF(Locations, '') AS Locations,
        NULLIF(V2Tone, '') AS V2Tone
 FROM raw_gkg"""
+
+
+# --- manifest and windows -------------------------------------------------------
+_ENTRIES = r"""
+entries AS (
+  SELECT p[1] AS size, p[2] AS hash, p[3] AS url,
+         string_split(p[3], '/')[-1] AS file_name,
+         split_part(string_split(p[3], '/')[-1], '.', 1) AS file_key,
+         CASE WHEN regexp_full_match(split_part(string_split(p[3], '/')[-1], '.', 1), '[0-9]{14}')
+              THEN TRY_STRPTIME(split_part(string_split(p[3], '/')[-1], '.', 1), '%Y%m%d%H%M%S')
+         END AS file_ts,
+         CASE WHEN contains(p[3], 'export.CSV') THEN 'export'
+              WHEN contains(p[3], 'mentions.CSV') THEN 'mentions'
+              WHEN contains(p[3], 'gkg.csv') THEN 'gkg' END AS feed
+  FROM (SELECT regexp_split_to_array(trim(value), '\s+') AS p FROM raw_manifest) t
+  WHERE len(p) = 3
+)"""
+_SELECTED = """(contains(url, 'export.CSV.zip') OR contains(url, 'mentions.CSV.zip')
+     OR contains(url, 'gkg.csv.zip'))"""
+
+
+def manifest_window(start: str, end: str, file_type: str) -> str:
+    return _with(fixture_cte(["raw_manifest"]), _ENTRIES) + f"""
+SELECT url, file_name, file_key, strftime(file_ts, '%Y-%m-%d %H:%M:%S') AS file_time
+FROM entries
+WHERE contains(url, {_lit(file_type)}) AND file_ts BETWEEN TIMESTAMP {_lit(start)} AND TIMESTAMP {_lit(end)}"""
+
+
+def manifest_by_feed() -> str:
+    return _with(fixture_cte(["raw_manifest"]), _ENTRIES) + f"""
+SELECT feed, count(*) AS file_count FROM entries WHERE {_SELECTED} GROUP BY feed"""
+
+
+_HALVES = "(VALUES (0, 42300), (43200, 85500)) AS h(s, e)"
+
+
+def _window_rows(days_sql: str) -> str:
+    return f"""
+SELECT CAST(d AS TIMESTAMP) + to_seconds(h.s) AS window_start,
+       CAST(d AS TIMESTAMP) + to_seconds(h.e) AS window_end
+FROM ({days_sql}) dd, {_HALVES}"""
+
+
+def ingest_windows() -> str:
+    days = """SELECT unnest(generate_series(min(CAST(file_ts AS DATE)), max(CAST(file_ts AS DATE)),
+                                    INTERVAL 1 DAY)) AS d FROM entries WHERE file_ts IS NOT NULL"""
+    return _with(fixture_cte(["raw_manifest"]), _ENTRIES) + f"""
+SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end,
+       CAST(strftime(window_start, '%Y%m%d%H%M%S') AS BIGINT) AS batch_seq
+FROM ({_window_rows(days)}) w"""
+
+
+def files_per_window(start_date: str, end_date: str) -> str:
+    days = f"""SELECT unnest(generate_series(DATE {_lit(start_date)}, DATE {_lit(end_date)},
+                                             INTERVAL 1 DAY)) AS d"""
+    return _with(fixture_cte(["raw_manifest"]), _ENTRIES) + f"""
+SELECT strftime(w.window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(w.window_end, '%Y-%m-%d %H:%M:%S') AS window_end,
+       CAST(strftime(w.window_start, '%Y%m%d%H%M%S') AS BIGINT) AS batch_seq,
+       count(e.feed) FILTER (WHERE e.feed = 'export') AS export_files,
+       count(e.feed) FILTER (WHERE e.feed = 'mentions') AS mentions_files,
+       count(e.feed) FILTER (WHERE e.feed = 'gkg') AS gkg_files,
+       count(e.url) AS file_count
+FROM ({_window_rows(days)}) w
+LEFT JOIN (SELECT * FROM entries WHERE {_SELECTED}) e
+  ON e.file_ts BETWEEN w.window_start AND w.window_end
+GROUP BY w.window_start, w.window_end"""
+
+
+# --- two windows upserted one after the other -------------------------------------
+def two_window_event_mentions(splits: dict[int, dict[str, str]]) -> str:
+    ctes = [fixture_cte(["raw_export", "raw_mentions"])]
+    for b, pred in splits.items():
+        ctes.append(f"e{b} AS (SELECT * FROM raw_export WHERE {pred['raw_export']})")
+        ctes.append(f"m{b} AS (SELECT * FROM raw_mentions WHERE {pred['raw_mentions']})")
+        ctes.append(EVENT_MENTIONS_CTE.format(name=f"em{b}", export=f"e{b}", mentions=f"m{b}"))
+        ctes.append(UPSERT_EVENT_MENTIONS_CTE.format(name=f"u{b}", source=f"em{b}"))
+    return _with(*ctes) + _merge_sql(list(splits))
+
+
+def two_window_articles(splits: dict[int, dict[str, str]]) -> str:
+    ctes = [fixture_cte(["raw_gkg"])]
+    for b, pred in splits.items():
+        ctes.append(f"g{b} AS (SELECT * FROM raw_gkg WHERE {pred['raw_gkg']})")
+        ctes.append(ARTICLES_CTE.format(name=f"a{b}", gkg=f"g{b}"))
+        ctes.append(UPSERT_ARTICLES_CTE.format(name=f"u{b}", source=f"a{b}"))
+    return _with(*ctes) + _merge_sql(list(splits))
+
+
+def _merge_sql(batches: list[int]) -> str:
+    """Later batch wins per key."""
+    parts = []
+    for i, b in enumerate(batches):
+        later = batches[i + 1:]
+        cond = " AND ".join(
+            f"global_event_id NOT IN (SELECT global_event_id FROM u{x})" for x in later)
+        parts.append(f"SELECT * FROM u{b}" + (f" WHERE {cond}" if cond else ""))
+    return "\nUNION ALL\n".join(parts)
+
+
+def lines_of(lines_fixture: str) -> str:
+    return _with(fixture_cte([lines_fixture])) + f"SELECT value FROM {lines_fixture}"

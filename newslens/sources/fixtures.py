@@ -118,3 +118,81 @@ def fixture_cte(names: list[str]) -> str:
         body = text.format(**{p: p for p in _placeholders(text)}).strip()
         parts.append(f"{n} AS (\n{body}\n)")
     return ",\n".join(parts)
+
+
+# --- two ingest windows over the whole fixture feeds -------------------------------
+# Every mention falls in exactly one window and every event in at least one;
+# events exported in both windows, and articles in both, exercise the upsert.
+# The predicates are SQL text shared by Spark (``F.expr``) and the oracle.
+TWO_WINDOW_SPLITS: dict[int, dict[str, str]] = {
+    1: {"raw_export": "Day < 19980101",
+        "raw_mentions": "MentionTimeDate < 19960101000000",
+        "raw_gkg": "DATE < 20210101000000"},
+    2: {"raw_export": "Day >= 19950101",
+        "raw_mentions": "MentionTimeDate >= 19960101000000",
+        "raw_gkg": "DATE >= 20200301000000"},
+}
+# Window starts used when the two windows are written as landing archives.
+TWO_WINDOW_STARTS = {1: "1995-12-31 00:00:00", 2: "1995-12-31 12:00:00"}
+
+LINE_FIXTURES = {"export": ("raw_export", "raw_export_lines", "export.CSV.zip"),
+                 "mentions": ("raw_mentions", "raw_mentions_lines", "mentions.CSV.zip"),
+                 "gkg": ("raw_gkg", "raw_gkg_lines", "gkg.csv.zip")}
+
+
+def window_lines(spark: SparkSession, sf_dir: str, feed: str, window: int) -> DataFrame:
+    """Tab-separated lines of one feed restricted to one of the two windows."""
+    from pyspark.sql import functions as F
+
+    raw, lines_name, _ = LINE_FIXTURES[feed]
+    rows = fixture(spark, sf_dir, raw).filter(F.expr(TWO_WINDOW_SPLITS[window][raw]))
+    return spark.sql(FIXTURE_SQL[lines_name], **{raw: rows})
+
+
+def _local_path(uri: str) -> str:
+    """The archive writer uses plain file I/O: accept ``file:`` URIs, refuse others."""
+    from urllib.parse import urlparse
+
+    parsed = urlparse(uri)
+    if parsed.scheme in ("", "file"):
+        return parsed.path if parsed.scheme else uri
+    raise ValueError(f"archive fixtures need a local path, got {uri}")
+
+
+def write_archives(lines: DataFrame, out_dir: str, window_start: str, suffix: str,
+                   n_files: int = 4) -> DataFrame:
+    """Write ``lines.value`` as ``n_files`` zip archives into ``out_dir`` (test fixture).
+
+    Archive ``i`` is named ``<window_start + 15 min * i>.<suffix>`` and holds one
+    member; odd archives are encoded in ISO-8859-1, even ones in UTF-8.
+    Returns one row per archive written: (path, line_count).  Lazy: the
+    files are written when the result is evaluated.
+    """
+    import datetime as dt
+
+    base = dt.datetime.fromisoformat(window_start)
+    out = _local_path(out_dir.rstrip("/"))
+
+    def write(batches):
+        import io
+        import os
+        import zipfile
+
+        import pandas as pd
+        from pyspark import TaskContext
+
+        pid = TaskContext.get().partitionId()
+        key = (base + dt.timedelta(minutes=15 * pid)).strftime("%Y%m%d%H%M%S")
+        text = "\n".join(v for b in batches for v in b["value"]) + "\n"
+        encoding = "iso-8859-1" if pid % 2 else "utf-8"
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr(f"{key}.{suffix.removesuffix('.zip')}", text.encode(encoding))
+        path = f"{out}/{key}.{suffix}"
+        os.makedirs(out, exist_ok=True)
+        with open(path, "wb") as fh:
+            fh.write(buf.getvalue())
+        yield pd.DataFrame({"path": [path], "line_count": [text.count("\n")]})
+
+    return lines.select("value").repartition(n_files).mapInPandas(
+        write, "path string, line_count bigint")
