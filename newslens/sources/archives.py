@@ -21,15 +21,14 @@ MEMBER_SCHEMA = "path string, member string, content binary"
 
 
 def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # One output frame per member: memory holds one uncompressed member at a
+    # time, however many archives the input batch carries.
     for batch in batches:
-        out_path, out_member, out_content = [], [], []
         for path, blob in zip(batch["path"], batch["content"]):
             with zipfile.ZipFile(io.BytesIO(blob)) as zf:
                 for name in zf.namelist():
-                    out_path.append(path)
-                    out_member.append(name)
-                    out_content.append(zf.read(name))
-        yield pd.DataFrame({"path": out_path, "member": out_member, "content": out_content})
+                    yield pd.DataFrame({"path": [path], "member": [name],
+                                        "content": [zf.read(name)]})
 
 
 def archive_members(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
