@@ -21,7 +21,7 @@ from newslens.plans import oracle
 from newslens.plans import queries as Q
 from newslens.schemas import EXPORT_SCHEMA, GKG_SCHEMA, MENTIONS_SCHEMA
 from newslens.plans import ingest
-from newslens.sources import archives, manifest, serving
+from newslens.sources import archives, lines, manifest, serving
 from newslens.sources.fixtures import (LINE_FIXTURES, TWO_WINDOW_SPLITS, TWO_WINDOW_STARTS,
                                        fixture, window_lines, write_archives)
 from newslens.sources.lines import parse_lines
@@ -207,6 +207,43 @@ def _stream(table: str) -> QueryFn:
     return run
 
 
+def _process_window_files(table: str) -> QueryFn:
+    """W3 from files: manifest -> window's archives -> parse -> upsert, per window."""
+    def run(spark, sf_dir):
+        landing = _landing(spark, sf_dir)
+        manifest_path = f"{landing}/manifest"
+        names = spark.read.format("binaryFile").load(landing).select(
+            F.concat(F.lit("100 - http://feed.example/v2/"),
+                     F.substring_index("path", "/", -1)).alias("value"))
+        names.write.mode("overwrite").text(manifest_path)
+        em_path, art_path = (scratch_path(spark, "w3-event_mentions"),
+                             scratch_path(spark, "w3-articles"))
+        for b, start in TWO_WINDOW_STARTS.items():
+            ws = dt.datetime.fromisoformat(start)
+            ingest.process_window(spark, landing, manifest_path, ws,
+                                  ws + dt.timedelta(hours=11, minutes=45), em_path, art_path)
+        return serving.read_serving(spark, em_path if table == "event_mentions" else art_path,
+                                    table)
+    return run
+
+
+EMPTY_WINDOW = (dt.datetime(2023, 12, 31, 0, 0), dt.datetime(2023, 12, 31, 11, 45))
+
+
+def _empty_feed(spark, sf_dir):
+    """S8: a window without files reads as zero rows with the full export schema."""
+    files = manifest.selected_files(_entries(spark, sf_dir), *EMPTY_WINDOW)
+    paths = [r.url for r in files.filter(F.col("feed") == "export").select("url").collect()]
+    return lines.read_feed_files(spark, paths, EXPORT_SCHEMA)
+
+
+def _serving_schema(spark, sf_dir):
+    """K3: the upserted rows through the partitioned serving sink and back."""
+    path = scratch_path(spark, "serving-event_mentions")
+    serving.write_serving(serving_event_mentions(spark, sf_dir), path, "event_mentions")
+    return serving.read_serving(spark, path, "event_mentions")
+
+
 def _archive_round_trip(feed: str) -> QueryFn:
     def run(spark, sf_dir):
         raw, lines_name, suffix = LINE_FIXTURES[feed]
@@ -285,6 +322,12 @@ def _registry() -> dict[str, tuple[QueryFn, str | None]]:
                             oracle.two_window_event_mentions(TWO_WINDOW_SPLITS))
     reg["stream_upsert_articles"] = (_stream("articles"),
                                      oracle.two_window_articles(TWO_WINDOW_SPLITS))
+    reg["process_window"] = (_process_window_files("event_mentions"),
+                             oracle.two_window_event_mentions(TWO_WINDOW_SPLITS))
+    reg["process_window_articles"] = (_process_window_files("articles"),
+                                      oracle.two_window_articles(TWO_WINDOW_SPLITS))
+    reg["empty_feed"] = (_empty_feed, oracle.empty_of(EXPORT_SCHEMA))
+    reg["serving_schema"] = (_serving_schema, oracle.upsert_event_mentions())
     reg["archive_lines"] = (_archive_round_trip("export"),
                             oracle.lines_of("raw_export_lines"))
     reg["decode_fallback"] = (_archive_round_trip("gkg"), oracle.lines_of("raw_gkg_lines"))

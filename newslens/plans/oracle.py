@@ -423,3 +423,13 @@ def _merge_sql(batches: list[int]) -> str:
 
 def lines_of(lines_fixture: str) -> str:
     return _with(fixture_cte([lines_fixture])) + f"SELECT value FROM {lines_fixture}"
+
+
+_DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
+def empty_of(schema) -> str:
+    """Zero rows with the given schema's columns and types."""
+    cols = ", ".join(f"CAST(NULL AS {_DUCK_TYPES[f.dataType.simpleString()]}) AS {f.name}"
+                     for f in schema.fields)
+    return f"SELECT {cols} WHERE false"
