@@ -125,12 +125,12 @@ def fixture_cte(names: list[str]) -> str:
 # events exported in both windows, and articles in both, exercise the upsert.
 # The predicates are SQL text shared by Spark (``F.expr``) and the oracle.
 TWO_WINDOW_SPLITS: dict[int, dict[str, str]] = {
-    1: {"raw_export": "Day < 19980101",
-        "raw_mentions": "MentionTimeDate < 19960101000000",
-        "raw_gkg": "DATE < 20210101000000"},
-    2: {"raw_export": "Day >= 19950101",
-        "raw_mentions": "MentionTimeDate >= 19960101000000",
-        "raw_gkg": "DATE >= 20200301000000"},
+    1: {"raw_export": "Day < 19990101",
+        "raw_mentions": "MentionTimeDate < 19980701000000",
+        "raw_gkg": "DATE < 20220101000000"},
+    2: {"raw_export": "Day >= 19980101",
+        "raw_mentions": "MentionTimeDate >= 19980701000000",
+        "raw_gkg": "DATE >= 20210101000000"},
 }
 # Window starts used when the two windows are written as landing archives.
 TWO_WINDOW_STARTS = {1: "1995-12-31 00:00:00", 2: "1995-12-31 12:00:00"}

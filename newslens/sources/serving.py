@@ -29,6 +29,9 @@ from newslens.schemas import ARTICLES_SCHEMA, EVENT_MENTIONS_SCHEMA
 from newslens.session import scratch_path
 
 PARTITION_COLUMNS = ["event_year", "event_month"]
+# Above this many touched partitions a batch is merged against the whole table
+# instead of a literal partition list (keeps the plan and the driver list small).
+MAX_TOUCHED_PARTITIONS = 5000
 
 SERVING = {
     "event_mentions": (EVENT_MENTIONS_SCHEMA, "global_event_id", "event_country"),
@@ -86,10 +89,12 @@ def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str)
     if not _exists(spark, path):
         write_serving(batch, path, table)
         return n
+    existing = read_serving(spark, path, table)
     touched = batch.select(*PARTITION_COLUMNS).distinct()
-    existing = read_serving(spark, path, table).join(
-        F.broadcast(touched), on=PARTITION_COLUMNS, how="left_semi") \
-        if _partition_count_bounded(touched) else read_serving(spark, path, table)
+    if touched.count() <= MAX_TOUCHED_PARTITIONS:
+        # A literal predicate on the partition columns prunes at planning time:
+        # only the touched partitions are listed, read and rewritten.
+        existing = existing.filter(_partition_predicate(touched.collect()))
     merged = merge_keyed(existing, batch, key)
     staged = scratch_path(spark, f"{table}-merged")
     write_serving(merged, staged, table)
@@ -97,6 +102,21 @@ def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str)
     return n
 
 
-def _partition_count_bounded(touched: DataFrame, limit: int = 100_000) -> bool:
-    """Broadcast the touched-partition list only when it is provably small."""
-    return touched.count() <= limit
+def _partition_predicate(rows) -> F.Column:
+    """``(year = y AND month IN (...)) OR ...`` over the touched partitions.
+
+    One term per distinct year keeps the expression shallow.
+    """
+    year_col, month_col = PARTITION_COLUMNS
+    by_year: dict = {}
+    for r in rows:
+        by_year.setdefault(r[year_col], set()).add(r[month_col])
+    cond = F.lit(False)
+    for year, months in sorted(by_year.items(), key=lambda kv: (kv[0] is None, kv[0])):
+        y = F.col(year_col).isNull() if year is None else F.col(year_col) == year
+        known = sorted(m for m in months if m is not None)
+        m = F.col(month_col).isin(known)
+        if None in months:
+            m = m | F.col(month_col).isNull()
+        cond = cond | (y & m)
+    return cond
