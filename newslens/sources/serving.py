@@ -76,8 +76,15 @@ def write_serving(df: DataFrame, path: str, table: str, mode: str = "overwrite")
 def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str) -> int:
     """Apply one de-duplicated batch to the keyed table at ``path``; returns batch rows.
 
-    Only the ``(event_year, event_month)`` partitions present in the batch are
-    read, merged and rewritten.
+    * Partitions the batch does not touch are never read.
+    * In the touched partitions only the key column is read to find the keys
+      the batch replaces; partitions holding none of them get the batch rows
+      appended (the common case: an event is exported in one window).
+    * Partitions holding replaced keys are merged (anti join + union), staged,
+      and swapped in with dynamic partition overwrite.
+
+    A rerun after a failure at any step converges to the same table: rows
+    already appended become "replaced keys" and their partitions are merged.
     """
     schema, key, _ = SERVING[table]
     staged_batch = scratch_path(spark, f"{table}-batch")
@@ -92,13 +99,20 @@ def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str)
     existing = read_serving(spark, path, table)
     touched = batch.select(*PARTITION_COLUMNS).distinct()
     if touched.count() <= MAX_TOUCHED_PARTITIONS:
-        # A literal predicate on the partition columns prunes at planning time:
-        # only the touched partitions are listed, read and rewritten.
+        # A literal predicate on the partition columns prunes at planning time.
         existing = existing.filter(_partition_predicate(touched.collect()))
-    merged = merge_keyed(existing, batch, key)
-    staged = scratch_path(spark, f"{table}-merged")
-    write_serving(merged, staged, table)
-    write_serving(spark.read.parquet(staged), path, table)
+    replaced = (existing.select(key, *PARTITION_COLUMNS)
+                .join(batch.select(key), on=key, how="left_semi")
+                .select(*PARTITION_COLUMNS).distinct().collect())
+    rest = batch
+    if replaced:
+        in_replaced = _partition_predicate(replaced)
+        merged = merge_keyed(existing.filter(in_replaced), batch.filter(in_replaced), key)
+        staged = scratch_path(spark, f"{table}-merged")
+        write_serving(merged, staged, table)
+        write_serving(spark.read.parquet(staged), path, table)
+        rest = batch.filter(~F.coalesce(in_replaced, F.lit(False)))
+    write_serving(rest, path, table, mode="append")
     return n
 
 
