@@ -32,6 +32,17 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: ColumnOrName, fn) -> Column:
+    """``fn(value)`` with ``value`` referenced once ("let" binding).
+
+    Catalyst substitutes aliases when it pushes filters down or collapses
+    projections; an expression that uses a derived value many times then
+    repeats that value's whole derivation.  Passing the value through a
+    one-element ``transform`` keeps a single reference to it.
+    """
+    return F.get(F.transform(F.array(_col(value)), fn), F.lit(0))
+
+
 def py_strip(c: ColumnOrName) -> Column:
     """``str.strip()`` semantics: remove leading and trailing Unicode whitespace."""
     ws = PY_WHITESPACE_CLASS

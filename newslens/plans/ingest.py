@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newslens.functions.fields import bind
 from newslens.operators import prepare
 from newslens.schemas import FEED_SCHEMAS
 from newslens.sources import archives, lines, manifest, serving
@@ -38,7 +39,9 @@ def _at(day: Column, seconds: Column | int) -> Column:
 
 def batch_seq(window_start: Column) -> Column:
     """Window start as a sortable ``yyyyMMddHHmmss`` number (later window = larger)."""
-    return F.date_format(window_start, "yyyyMMddHHmmss").cast("bigint")
+    t = window_start
+    ymd = F.year(t).cast("bigint") * 10000 + F.month(t) * 100 + F.dayofmonth(t)
+    return ymd * 1000000 + F.hour(t) * 10000 + F.minute(t) * 100 + F.second(t)
 
 
 def _windows_of_days(days: DataFrame) -> DataFrame:
@@ -67,17 +70,25 @@ def windows_from_entries(entries: DataFrame) -> DataFrame:
 
 
 def window_of(ts: Column) -> dict[str, Column]:
-    """The half-day window a timestamp falls in (all null when in none)."""
-    day = F.to_date(ts)
-    secs = (F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts))
-    half = F.when(secs < HALF_DAYS[1][0], F.lit(0)).otherwise(F.lit(1))
-    s_secs = F.when(half == 0, HALF_DAYS[0][0]).otherwise(HALF_DAYS[1][0])
-    e_secs = F.when(half == 0, HALF_DAYS[0][1]).otherwise(HALF_DAYS[1][1])
-    inside = secs <= e_secs
-    start = _at(day, s_secs)
-    return {"window_start": F.when(inside, start),
-            "window_end": F.when(inside, _at(day, e_secs)),
-            "batch_seq": F.when(inside, batch_seq(start))}
+    """The half-day window a timestamp falls in (all null when in none).
+
+    Both windows last ``HALF_DAYS[i][1] - HALF_DAYS[i][0]`` seconds from their
+    start, so one offset describes the window.  ``ts`` is bound once.
+    """
+    (s0, e0), (s1, e1) = HALF_DAYS
+
+    def window(t: Column) -> Column:
+        secs = F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+        offset = F.when(secs < s1, F.lit(s0)).otherwise(F.lit(s1))
+        span = F.when(secs < s1, F.lit(e0 - s0)).otherwise(F.lit(e1 - s1))
+        start = _at(F.to_date(t), offset)
+        return F.when((secs - offset) <= span, F.struct(
+            start.alias("window_start"),
+            F.timestamp_add("SECOND", span, start).alias("window_end"),
+            batch_seq(start).alias("batch_seq")))
+
+    w = bind(ts, window)
+    return {n: w.getField(n) for n in WINDOW_COLUMNS}
 
 
 def assign_windows(files: DataFrame, ts_col: str = "file_ts") -> DataFrame:
@@ -105,13 +116,19 @@ def files_per_window(entries: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 # --- window processing ----------------------------------------------------------
-def feed_lines(lines_df: DataFrame, path_col: str = "path") -> DataFrame:
-    """Tag archive lines with their feed and window, from the archive file name."""
+def tag_files(df: DataFrame, path_col: str = "path") -> DataFrame:
+    """Add feed and window columns from the archive file name (one row per file)."""
     name = F.substring_index(F.col(path_col), "/", -1)
     ts = manifest.file_key_to_ts(F.substring_index(name, ".", 1))
     w = window_of(ts)
-    return lines_df.select("*", manifest.feed_of(name).alias("feed"),
-                           *[c.alias(n) for n, c in w.items()])
+    return df.select("*", manifest.feed_of(name).alias("feed"),
+                     *[c.alias(n) for n, c in w.items()])
+
+
+def feed_lines(members: DataFrame) -> DataFrame:
+    """Archive members -> lines tagged with feed and window (tagged per member)."""
+    tagged = tag_files(members)
+    return archives.member_lines(tagged, keep=["path", "member", "feed", *WINDOW_COLUMNS])
 
 
 def parse_feed(tagged: DataFrame, feed: str, quote: str = lines.DEFAULT_QUOTE) -> DataFrame:
@@ -173,7 +190,7 @@ def ingest_archives(spark: SparkSession, paths: Sequence[str], event_mentions_pa
         feed = feed_of_name(p.rsplit("/", 1)[-1])
         if feed:
             by_feed[feed].append(p)
-    tagged = {f: feed_lines(archives.archive_lines(spark, ps)) for f, ps in by_feed.items()}
+    tagged = {f: feed_lines(archives.archive_members(spark, ps)) for f, ps in by_feed.items()}
     em, art = process_windows(tagged["export"], tagged["mentions"], tagged["gkg"], quote)
     return {
         "event_mentions": serving.upsert_serving(spark, em, event_mentions_path,

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.functions.fields import PY_WHITESPACE_CLASS, py_strip
+from newslens.functions.fields import PY_WHITESPACE_CLASS, bind
 
 # --- Fixed values -------------------------------------------------------------
 # File-kind masks (substring tests on the URL) and the feed each selects,
@@ -20,8 +20,7 @@ from newslens.functions.fields import PY_WHITESPACE_CLASS, py_strip
 FEED_MASKS = [("export", "export.CSV.zip"), ("mentions", "mentions.CSV.zip"),
               ("gkg", "gkg.csv.zip")]
 FEED_CLASSES = [("export", "export.CSV"), ("mentions", "mentions.CSV"), ("gkg", "gkg.csv")]
-# File names start with a 14-digit timestamp.
-FILE_KEY_FORMAT = "yyyyMMddHHmmss"
+# File names start with a 14-digit timestamp (yyyyMMddHHmmss).
 FILE_KEY_PATTERN = r"^[0-9]{14}$"
 # ------------------------------------------------------------------------------
 
@@ -31,9 +30,15 @@ def read_manifest(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 
 
 def file_key_to_ts(key: Column) -> Column:
-    """14-digit key -> TIMESTAMP_NTZ (null when not a valid date-time)."""
-    parsed = F.try_to_timestamp(key, F.lit(FILE_KEY_FORMAT)).cast("timestamp_ntz")
-    return F.when(key.rlike(FILE_KEY_PATTERN), parsed)
+    """14-digit ``yyyyMMddHHmmss`` key -> TIMESTAMP_NTZ (null when not a valid date-time).
+
+    Built from the digit fields, so no session time zone (and no DST gap) is involved.
+    """
+    def parse(k: Column) -> Column:
+        part = [F.substring(k, pos, n).cast("int") for pos, n in
+                ((1, 4), (5, 2), (7, 2), (9, 2), (11, 2), (13, 2))]
+        return F.when(k.rlike(FILE_KEY_PATTERN), F.try_make_timestamp_ntz(*part))
+    return bind(key, parse)
 
 
 def feed_of(url: Column) -> Column:
@@ -51,7 +56,8 @@ def manifest_entries(lines: DataFrame, value: str = "value") -> DataFrame:
     Columns: size, hash, url, file_name (last path segment), file_key (file name
     up to its first dot), file_ts (null when the key is not a timestamp), feed.
     """
-    parts = F.split(py_strip(F.col(value)), PY_WHITESPACE_CLASS + "+", -1)
+    # Python's str.split(): runs of whitespace, no empty leading/trailing fields.
+    parts = F.filter(F.split(F.col(value), PY_WHITESPACE_CLASS + "+", -1), lambda t: t != "")
     rows = lines.select(parts.alias("p")).filter(F.size("p") == 3)
     url = F.get("p", F.lit(2))
     file_name = F.substring_index(url, "/", -1)

@@ -32,7 +32,7 @@ def _process_batch(spark: SparkSession, files: DataFrame, event_mentions_path: s
     for feed, _ in manifest.FEED_CLASSES:
         # A pushed-down path predicate: archives of other feeds are not read.
         of_feed = files.filter(manifest.feed_of(name) == feed).select("path", "content")
-        tagged[feed] = ingest.feed_lines(archives.member_lines(archives.members_of(of_feed)))
+        tagged[feed] = ingest.feed_lines(archives.members_of(of_feed))
     em, art = ingest.process_windows(tagged["export"], tagged["mentions"], tagged["gkg"], quote)
     serving.upsert_serving(spark, em, event_mentions_path, "event_mentions")
     serving.upsert_serving(spark, art, articles_path, "articles")
