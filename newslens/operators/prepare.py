@@ -78,16 +78,40 @@ def event_mentions(export: DataFrame, mentions: DataFrame) -> DataFrame:
     return _clean_event_rows(join_events_mentions(export, mentions))
 
 
+EVENT_PAYLOAD = ["event_year", "event_month", "event_day", "event_country",
+                 "event_country_full_name", "num_mentions"]
+
+
+def _clean_events(export: DataFrame, extra: list[str]) -> DataFrame:
+    """Event-side cleaning (date parts, renames, blank -> null, required fields)."""
+    parts = X.event_date_parts("Day")
+    rows = export.select(
+        *extra,
+        F.col("GlobalEventID").alias("global_event_id"),
+        parts["event_year"].alias("event_year"),
+        parts["event_month"].alias("event_month"),
+        parts["event_day"].alias("event_day"),
+        F.col("ActionGeo_CountryCode").alias("event_country"),
+        F.col("ActionGeo_FullName").alias("event_country_full_name"),
+        F.col("NumMentions").alias("num_mentions"),
+    )
+    rows = X.blank_to_null(rows, ["event_country", "event_country_full_name"])
+    return rows.dropna(how="any", subset=EVENT_REQUIRED)
+
+
 def latest_event_mentions(export: DataFrame, mentions: DataFrame,
                           with_order_columns: bool = False,
                           batch_col: str | None = None) -> DataFrame:
     """One row per event: the batch's ``event_mentions`` after the keyed upsert.
 
-    Equal to ``latest_per_key(event_mentions(...))`` but cheaper and skew-proof:
-    the winning mention of each event is chosen on the mentions side *before*
-    the join (the ranking uses mention columns only, and the row filter uses
-    event columns only, so the two commute).  The join then sees at most one
-    mention per event, so a hot event no longer skews it.
+    Equal to ``latest_per_key(event_mentions(...))`` but cheaper and skew-proof.
+    The winner ranks mention columns first and event columns after them, and
+    the row filter reads event columns only, so both sides can be reduced to
+    one row per event *before* the join: the winning mention (latest time,
+    then identifier, then language) and the winning surviving event row
+    (smallest columns).  The join is then one-to-one, so an event holding a
+    third of all mentions (or duplicated export rows) no longer skews it, and
+    both reductions combine map-side.
 
     ``batch_col`` (an integer batch sequence present on both inputs) processes
     many batches in one job: the join stays inside a batch, as when each batch
@@ -96,21 +120,20 @@ def latest_event_mentions(export: DataFrame, mentions: DataFrame,
     """
     batch = [batch_col] if batch_col else []
     m = mentions.select(
-        *batch, "GlobalEventID", "MentionTimeDate", "MentionIdentifier",
-        X.source_language("MentionDocTranslationInfo").alias("source_language"))
-    best = latest_per_key(m, batch + ["GlobalEventID"],
-                          [("MentionTimeDate", "desc"), ("MentionIdentifier", "asc"),
-                           ("source_language", "asc")])
-    e = export.select(*batch, *EXPORT_FIELDS)
-    joined = e.join(best, on=batch + ["GlobalEventID"], how="inner")
-    rows = _clean_event_rows(joined, language="source_language", language_is_code=True,
-                             extra=batch)
-    # A second pass only matters when an event row is duplicated in the batch
-    # (or for several batches); the join output is already partitioned by the
-    # key, so it adds no shuffle for a single batch.
+        *batch, F.col("GlobalEventID").alias("global_event_id"),
+        F.col("MentionTimeDate").alias("mention_time_date"),
+        F.col("MentionIdentifier").alias("mention_identifier"),
+        F.nullif(X.source_language("MentionDocTranslationInfo"), F.lit("")).alias(
+            "source_language"))
+    best_mention = latest_per_key(m, batch + ["global_event_id"], EVENT_MENTIONS_ORDER)
+    best_event = latest_per_key(_clean_events(export, batch), batch + ["global_event_id"],
+                                [(c, "asc") for c in EVENT_PAYLOAD])
+    joined = best_event.join(best_mention, on=batch + ["global_event_id"], how="inner")
     cols = EVENT_MENTIONS_COLUMNS + (MENTION_ORDER_COLUMNS if with_order_columns else [])
-    order = [(batch_col, "desc")] + EVENT_MENTIONS_ORDER if batch_col else EVENT_MENTIONS_ORDER
-    return latest_per_key(rows, "global_event_id", order, cols)
+    if not batch_col:
+        return joined.select(*cols)
+    order = [(batch_col, "desc")] + EVENT_MENTIONS_ORDER
+    return latest_per_key(joined, "global_event_id", order, cols)
 
 
 def articles(gkg: DataFrame, batch_col: str | None = None) -> DataFrame:
