@@ -308,6 +308,15 @@ def _registry() -> dict[str, tuple[QueryFn, str | None]]:
                                                 country2=Q4_PAIR[1], granularity=g,
                                                 limit=Q42_K)),
                            oracle.q42(*Q4_PAIR, g, Q42_K))
+    # The reference's own k for the calls that differ from the keys above.
+    for key, fn, osql, dim_k in (
+            ("q33_day_k1", Q.themes_by_source, oracle.q33, ("day", 1)),
+            ("q34_day_k1", Q.locations_by_source, oracle.q34, ("day", 1)),
+            ("q35_month_k3", Q.persons_by_source, oracle.q35, ("month", 3)),
+            ("q35_day_k1", Q.persons_by_source, oracle.q35, ("day", 1))):
+        g, k = dim_k
+        reg[key] = (_on_articles(partial(fn, source=Q3_SOURCE, granularity=g, limit=k)),
+                    osql(Q3_SOURCE, g, k))
     reg["manifest_window"] = (_manifest_window, oracle.manifest_window(
         "2024-01-05 00:00:00", "2024-01-05 11:45:00", MANIFEST_WINDOW[2]))
     reg["manifest_by_feed"] = (_manifest_by_feed, oracle.manifest_by_feed())
