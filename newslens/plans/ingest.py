@@ -101,8 +101,8 @@ def assign_windows(files: DataFrame, ts_col: str = "file_ts") -> DataFrame:
 def files_per_window(entries: DataFrame, windows: DataFrame) -> DataFrame:
     """File counts of the three feeds per window (every window listed, zero if empty).
 
-    ``windows`` is small (two rows per day of the requested range) and its rows
-    are counted before it is broadcast.
+    ``windows`` holds two rows per day of the requested range; no hint forces a
+    broadcast, AQE picks one from the measured size of either side.
     """
     assigned = assign_windows(manifest.selected_files(entries))
     counts = assigned.groupBy("window_start").agg(
