@@ -20,6 +20,16 @@ from newslens.operators.period import period_columns, period_desc, top_k_per_gro
 ARTICLE_PERIOD_OUTPUT = ["event_themes", "person_list", "first_country", "event_tone"]
 
 
+def ordered_result(df: DataFrame, *order: Column | str) -> DataFrame:
+    """Final ordering of a small result.
+
+    Every query result here is bounded by (periods x k) rows, so one partition
+    holds it comfortably; ``repartition(1)`` keeps the upstream stages parallel
+    and, unlike a global ``orderBy``, needs no range-partition sampling job.
+    """
+    return df.repartition(1).sortWithinPartitions(*order)
+
+
 # --- Q1 ----------------------------------------------------------------------
 def articles_by_date_country_language(event_mentions: DataFrame, year: int, month: int,
                                       day: int, country: str,
@@ -36,7 +46,7 @@ def articles_by_date_country_language(event_mentions: DataFrame, year: int, mont
     out = (event_mentions.filter(cond)
            .groupBy("event_year", "event_month", "event_day", "event_country", "source_language")
            .count())
-    return out if language is not None else out.orderBy("source_language")
+    return out if language is not None else ordered_result(out, "source_language")
 
 
 # --- Q2 ----------------------------------------------------------------------
@@ -51,8 +61,8 @@ def most_mentioned_events(event_mentions: DataFrame, country: str,
     df = event_mentions.filter(F.col("event_country") == country)
     top = top_k_per_group(df, period, [F.desc_nulls_last("num_mentions"),
                                        F.asc_nulls_last("global_event_id")], 1)
-    return (top.select(*period, "event_country", "global_event_id", "num_mentions")
-            .orderBy(*period_desc(granularity)))
+    return ordered_result(top.select(*period, "event_country", "global_event_id", "num_mentions"),
+                          *period_desc(granularity))
 
 
 # --- Q3.1 --------------------------------------------------------------------
@@ -75,11 +85,11 @@ def tone_and_count_by_source(articles: DataFrame, source: str,
                              granularity: str = "year") -> DataFrame:
     """Average tone and article count per period for one source."""
     period = period_columns(granularity)
-    return (articles.filter(F.col("internet_source") == source)
-            .groupBy("internet_source", *period)
-            .agg(F.avg("event_tone").alias("average_tone"),
-                 F.count("global_event_id").alias("article_count"))
-            .orderBy(*period_desc(granularity)))
+    agg = (articles.filter(F.col("internet_source") == source)
+           .groupBy("internet_source", *period)
+           .agg(F.avg("event_tone").alias("average_tone"),
+                F.count("global_event_id").alias("article_count")))
+    return ordered_result(agg, *period_desc(granularity))
 
 
 # --- Q3.3 / Q3.4 / Q3.5 ------------------------------------------------------
@@ -95,8 +105,8 @@ def _source_top_k(rows: DataFrame, source: str, granularity: str, dim: str, coun
            .agg(F.avg("event_tone").alias("average_tone"), F.count("*").alias(count_name)))
     top = top_k_per_group(agg, period, [F.desc_nulls_last(count_name),
                                         F.asc_nulls_last(dim)], k)
-    return (top.select("internet_source", *period, dim, "average_tone", count_name)
-            .orderBy(*period_desc(granularity), F.desc_nulls_last(count_name)))
+    return ordered_result(top.select("internet_source", *period, dim, "average_tone", count_name),
+                          *period_desc(granularity), F.desc_nulls_last(count_name))
 
 
 def themes_by_source(articles: DataFrame, source: str, granularity: str = "year",
@@ -142,10 +152,10 @@ def tone_and_count_by_countries(articles: DataFrame, country1: str, country2: st
                   & (F.get("sorted_country_pair", F.lit(1)) == country2)))
     agg = (df.groupBy("sorted_country_pair", *period)
            .agg(F.avg("event_tone").alias("average_tone"), F.count("*").alias("event_count")))
-    return (agg.orderBy(*period_desc(granularity))
-            .select(F.get("sorted_country_pair", F.lit(0)).alias("first_country"),
-                    F.get("sorted_country_pair", F.lit(1)).alias("second_country"),
-                    *period, "average_tone", "event_count"))
+    out = agg.select(F.get("sorted_country_pair", F.lit(0)).alias("first_country"),
+                     F.get("sorted_country_pair", F.lit(1)).alias("second_country"),
+                     *period, "average_tone", "event_count")
+    return ordered_result(out, *period_desc(granularity))
 
 
 # --- Q4.2 --------------------------------------------------------------------
@@ -185,6 +195,6 @@ def themes_by_countries(articles: DataFrame, country1: str, country2: str,
     top = top_k_per_group(agg, period, [F.desc_nulls_last("theme_count"),
                                         F.asc_nulls_last("event_themes"),
                                         F.asc_nulls_last("country_pair")], limit)
-    return (top.select(first.alias("first_country"), second.alias("second_country"), *period,
-                       "event_themes", "average_tone", "theme_count")
-            .orderBy(*period_desc(granularity), F.desc_nulls_last("theme_count")))
+    out = top.select(first.alias("first_country"), second.alias("second_country"), *period,
+                     "event_themes", "average_tone", "theme_count")
+    return ordered_result(out, *period_desc(granularity), F.desc_nulls_last("theme_count"))
