@@ -9,8 +9,6 @@ UTF-8, else ISO-8859-1 (which accepts every byte).
 
 from __future__ import annotations
 
-import io
-import zipfile
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -20,15 +18,24 @@ from pyspark.sql import functions as F
 MEMBER_SCHEMA = "path string, member string, content binary"
 
 
-def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    # One output frame per member: memory holds one uncompressed member at a
-    # time, however many archives the input batch carries.
-    for batch in batches:
-        for path, blob in zip(batch["path"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(blob)) as zf:
-                for name in zf.namelist():
-                    yield pd.DataFrame({"path": [path], "member": [name],
-                                        "content": [zf.read(name)]})
+def _unzip_fn():
+    """The executor-side unzip, built in a local scope so it is shipped by value:
+    workers need only the standard library and pandas, not this package."""
+    def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        # One output frame per member: memory holds one uncompressed member at
+        # a time, however many archives the input batch carries.
+        for batch in batches:
+            for path, blob in zip(batch["path"], batch["content"]):
+                with zipfile.ZipFile(io.BytesIO(blob)) as zf:
+                    for name in zf.namelist():
+                        yield pd.DataFrame({"path": [path], "member": [name],
+                                            "content": [zf.read(name)]})
+    return unzip
 
 
 def archive_members(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
@@ -43,7 +50,7 @@ def archive_members(spark: SparkSession, paths: Sequence[str] | str) -> DataFram
 
 def members_of(files: DataFrame) -> DataFrame:
     """Unzip a DataFrame of ``(path, content)`` archive rows."""
-    return files.select("path", "content").mapInPandas(_unzip, MEMBER_SCHEMA)
+    return files.select("path", "content").mapInPandas(_unzip_fn(), MEMBER_SCHEMA)
 
 
 def decode_member(content: str = "content") -> F.Column:
