@@ -51,18 +51,16 @@ def join_events_mentions(export: DataFrame, mentions: DataFrame) -> DataFrame:
     return e.join(m, on="GlobalEventID", how="inner")
 
 
-def _clean_event_rows(joined: DataFrame, language: str = "MentionDocTranslationInfo",
-                      language_is_code: bool = False, extra: list[str] | None = None
-                      ) -> DataFrame:
+def event_mentions(export: DataFrame, mentions: DataFrame) -> DataFrame:
+    """All joined and cleaned rows of one batch (one per surviving mention)."""
+    joined = join_events_mentions(export, mentions)
     parts = X.event_date_parts("Day")
-    lang = F.col(language) if language_is_code else X.source_language(language)
     rows = joined.select(
-        *(extra or []),
         F.col("GlobalEventID").alias("global_event_id"),
         parts["event_year"].alias("event_year"),
         parts["event_month"].alias("event_month"),
         parts["event_day"].alias("event_day"),
-        lang.alias("source_language"),
+        X.source_language("MentionDocTranslationInfo").alias("source_language"),
         F.col("ActionGeo_CountryCode").alias("event_country"),
         F.col("ActionGeo_FullName").alias("event_country_full_name"),
         F.col("NumMentions").alias("num_mentions"),
@@ -73,11 +71,6 @@ def _clean_event_rows(joined: DataFrame, language: str = "MentionDocTranslationI
     return rows.dropna(how="any", subset=EVENT_REQUIRED)
 
 
-def event_mentions(export: DataFrame, mentions: DataFrame) -> DataFrame:
-    """All joined and cleaned rows of one batch (one per surviving mention)."""
-    return _clean_event_rows(join_events_mentions(export, mentions))
-
-
 EVENT_PAYLOAD = ["event_year", "event_month", "event_day", "event_country",
                  "event_country_full_name", "num_mentions"]
 
