@@ -14,10 +14,15 @@ from pyspark.sql import types as T
 ColumnOrName = Column | str
 
 # --- Fixed values -------------------------------------------------------------
-# Characters that Python's ``str.strip()`` removes (Unicode whitespace as
-# defined by ``str.isspace``), as a Java regex character class.
-PY_WHITESPACE_CLASS = (r"[\t\n\x0B\f\r\x1C-\x1F \x85\xA0\u1680\u2000-\u200A"
-                       r"\u2028\u2029\u202F\u205F\u3000]")
+# Characters that Python's ``str.strip()`` / ``str.split()`` treat as
+# whitespace (``str.isspace``), and the same set as a Java regex class.
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                 "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+                 "\u2028\u2029\u202f\u205f\u3000")
+PY_WHITESPACE_CLASS = "[" + "".join(f"\\u{ord(c):04X}" for c in PY_WHITESPACE) + "]"
+# One location segment's country: segment start, block 0, '#', a non-empty
+# block 1, and block 1's text after its last comma.
+LOCATION_COUNTRY_PATTERN = r"(?:^|;)[^;#]*#(?=[^;#])(?:[^;#]*,)?([^;#,]*)"
 # Language used when a mention carries no translation info.
 DEFAULT_LANGUAGE = "eng"
 # Event day format and the 1-based character ranges of the article DATE.
@@ -45,8 +50,7 @@ def bind(value: ColumnOrName, fn) -> Column:
 
 def py_strip(c: ColumnOrName) -> Column:
     """``str.strip()`` semantics: remove leading and trailing Unicode whitespace."""
-    ws = PY_WHITESPACE_CLASS
-    return F.regexp_replace(_col(c), f"^{ws}+|{ws}+$", "")
+    return F.btrim(_col(c), F.lit(PY_WHITESPACE))
 
 
 def event_date(day: ColumnOrName) -> Column:
@@ -90,13 +94,11 @@ def location_countries(locations: ColumnOrName) -> Column:
     A segment counts when it is non-empty, has at least two ``#`` blocks and a
     non-empty second block; its country is the text after the last comma of
     that block, whitespace-stripped (an all-space name stays as ``''``).
+    One regex pass finds every counted segment's name (a match can only start
+    at the string start or at a ``;``, i.e. at a segment start).
     """
-    segments = F.filter(F.split(_col(locations), SEGMENT_SEP, -1), lambda s: s != "")
-    blocks = F.transform(segments, lambda s: F.split(s, BLOCK_SEP, -1))
-    usable = F.filter(blocks, lambda b: (F.size(b) > 1) & (F.get(b, F.lit(1)) != ""))
-    return F.transform(
-        usable,
-        lambda b: py_strip(F.element_at(F.split(F.get(b, F.lit(1)), NAME_SEP, -1), -1)))
+    names = F.regexp_extract_all(_col(locations), F.lit(LOCATION_COUNTRY_PATTERN), 1)
+    return F.transform(names, py_strip)
 
 
 def split_persons(person_list: ColumnOrName) -> Column:
