@@ -23,16 +23,21 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def _rank_fields(df: DataFrame, order: Sequence[tuple[str, str]]) -> list[Column]:
-    """Struct fields whose ascending order is the requested order, nulls last."""
-    types = {f.name: f.dataType for f in df.schema.fields}
+    """Struct fields whose ascending order is the requested order, nulls last.
+
+    Field ``v<i>`` holds column ``i`` (bitwise-NOT for descending); ``n<i>``, a
+    null flag, is only added for nullable columns.
+    """
+    fields_by_name = {f.name: f for f in df.schema.fields}
     fields: list[Column] = []
     for i, (name, direction) in enumerate(order):
         c = F.col(name)
-        fields.append(c.isNull().alias(f"n{i}"))  # false < true: nulls last
+        if fields_by_name[name].nullable:
+            fields.append(c.isNull().alias(f"n{i}"))  # false < true: nulls last
         if direction == "asc":
             fields.append(c.alias(f"v{i}"))
         elif direction == "desc":
-            if not isinstance(types[name], _INTEGRAL):
+            if not isinstance(fields_by_name[name].dataType, _INTEGRAL):
                 raise TypeError(f"descending rank needs an integral column, got {name}")
             # bitwise NOT reverses integer order without overflow (~x == -x - 1).
             fields.append(F.bitwise_not(c).alias(f"v{i}"))
@@ -48,18 +53,24 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[tupl
     ``key`` is a column name or a list of names.  ``order`` is a list of
     ``(column, 'asc' | 'desc')``; nulls always rank last.  Remaining columns are
     appended to the ranking so the winner is unique whatever the partitioning.
-    Returns ``columns`` (default: all of ``df``).
+    Returns ``columns`` (default: all of ``df``).  Every column is part of the
+    ranking struct, so the winner's values are read back from it (no payload).
     """
     keys = [key] if isinstance(key, str) else list(key)
     columns = list(columns or df.columns)
     ranked = [c for c, _ in order]
     rest = [(c, "asc") for c in df.columns if c not in keys and c not in ranked]
     full_order = list(order) + rest
-    payload = [F.col(c).alias(f"p_{c}") for c in columns if c not in keys]
-    winner = F.min(F.struct(*_rank_fields(df, full_order), *payload)).alias("w")
+    winner = F.min(F.struct(*_rank_fields(df, full_order))).alias("w")
     out = df.groupBy(*keys).agg(winner)
-    return out.select(*[F.col(c) if c in keys else F.col(f"w.p_{c}").alias(c)
-                        for c in columns])
+    position = {name: (i, direction) for i, (name, direction) in enumerate(full_order)}
+
+    def value(c: str) -> Column:
+        i, direction = position[c]
+        v = F.col(f"w.v{i}")
+        return (F.bitwise_not(v) if direction == "desc" else v).alias(c)
+
+    return out.select(*[F.col(c) if c in keys else value(c) for c in columns])
 
 
 def merge_keyed(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
