@@ -14,8 +14,8 @@ The reference keeps its two serving tables in a wide-column store keyed on
 Writes are staged: the merged partitions are first written to a staging
 folder under the shared checkpoint folder (that cuts the lineage to the table
 being replaced), then copied into the table with dynamic partition overwrite.
-A failed final step can be rerun from the staging copy; rerunning a batch is
-idempotent because the merge is keyed.
+Rerunning a batch is idempotent because the merge is keyed; the staging
+copies are removed once the table write has succeeded (kept on failure).
 """
 
 from __future__ import annotations
@@ -52,11 +52,23 @@ def read_serving(spark: SparkSession, path: str, table: str, fmt: str = "parquet
     return conform(df, schema)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+    return p.getFileSystem(conf), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return fs.exists(p)
+
+
+def _drop_staging(spark: SparkSession, *paths: str) -> None:
+    """Remove this call's own staging copies once the table write has succeeded."""
+    for path in paths:
+        fs, p = _fs_path(spark, path)
+        fs.delete(p, True)
 
 
 def write_serving(df: DataFrame, path: str, table: str, mode: str = "overwrite") -> None:
@@ -92,9 +104,11 @@ def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str)
     batch = spark.read.parquet(staged_batch)
     n = batch.count()
     if n == 0:
+        _drop_staging(spark, staged_batch)
         return 0
     if not _exists(spark, path):
         write_serving(batch, path, table)
+        _drop_staging(spark, staged_batch)
         return n
     existing = read_serving(spark, path, table)
     touched = batch.select(*PARTITION_COLUMNS).distinct()
@@ -105,14 +119,17 @@ def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str)
                 .join(batch.select(key), on=key, how="left_semi")
                 .select(*PARTITION_COLUMNS).distinct().collect())
     rest = batch
+    staging = [staged_batch]
     if replaced:
         in_replaced = _partition_predicate(replaced)
         merged = merge_keyed(existing.filter(in_replaced), batch.filter(in_replaced), key)
         staged = scratch_path(spark, f"{table}-merged")
         write_serving(merged, staged, table)
         write_serving(spark.read.parquet(staged), path, table)
+        staging.append(staged)
         rest = batch.filter(~F.coalesce(in_replaced, F.lit(False)))
     write_serving(rest, path, table, mode="append")
+    _drop_staging(spark, *staging)
     return n
 
 
