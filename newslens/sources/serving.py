@@ -46,10 +46,16 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def read_serving(spark: SparkSession, path: str, table: str, fmt: str = "parquet",
                  **options: str) -> DataFrame:
-    """Whole-table load; filters applied later reach the scan (pushdown/pruning)."""
+    """Whole-table load; filters applied later reach the scan (pushdown/pruning).
+
+    Parquet tables are read with the serving schema (no footer sampling; an
+    empty table reads as zero rows); partition columns come from the paths.
+    """
     schema = SERVING[table][0]
-    df = spark.read.format(fmt).options(**options).load(path)
-    return conform(df, schema)
+    reader = spark.read.format(fmt).options(**options)
+    if fmt == "parquet":
+        reader = reader.schema(schema)
+    return conform(reader.load(path), schema)
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -99,6 +105,10 @@ def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str)
     already appended become "replaced keys" and their partitions are merged.
     """
     schema, key, _ = SERVING[table]
+    if not _exists(spark, path):
+        # First load: nothing to merge, write the batch straight into the table.
+        write_serving(batch, path, table)
+        return read_serving(spark, path, table).count()
     staged_batch = scratch_path(spark, f"{table}-batch")
     conform(batch, schema).write.mode("overwrite").parquet(staged_batch)
     batch = spark.read.parquet(staged_batch)
@@ -106,10 +116,6 @@ def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str)
     if n == 0:
         _drop_staging(spark, staged_batch)
         return 0
-    if not _exists(spark, path):
-        write_serving(batch, path, table)
-        _drop_staging(spark, staged_batch)
-        return n
     existing = read_serving(spark, path, table)
     touched = batch.select(*PARTITION_COLUMNS).distinct()
     if touched.count() <= MAX_TOUCHED_PARTITIONS:
