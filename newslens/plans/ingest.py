@@ -116,18 +116,30 @@ def files_per_window(entries: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 # --- window processing ----------------------------------------------------------
-def tag_files(df: DataFrame, path_col: str = "path") -> DataFrame:
-    """Add feed and window columns from the archive file name (one row per file)."""
+def tag_files(df: DataFrame, path_col: str = "path",
+              batch: tuple[dt.datetime, dt.datetime] | None = None) -> DataFrame:
+    """Add feed and window columns from the archive file name (one row per file).
+
+    Without ``batch`` each file goes to its half-day window; with
+    ``batch=(start, end)`` every file is one batch, the requested range.
+    """
     name = F.substring_index(F.col(path_col), "/", -1)
-    ts = manifest.file_key_to_ts(F.substring_index(name, ".", 1))
-    w = window_of(ts)
+    if batch is None:
+        ts = manifest.file_key_to_ts(F.substring_index(name, ".", 1))
+        w = window_of(ts)
+    else:
+        start, end = batch
+        w = {"window_start": F.lit(start).cast("timestamp_ntz"),
+             "window_end": F.lit(end).cast("timestamp_ntz"),
+             "batch_seq": F.lit(int(start.strftime("%Y%m%d%H%M%S")))}
     return df.select("*", manifest.feed_of(name).alias("feed"),
                      *[c.alias(n) for n, c in w.items()])
 
 
-def feed_lines(members: DataFrame) -> DataFrame:
+def feed_lines(members: DataFrame,
+               batch: tuple[dt.datetime, dt.datetime] | None = None) -> DataFrame:
     """Archive members -> lines tagged with feed and window (tagged per member)."""
-    tagged = tag_files(members)
+    tagged = tag_files(members, batch=batch)
     return archives.member_lines(tagged, keep=["path", "member", "feed", *WINDOW_COLUMNS])
 
 
@@ -174,23 +186,30 @@ def window_files(spark: SparkSession, landing_dir: str, manifest_paths: Sequence
 def process_window(spark: SparkSession, landing_dir: str, manifest_paths: Sequence[str] | str,
                    start: dt.datetime, end: dt.datetime, event_mentions_path: str,
                    articles_path: str, quote: str = lines.DEFAULT_QUOTE) -> dict[str, int]:
-    """W3: ingest the files of one window and upsert both serving tables.
+    """W3: ingest the files of ``[start, end]`` as one batch and upsert both tables.
 
     Idempotent: rerunning a window rewrites the same keys with the same rows.
     """
     paths = window_files(spark, landing_dir, manifest_paths, start, end)
-    return ingest_archives(spark, paths, event_mentions_path, articles_path, quote)
+    return ingest_archives(spark, paths, event_mentions_path, articles_path, quote,
+                           batch=(start, end))
 
 
 def ingest_archives(spark: SparkSession, paths: Sequence[str], event_mentions_path: str,
-                    articles_path: str, quote: str = lines.DEFAULT_QUOTE) -> dict[str, int]:
-    """Read each feed's archives once (one task per archive) and upsert."""
+                    articles_path: str, quote: str = lines.DEFAULT_QUOTE,
+                    batch: tuple[dt.datetime, dt.datetime] | None = None) -> dict[str, int]:
+    """Read each feed's archives once (one task per archive) and upsert.
+
+    Files are grouped into half-day windows by name (many windows, one job),
+    or, with ``batch=(start, end)``, all treated as that one batch.
+    """
     by_feed: dict[str, list[str]] = {f: [] for f, _ in manifest.FEED_CLASSES}
     for p in paths:
         feed = feed_of_name(p.rsplit("/", 1)[-1])
         if feed:
             by_feed[feed].append(p)
-    tagged = {f: feed_lines(archives.archive_members(spark, ps)) for f, ps in by_feed.items()}
+    tagged = {f: feed_lines(archives.archive_members(spark, ps), batch)
+              for f, ps in by_feed.items()}
     em, art = process_windows(tagged["export"], tagged["mentions"], tagged["gkg"], quote)
     return {
         "event_mentions": serving.upsert_serving(spark, em, event_mentions_path,
