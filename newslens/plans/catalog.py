@@ -43,6 +43,7 @@ Q35_K = 10
 Q4_PAIR = ("France", "United States")
 Q42_K = 3
 Q42_SUBSTRING_PAIR = ("Niger", "France")
+Q42_HYPHEN_PAIR = ("Guinea", "France")
 
 
 # --- serving tables built from the fixture feeds ------------------------------
@@ -345,6 +346,10 @@ def _registry() -> dict[str, tuple[QueryFn, str | None]]:
                              country2=Q42_SUBSTRING_PAIR[1], granularity="year",
                              limit=Q42_K)),
         oracle.q42(*Q42_SUBSTRING_PAIR, "year", Q42_K))
+    reg["q42_substring_hyphen"] = (
+        _on_articles(partial(Q.themes_by_countries, country1=Q42_HYPHEN_PAIR[0],
+                             country2=Q42_HYPHEN_PAIR[1], granularity="year", limit=Q42_K)),
+        oracle.q42(*Q42_HYPHEN_PAIR, "year", Q42_K))
     return reg
 
 
