@@ -32,6 +32,9 @@ PARTITION_COLUMNS = ["event_year", "event_month"]
 # Above this many touched partitions a batch is merged against the whole table
 # instead of a literal partition list (keeps the plan and the driver list small).
 MAX_TOUCHED_PARTITIONS = 5000
+# Parquet codec of the serving tables: zstd reads about as fast as snappy and
+# stores (and scans) noticeably fewer bytes, which dominates at 100 TB.
+COMPRESSION = "zstd"
 
 SERVING = {
     "event_mentions": (EVENT_MENTIONS_SCHEMA, "global_event_id", "event_country"),
@@ -87,6 +90,7 @@ def write_serving(df: DataFrame, path: str, table: str, mode: str = "overwrite")
      .sortWithinPartitions(*PARTITION_COLUMNS, sort_col)
      .write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
+     .option("compression", COMPRESSION)
      .partitionBy(*PARTITION_COLUMNS)
      .parquet(path))
 
