@@ -195,7 +195,14 @@ def themes_by_countries(articles: DataFrame, country1: str, country2: str,
         second: Column = F.col("second_country")
     else:
         pair = X.canonical_pair_string("first_country", "second_country")
-        df = (articles.withColumn("country_pair", pair)
+        df = articles
+        for name in (country1, country2):
+            # A non-empty name without the separator can only match inside one
+            # member, so this implied filter is exact and reaches the scan.
+            if name and X.PAIR_SEP not in name:
+                df = df.filter(F.col("first_country").contains(name)
+                               | F.col("second_country").contains(name))
+        df = (df.withColumn("country_pair", pair)
               .filter(F.col("country_pair").contains(country1)
                       & F.col("country_pair").contains(country2)))
         keys = ["country_pair"]
