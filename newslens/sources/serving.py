@@ -32,6 +32,9 @@ PARTITION_COLUMNS = ["event_year", "event_month"]
 # Above this many touched partitions a batch is merged against the whole table
 # instead of a literal partition list (keeps the plan and the driver list small).
 MAX_TOUCHED_PARTITIONS = 5000
+# Batch keys are broadcast to the merge (instead of shuffling the existing
+# partitions) only when their counted size is below this bound.
+BROADCAST_KEYS_MAX_BYTES = 256 << 20
 # Parquet codec of the serving tables: zstd reads about as fast as snappy and
 # stores (and scans) noticeably fewer bytes, which dominates at 100 TB.
 COMPRESSION = "zstd"
@@ -116,7 +119,11 @@ def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str)
     staged_batch = scratch_path(spark, f"{table}-batch")
     conform(batch, schema).write.mode("overwrite").parquet(staged_batch)
     batch = spark.read.parquet(staged_batch)
-    n = batch.count()
+    stats = batch.agg(F.count(F.lit(1)).alias("n"),
+                      F.max(F.length(F.col(key).cast("string"))).alias("w")).first()
+    n = stats["n"]
+    # Proven bound on the batch keys: rows x longest key (plus per-row overhead).
+    key_bytes = n * ((stats["w"] or 0) + 16)
     if n == 0:
         _drop_staging(spark, staged_batch)
         return 0
@@ -132,7 +139,8 @@ def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str)
     staging = [staged_batch]
     if replaced:
         in_replaced = _partition_predicate(replaced)
-        merged = merge_keyed(existing.filter(in_replaced), batch.filter(in_replaced), key)
+        merged = merge_keyed(existing.filter(in_replaced), batch.filter(in_replaced), key,
+                             broadcast_keys=key_bytes <= BROADCAST_KEYS_MAX_BYTES)
         staged = scratch_path(spark, f"{table}-merged")
         write_serving(merged, staged, table)
         write_serving(spark.read.parquet(staged), path, table)
