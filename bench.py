@@ -30,7 +30,8 @@ def query_set(em, art):
     the fixture data; k values are the reference's (3/3/1, 3/3/1, 10/3/1)."""
     src, pair = "msn.com", ("France", "United States")
     calls = [
-        ("q1_one_language", lambda: Q.articles_by_date_country_language(em, 1998, 5, 2, "FR", "eng")),
+        ("q1_one_language",
+         lambda: Q.articles_by_date_country_language(em, 1998, 5, 2, "FR", "eng")),
         ("q1_all_languages", lambda: Q.articles_by_date_country_language(em, 1998, 5, 2, "FR")),
     ]
     for g in ("year", "month", "day"):

@@ -91,7 +91,8 @@ def _with(*ctes: str) -> str:
 
 def with_event_tables() -> str:
     return _with(fixture_cte(["raw_export", "raw_mentions"]),
-                 EVENT_MENTIONS_CTE.format(name="event_mentions", export="raw_export", mentions="raw_mentions"),
+                 EVENT_MENTIONS_CTE.format(name="event_mentions", export="raw_export",
+                                           mentions="raw_mentions"),
                  UPSERT_EVENT_MENTIONS_CTE.format(name="upsert_event_mentions",
                                                   source="event_mentions"))
 
@@ -221,7 +222,8 @@ FROM raw_export e JOIN raw_mentions m ON e.GlobalEventID = m.GlobalEventID"""
 
 def event_mentions() -> str:
     return _with(fixture_cte(["raw_export", "raw_mentions"]),
-                 EVENT_MENTIONS_CTE.format(name="event_mentions", export="raw_export", mentions="raw_mentions")) + \
+                 EVENT_MENTIONS_CTE.format(name="event_mentions", export="raw_export",
+                                           mentions="raw_mentions")) + \
         "SELECT * FROM event_mentions"
 
 
@@ -345,7 +347,8 @@ def manifest_window(start: str, end: str, file_type: str) -> str:
     return _with(fixture_cte(["raw_manifest"]), _ENTRIES) + f"""
 SELECT url, file_name, file_key, strftime(file_ts, '%Y-%m-%d %H:%M:%S') AS file_time
 FROM entries
-WHERE contains(url, {_lit(file_type)}) AND file_ts BETWEEN TIMESTAMP {_lit(start)} AND TIMESTAMP {_lit(end)}"""
+WHERE contains(url, {_lit(file_type)})
+  AND file_ts BETWEEN TIMESTAMP {_lit(start)} AND TIMESTAMP {_lit(end)}"""
 
 
 def manifest_by_feed() -> str:
