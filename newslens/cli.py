@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import inspect
 import sys
 
 from pyspark.sql import SparkSession
@@ -83,8 +84,8 @@ def cmd_query(spark: SparkSession, a: argparse.Namespace) -> int:
     table, fn = QUERIES[a.name]
     em, art = _paths(a.tables)
     df = serving.read_serving(spark, em if table == "event_mentions" else art, table)
-    kwargs = {k: v for k, v in vars(a).items()
-              if k in fn.__code__.co_varnames and v is not None}
+    params = inspect.signature(fn).parameters
+    kwargs = {k: v for k, v in vars(a).items() if k in params and v is not None}
     fn(df, **kwargs).show(a.show, truncate=False)
     return 0
 
