@@ -1,10 +1,11 @@
-"""Command line: ingest windows, run the stream, run a query.
+"""Command line: ingest windows, run the stream, run a query, compact tables.
 
     python -m newslens ingest --landing DIR --manifest FILE [--manifest FILE] \\
         --start 2024-01-05 --end 2024-01-07 --tables DIR [--one-job]
     python -m newslens stream --landing DIR --tables DIR --checkpoint DIR [--continuous]
     python -m newslens query themes_by_source --tables DIR --source msn.com \\
         --granularity month --limit 3
+    python -m newslens compact --tables DIR [--min-files 8]
 
 ``ingest`` walks the half-day windows of the date range in order (a failed
 window is reported and the walk goes on), or with ``--one-job`` ingests the
@@ -80,6 +81,14 @@ def cmd_stream(spark: SparkSession, a: argparse.Namespace) -> int:
     return 0
 
 
+def cmd_compact(spark: SparkSession, a: argparse.Namespace) -> int:
+    em, art = _paths(a.tables)
+    for path, table in ((em, "event_mentions"), (art, "articles")):
+        n = serving.compact_serving(spark, path, table, a.min_files)
+        print(f"{table}: {n} partitions rewritten")
+    return 0
+
+
 def cmd_query(spark: SparkSession, a: argparse.Namespace) -> int:
     table, fn = QUERIES[a.name]
     em, art = _paths(a.tables)
@@ -107,6 +116,9 @@ def main(argv: list[str] | None = None) -> int:
     ps.add_argument("--checkpoint", required=True)
     ps.add_argument("--continuous", action="store_true")
     ps.add_argument("--quote", default='"')
+    pc = sub.add_parser("compact")
+    pc.add_argument("--tables", required=True)
+    pc.add_argument("--min-files", type=int, default=8)
     pq = sub.add_parser("query")
     pq.add_argument("name", choices=sorted(QUERIES))
     pq.add_argument("--tables", required=True)
@@ -119,7 +131,9 @@ def main(argv: list[str] | None = None) -> int:
     pq.add_argument("--exact", action="store_true", default=None)
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"newslens-{a.cmd}").getOrCreate()
-    return {"ingest": cmd_ingest, "stream": cmd_stream, "query": cmd_query}[a.cmd](spark, a)
+    commands = {"ingest": cmd_ingest, "stream": cmd_stream, "query": cmd_query,
+                "compact": cmd_compact}
+    return commands[a.cmd](spark, a)
 
 
 if __name__ == "__main__":

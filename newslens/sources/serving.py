@@ -169,3 +169,31 @@ def _partition_predicate(rows) -> F.Column:
             m = m | F.col(month_col).isNull()
         cond = cond | (y & m)
     return cond
+
+
+def compact_serving(spark: SparkSession, path: str, table: str, min_files: int = 8) -> int:
+    """Rewrite partitions holding at least ``min_files`` files (from appends).
+
+    Files per partition are counted by a Spark job (no driver-side listing);
+    the partitions to rewrite are read, written to staging (cutting the lineage)
+    and swapped in with dynamic partition overwrite.  Rows are unchanged.
+    Returns the number of partitions rewritten.
+    """
+    files = (read_serving(spark, path, table)
+             .select(F.input_file_name().alias("f"), *PARTITION_COLUMNS).distinct()
+             .groupBy(*PARTITION_COLUMNS).agg(F.count("*").alias("files"))
+             .filter(F.col("files") >= min_files))
+    if files.count() > MAX_TOUCHED_PARTITIONS:
+        targets = None
+    else:
+        targets = files.select(*PARTITION_COLUMNS).collect()
+        if not targets:
+            return 0
+    rows = read_serving(spark, path, table)
+    if targets is not None:
+        rows = rows.filter(_partition_predicate(targets))
+    staged = scratch_path(spark, f"{table}-compact")
+    write_serving(rows, staged, table)
+    write_serving(read_serving(spark, staged, table), path, table)
+    _drop_staging(spark, staged)
+    return len(targets) if targets is not None else files.count()
