@@ -3,6 +3,7 @@
     python -m newslens ingest --landing DIR --manifest FILE [--manifest FILE] \\
         --start 2024-01-05 --end 2024-01-07 --tables DIR [--one-job]
     python -m newslens stream --landing DIR --tables DIR --checkpoint DIR [--continuous]
+        [--complete-windows [--lateness "15 minutes"]]
     python -m newslens query themes_by_source --tables DIR --source msn.com \\
         --granularity month --limit 3
     python -m newslens compact --tables DIR [--min-files 8]
@@ -72,11 +73,15 @@ def cmd_ingest(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def cmd_stream(spark: SparkSession, a: argparse.Namespace) -> int:
-    from newslens.streaming.ingest_stream import start_ingest_stream
+    from newslens.streaming.ingest_stream import start_ingest_stream, start_window_stream
 
     em, art = _paths(a.tables)
-    q = start_ingest_stream(spark, a.landing, em, art, a.checkpoint,
-                            available_now=not a.continuous, quote=a.quote)
+    if a.complete_windows:
+        q = start_window_stream(spark, a.landing, em, art, a.checkpoint, lateness=a.lateness,
+                                available_now=not a.continuous, quote=a.quote)
+    else:
+        q = start_ingest_stream(spark, a.landing, em, art, a.checkpoint,
+                                available_now=not a.continuous, quote=a.quote)
     q.awaitTermination()
     return 0
 
@@ -115,6 +120,9 @@ def main(argv: list[str] | None = None) -> int:
     ps.add_argument("--tables", required=True)
     ps.add_argument("--checkpoint", required=True)
     ps.add_argument("--continuous", action="store_true")
+    ps.add_argument("--complete-windows", action="store_true",
+                    help="process each half-day window once, when the watermark passes it")
+    ps.add_argument("--lateness", default="15 minutes")
     ps.add_argument("--quote", default='"')
     pc = sub.add_parser("compact")
     pc.add_argument("--tables", required=True)

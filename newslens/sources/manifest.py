@@ -41,6 +41,21 @@ def file_key_to_ts(key: Column) -> Column:
     return bind(key, parse)
 
 
+def file_key_to_event_time(key: Column) -> Column:
+    """The file's wall-clock time read as UTC, as a TIMESTAMP (for watermarks).
+
+    Streaming event time must be a TIMESTAMP; reading the digits as UTC keeps
+    it independent of the session time zone and aligns 12-hour tumbling
+    windows with the feed's half days.
+    """
+    def parse(k: Column) -> Column:
+        part = [F.substring(k, pos, n).cast("int") for pos, n in
+                ((1, 4), (5, 2), (7, 2), (9, 2), (11, 2), (13, 2))]
+        return F.when(k.rlike(FILE_KEY_PATTERN),
+                      F.try_make_timestamp(*part, timezone=F.lit("UTC")))
+    return bind(key, parse)
+
+
 def feed_of(url: Column) -> Column:
     """Feed name of a URL by substring, first match wins (null if none)."""
     out = None
