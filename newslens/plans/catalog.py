@@ -26,7 +26,7 @@ from newslens.sources.fixtures import (LINE_FIXTURES, TWO_WINDOW_SPLITS, TWO_WIN
                                        fixture, window_lines, write_archives)
 from newslens.sources.lines import parse_lines
 from newslens.session import scratch_path
-from newslens.streaming.ingest_stream import start_ingest_stream
+from newslens.streaming.ingest_stream import start_ingest_stream, start_window_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -208,6 +208,17 @@ def _stream(table: str) -> QueryFn:
     return run
 
 
+def _window_stream(spark, sf_dir):
+    """W4, continuous form: only window 1 is complete (window 2 is the newest)."""
+    landing = _landing(spark, sf_dir)
+    em_path, art_path = (scratch_path(spark, "wstream-event_mentions"),
+                         scratch_path(spark, "wstream-articles"))
+    start_window_stream(spark, landing, em_path, art_path,
+                        scratch_path(spark, "wstream-checkpoint"),
+                        available_now=True).awaitTermination()
+    return serving.read_serving(spark, em_path, "event_mentions")
+
+
 def _process_window_files(table: str) -> QueryFn:
     """W3 from files: manifest -> window's archives -> parse -> upsert, per window."""
     def run(spark, sf_dir):
@@ -332,6 +343,8 @@ def _registry() -> dict[str, tuple[QueryFn, str | None]]:
                             oracle.two_window_event_mentions(TWO_WINDOW_SPLITS))
     reg["stream_upsert_articles"] = (_stream("articles"),
                                      oracle.two_window_articles(TWO_WINDOW_SPLITS))
+    reg["window_stream_upsert"] = (
+        _window_stream, oracle.two_window_event_mentions({1: TWO_WINDOW_SPLITS[1]}))
     reg["process_window"] = (_process_window_files("event_mentions"),
                              oracle.two_window_event_mentions(TWO_WINDOW_SPLITS))
     reg["process_window_articles"] = (_process_window_files("articles"),
