@@ -15,14 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslens.functions import fields as X
-from newslens.operators.period import period_columns, period_desc, top_k_per_group
+from newslens.operators.period import (WINDOW_GROUP_LIMIT_MAX_K, period_columns, period_desc,
+                                       top_k_per_group)
 
 ARTICLE_PERIOD_OUTPUT = ["event_themes", "person_list", "first_country", "event_tone"]
 
 
 # Above this k the per-period rank filter is no longer planned as a partial
 # WindowGroupLimit (Spark's windowGroupLimitThreshold) and results stop being small.
-SMALL_K = 1000
+SMALL_K = WINDOW_GROUP_LIMIT_MAX_K
 
 
 def ordered_result(df: DataFrame, *order: Column | str, k: int = 1) -> DataFrame:
