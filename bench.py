@@ -17,7 +17,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from newslens.plans import queries as Q  # noqa: E402
+from newslens.plans.calls import reference_calls  # noqa: E402
 from newslens.plans.catalog import (_landing, serving_articles,  # noqa: E402
                                     serving_event_mentions)
 from newslens.plans.ingest import ingest_archives  # noqa: E402
@@ -26,31 +26,9 @@ from newslens.sources.serving import read_serving, write_serving  # noqa: E402
 
 
 def query_set(em, art):
-    """The reference's timed calls: (name, thunk).  Filters use values present in
-    the fixture data; k values are the reference's (3/3/1, 3/3/1, 10/3/1)."""
-    src, pair = "msn.com", ("France", "United States")
-    calls = [
-        ("q1_one_language",
-         lambda: Q.articles_by_date_country_language(em, 1998, 5, 2, "FR", "eng")),
-        ("q1_all_languages", lambda: Q.articles_by_date_country_language(em, 1998, 5, 2, "FR")),
-    ]
-    for g in ("year", "month", "day"):
-        calls.append((f"q2_{g}", lambda g=g: Q.most_mentioned_events(em, "FR", g)))
-    for g in ("year", "month", "day"):
-        calls.append((f"q31_{g}", lambda g=g: Q.all_by_source(art, src, g, 100)))
-    for g in ("year", "month", "day"):
-        calls.append((f"q32_{g}", lambda g=g: Q.tone_and_count_by_source(art, src, g)))
-    for g, k in (("year", 3), ("month", 3), ("day", 1)):
-        calls.append((f"q33_{g}", lambda g=g, k=k: Q.themes_by_source(art, src, g, k)))
-    for g, k in (("year", 3), ("month", 3), ("day", 1)):
-        calls.append((f"q34_{g}", lambda g=g, k=k: Q.locations_by_source(art, src, g, k)))
-    for g, k in (("year", 10), ("month", 3), ("day", 1)):
-        calls.append((f"q35_{g}", lambda g=g, k=k: Q.persons_by_source(art, src, g, k)))
-    for g in ("year", "month", "day"):
-        calls.append((f"q41_{g}", lambda g=g: Q.tone_and_count_by_countries(art, *pair, g)))
-    for g in ("year", "month", "day"):
-        calls.append((f"q42_{g}", lambda g=g: Q.themes_by_countries(art, *pair, g, 3)))
-    return calls
+    """The reference's 26 timed calls with filter values present in the fixture
+    data (its own day, 2022-01-20, has no rows there); its k values are kept."""
+    return reference_calls(em, art, day=(1998, 5, 2))
 
 
 def main() -> None:

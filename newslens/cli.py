@@ -6,6 +6,7 @@
         [--complete-windows [--lateness "15 minutes"]]
     python -m newslens query themes_by_source --tables DIR --source msn.com \\
         --granularity month --limit 3
+    python -m newslens calls --tables DIR [--day 1998-05-02 --country FR --source msn.com]
     python -m newslens compact --tables DIR [--min-files 8]
 
 ``ingest`` walks the half-day windows of the date range in order (a failed
@@ -94,6 +95,28 @@ def cmd_compact(spark: SparkSession, a: argparse.Namespace) -> int:
     return 0
 
 
+def cmd_calls(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Run and time the reference's 26 query calls (build + show, as it did)."""
+    import time
+
+    from newslens.plans.calls import reference_calls
+
+    em, art = _paths(a.tables)
+    kwargs = {}
+    if a.day:
+        kwargs["day"] = tuple(int(x) for x in a.day.split("-"))
+    for opt in ("country", "source"):
+        if getattr(a, opt):
+            kwargs[opt] = getattr(a, opt)
+    calls = reference_calls(serving.read_serving(spark, em, "event_mentions"),
+                            serving.read_serving(spark, art, "articles"), **kwargs)
+    for name, thunk in calls:
+        t0 = time.perf_counter()
+        thunk().show(a.show, truncate=False)
+        print(f"{name}: {time.perf_counter() - t0:.3f} s")
+    return 0
+
+
 def cmd_query(spark: SparkSession, a: argparse.Namespace) -> int:
     table, fn = QUERIES[a.name]
     em, art = _paths(a.tables)
@@ -124,6 +147,12 @@ def main(argv: list[str] | None = None) -> int:
                     help="process each half-day window once, when the watermark passes it")
     ps.add_argument("--lateness", default="15 minutes")
     ps.add_argument("--quote", default='"')
+    pk = sub.add_parser("calls")
+    pk.add_argument("--tables", required=True)
+    pk.add_argument("--day", help="YYYY-MM-DD for Q1 (default: the reference's)")
+    pk.add_argument("--country")
+    pk.add_argument("--source")
+    pk.add_argument("--show", type=int, default=20)
     pc = sub.add_parser("compact")
     pc.add_argument("--tables", required=True)
     pc.add_argument("--min-files", type=int, default=8)
@@ -140,7 +169,7 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"newslens-{a.cmd}").getOrCreate()
     commands = {"ingest": cmd_ingest, "stream": cmd_stream, "query": cmd_query,
-                "compact": cmd_compact}
+                "calls": cmd_calls, "compact": cmd_compact}
     return commands[a.cmd](spark, a)
 
 
