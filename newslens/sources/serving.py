@@ -132,15 +132,17 @@ def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str)
     if touched.count() <= MAX_TOUCHED_PARTITIONS:
         # A literal predicate on the partition columns prunes at planning time.
         existing = existing.filter(_partition_predicate(touched.collect()))
+    small_keys = key_bytes <= BROADCAST_KEYS_MAX_BYTES
+    batch_keys = F.broadcast(batch.select(key)) if small_keys else batch.select(key)
     replaced = (existing.select(key, *PARTITION_COLUMNS)
-                .join(batch.select(key), on=key, how="left_semi")
+                .join(batch_keys, on=key, how="left_semi")
                 .select(*PARTITION_COLUMNS).distinct().collect())
     rest = batch
     staging = [staged_batch]
     if replaced:
         in_replaced = _partition_predicate(replaced)
         merged = merge_keyed(existing.filter(in_replaced), batch.filter(in_replaced), key,
-                             broadcast_keys=key_bytes <= BROADCAST_KEYS_MAX_BYTES)
+                             broadcast_keys=small_keys)
         staged = scratch_path(spark, f"{table}-merged")
         write_serving(merged, staged, table)
         write_serving(spark.read.parquet(staged), path, table)
