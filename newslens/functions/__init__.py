@@ -1,0 +1 @@
+"""Column expressions for the feed's delimited mini-languages (no Python UDFs)."""
