@@ -128,10 +128,12 @@ def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str)
         _drop_staging(spark, staged_batch)
         return 0
     existing = read_serving(spark, path, table)
-    touched = batch.select(*PARTITION_COLUMNS).distinct()
-    if touched.count() <= MAX_TOUCHED_PARTITIONS:
+    # At most MAX + 1 rows reach the driver: the bound check and the list in one job.
+    touched = (batch.select(*PARTITION_COLUMNS).distinct()
+               .limit(MAX_TOUCHED_PARTITIONS + 1).collect())
+    if len(touched) <= MAX_TOUCHED_PARTITIONS:
         # A literal predicate on the partition columns prunes at planning time.
-        existing = existing.filter(_partition_predicate(touched.collect()))
+        existing = existing.filter(_partition_predicate(touched))
     small_keys = key_bytes <= BROADCAST_KEYS_MAX_BYTES
     batch_keys = F.broadcast(batch.select(key)) if small_keys else batch.select(key)
     replaced = (existing.select(key, *PARTITION_COLUMNS)
@@ -185,12 +187,11 @@ def compact_serving(spark: SparkSession, path: str, table: str, min_files: int =
              .select(F.input_file_name().alias("f"), *PARTITION_COLUMNS).distinct()
              .groupBy(*PARTITION_COLUMNS).agg(F.count("*").alias("files"))
              .filter(F.col("files") >= min_files))
-    if files.count() > MAX_TOUCHED_PARTITIONS:
+    targets = files.select(*PARTITION_COLUMNS).limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+    if not targets:
+        return 0
+    if len(targets) > MAX_TOUCHED_PARTITIONS:
         targets = None
-    else:
-        targets = files.select(*PARTITION_COLUMNS).collect()
-        if not targets:
-            return 0
     rows = read_serving(spark, path, table)
     if targets is not None:
         rows = rows.filter(_partition_predicate(targets))
