@@ -70,13 +70,19 @@ def main() -> None:
     # The production ingest path on archives: two half-day windows of all three
     # feeds as zip files (written beforehand, not timed), unzipped, parsed,
     # de-duplicated and upserted into fresh serving tables in one job each.
-    landing = _landing(spark, sf_dir)
-    paths = [r.path for r in spark.read.format("binaryFile").load(landing)
-             .select("path").collect()]
-    t0 = time.perf_counter()
-    ingest_archives(spark, paths, scratch_path(spark, "bench-arch-em"),
-                    scratch_path(spark, "bench-arch-art"))
-    timings["ingest_archives_two_windows"] = time.perf_counter() - t0
+    # Optional measurement: its fixture writer needs a locally visible folder,
+    # so a failure here must not cost the query metric above.
+    notes = {}
+    try:
+        landing = _landing(spark, sf_dir)
+        paths = [r.path for r in spark.read.format("binaryFile").load(landing)
+                 .select("path").collect()]
+        t0 = time.perf_counter()
+        ingest_archives(spark, paths, scratch_path(spark, "bench-arch-em"),
+                        scratch_path(spark, "bench-arch-art"))
+        timings["ingest_archives_two_windows"] = time.perf_counter() - t0
+    except Exception as exc:  # noqa: BLE001
+        notes["ingest_archives_two_windows"] = f"skipped: {type(exc).__name__}"
     out = {
         "metric": "reference_query_set_total",
         "value": round(query_total, 4),
@@ -88,6 +94,8 @@ def main() -> None:
         "repeats": repeats,
         "spark": spark.version,
     }
+    if notes:
+        out["notes"] = notes
     print(json.dumps(out))
     spark.stop()
 
