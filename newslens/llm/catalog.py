@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.llm import mixing, packing, topk, warc
+from newslens.llm import mixing, packing, simhash, topk, warc
 from newslens.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -31,8 +31,13 @@ def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            "record_type", "refers_to")
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op2_harmonic_packing, op4_source_mixing, op5_exact_top_k, op7_warc_archive)}
+    op2_harmonic_packing, op4_source_mixing, op5_exact_top_k, op7_warc_archive,
+    op9_simhash_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_top_k": """
