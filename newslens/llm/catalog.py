@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.llm import mixing, packing, simhash, topk, warc
-from newslens.llm.common import table
+from newslens.llm import html_extract, langid, mixing, packing, simhash, topk, warc
+from newslens.llm.common import fold, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -35,9 +39,16 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(fold("doc_id", langid.FOLDS) == langid.HELD_OUT, F.lit(False))
+    return langid.identify(docs, langid.learnable()).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op2_harmonic_packing, op4_source_mixing, op5_exact_top_k, op7_warc_archive,
-    op9_simhash_near_dedup)}
+    op1_html_main_text, op2_harmonic_packing, op4_source_mixing, op5_exact_top_k, op7_warc_archive,
+    op9_simhash_near_dedup, op10_language_id)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_top_k": """
