@@ -35,7 +35,7 @@ from newslens.llm.common import materialize
 BLOCK_WORDS = 64
 MAX_REPEATS = 3
 WEIGHTS = (1, 2, 3)
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 512
 #: At most this many output shards, each of at least SHARD_SLOTS slots.
 MAX_SHARDS = 1 << 14
 SHARD_SLOTS = 4096
