@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.llm import html_extract, langid, mixing, packing, simhash, topk, warc
+from newslens.llm import html_extract, langid, mixing, packing, simhash, syncmers, topk, warc
 from newslens.llm.common import fold, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op1_html_main_text, op2_harmonic_packing, op4_source_mixing, op5_exact_top_k, op7_warc_archive,
+    op1_html_main_text, op2_harmonic_packing, op3_closed_syncmers,
+    op4_source_mixing, op5_exact_top_k, op7_warc_archive,
     op9_simhash_near_dedup, op10_language_id)}
 
 ORACLE_SQL: dict[str, str] = {

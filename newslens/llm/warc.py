@@ -40,8 +40,8 @@ MAX_ARCHIVE_BYTES = 1 << 30
 #: Ranges closer than this are read together, up to the size of one read.
 MAX_GAP_BYTES = 1 << 16
 MAX_READ_BYTES = 8 << 20
-#: Index rows of one archive are dealt to readers in pieces of this size.
-READER_BYTES = 64 << 20
+#: Readers are dealt stretches of an archive of this size.
+READER_BYTES = 8 << 20
 
 # Fixed values of the WARC/1.1 format.
 VERSION = "WARC/1.1"
@@ -199,5 +199,8 @@ def read_records(selected: DataFrame) -> DataFrame:
                             data[o - start:o - start + n], 31)) for o, n in run])
 
     place = selected.select("file", "offset", "length")
-    dealt = place.repartition("file", F.floor(F.col("offset") / READER_BYTES))
+    total = place.agg(F.sum("length")).first()[0] or 0
+    # A fixed number: an index row is small, but what it points to is not.
+    dealt = place.repartition(max(1, -(-total // READER_BYTES)), "file",
+                              F.floor(F.col("offset") / READER_BYTES))
     return dealt.sortWithinPartitions("file", "offset").mapInArrow(read, RECORD_SCHEMA)
