@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.llm import html_extract, langid, mixing, packing, simhash, syncmers, topk, warc
+from newslens.llm import (ctw, html_extract, langid, mixing, packing, simhash, syncmers, topk,
+                          warc)
 from newslens.llm.common import fold, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,13 @@ def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op6_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = ctw.held_out()
+    return ctw.score(docs, ~held_out & F.col("doc_id").isNotNull()).withColumn(
+        "held_out", held_out)
+
+
 def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write_archives(table(spark, sf_dir, "pages"))
     return warc.read_records(index).select("page_id", "payload_bytes", "payload_digest",
@@ -52,7 +60,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_html_main_text, op2_harmonic_packing, op3_closed_syncmers,
-    op4_source_mixing, op5_exact_top_k, op7_warc_archive,
+    op4_source_mixing, op5_exact_top_k, op6_context_tree_weighting, op7_warc_archive,
     op9_simhash_near_dedup, op10_language_id)}
 
 ORACLE_SQL: dict[str, str] = {
