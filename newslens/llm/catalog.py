@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.llm import (ctw, html_extract, langid, mixing, packing, simhash, syncmers, topk,
-                          warc)
+from newslens.llm import (ctw, html_extract, langid, mixing, packing, simhash, suffix_dedup,
+                          syncmers, topk, warc)
 from newslens.llm.common import fold, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            "record_type", "refers_to")
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -59,8 +63,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op1_html_main_text, op2_harmonic_packing, op3_closed_syncmers,
-    op4_source_mixing, op5_exact_top_k, op6_context_tree_weighting, op7_warc_archive,
+    op1_html_main_text, op2_harmonic_packing, op3_closed_syncmers, op4_source_mixing,
+    op5_exact_top_k, op6_context_tree_weighting, op7_warc_archive, op8_suffix_array_dedup,
     op9_simhash_near_dedup, op10_language_id)}
 
 ORACLE_SQL: dict[str, str] = {

@@ -28,3 +28,20 @@ def fold(doc_id: str | Column, folds: int) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def packed(batch) -> bytes:
+    """An Arrow table as one compressed value."""
+    import pyarrow as pa
+
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema,
+                           options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_table(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(value: bytes):
+    import pyarrow as pa
+
+    return pa.ipc.open_stream(value).read_all()

@@ -224,8 +224,8 @@ def learnable(doc_id: str = "doc_id", folds: int = FOLDS, held_out: int = HELD_O
 
 
 def identify(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text",
-             label: str = "lang") -> DataFrame:
-    """The columns of ``docs`` with ``lang_pred`` and ``score``; learns where ``train`` holds."""
+             label: str = "lang", names: tuple = ("lang_pred", "score")) -> DataFrame:
+    """The columns of ``docs`` and the prediction under ``names``; learns where ``train`` holds."""
     model = fit(docs.filter(train).select(F.col(doc_id).cast("long").alias("id"),
                                           F.col(label).cast("string").alias("label"),
                                           F.col(text).alias("text")))
@@ -239,4 +239,5 @@ def identify(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str =
                                 "score": pd.Series([g[1] for g in got], dtype=float)})
 
     return docs.withColumn("_guess", guess(F.col(text))).select(
-        *[F.col(c) for c in docs.columns], "_guess.lang_pred", "_guess.score")
+        *[F.col(c) for c in docs.columns], F.col("_guess.lang_pred").alias(names[0]),
+        F.col("_guess.score").alias(names[1]))

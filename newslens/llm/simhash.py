@@ -31,8 +31,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newslens.llm.common import materialize
 
@@ -68,18 +69,21 @@ def text_fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> in
                           "little")
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+def fingerprints(docs: DataFrame, text: str = "text",
                  shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) with the fingerprint as a signed long."""
+    """The columns of ``docs``, the text's fingerprint as a signed long behind them."""
+    n = docs.columns.index(text)
+    name = "_fp"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([text_fingerprint(t.as_py(), shingle_words) for t in b.column(1)],
+            fps = np.array([text_fingerprint(t.as_py(), shingle_words) for t in b.column(n)],
                            np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))],
-                                             names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps.view(np.int64))],
+                                             names=[*b.schema.names, name])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"),
-                       F.col(text).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields,
+                                              T.StructField(name, T.LongType())]))
 
 
 def block_keys(fp: Column, radius: int = RADIUS) -> Column:
@@ -256,16 +260,39 @@ def stars(edges: DataFrame, name: str = "simhash-stars") -> DataFrame:
     return edges.select("a", F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                    shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row."""
-    fps = materialize(fingerprints(docs, doc_id, text, shingle_words), "simhash-fingerprints")
+def components(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(fp, first, root): every fingerprint, its smallest id and its component's root."""
     distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first")),
                            "simhash-distinct")
     root = stars(links(distinct, radius))
-    placed = distinct.join(root, distinct["fp"] == root["a"], "left").select(
+    return distinct.join(root, distinct["fp"] == root["a"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                    shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for every row."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    fps = materialize(fingerprints(rows, "text", shingle_words).select(
+        "doc_id", F.col("_fp").alias("fp")), "simhash-fingerprints")
+    placed = components(fps, radius)
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     named = placed.join(least, "root").select("fp", "component_id")
     return fps.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                  shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
+    """The columns of ``docs`` for one row of each component: that of the smallest id."""
+    rows = materialize(fingerprints(docs, text, shingle_words), "simhash-documents")
+    keys = rows.select(F.col(doc_id).cast("long").alias("doc_id"), F.col("_fp").alias("fp"))
+    placed = components(keys, radius)
+    # One candidate a fingerprint before anything meets by component.
+    by_root = Window.partitionBy("root").orderBy(F.col("first").asc_nulls_last(), "fp")
+    chosen = placed.withColumn("nth", F.row_number().over(by_root)).filter("nth = 1").select(
+        F.col("first").alias("_first"), F.col("fp").alias("_chosen"))
+    kept = rows.join(chosen, (F.col("_fp") == F.col("_chosen"))
+                     & F.col(doc_id).cast("long").eqNullSafe(F.col("_first")), "left_semi")
+    # Rows that repeat both id and fingerprint are copies of each other.
+    return kept.dropDuplicates([doc_id, "_fp"]).select(*docs.columns)
