@@ -35,6 +35,9 @@ K = 20
 CANDIDATE_ROWS = 8192
 QUERY_ROWS = 512
 TILE = 16
+RUN = 2048
+#: Lists that cover more of a block than this are added as a whole.
+DENSE = 0.1
 
 _BLOCK = "n long, ids binary, dims binary, rows binary, weights binary"
 
@@ -92,26 +95,40 @@ def _postings(dims, rows, weights) -> dict[int, tuple[np.ndarray, np.ndarray]]:
 
 
 def accumulate(query: dict, n_query: int, cand: dict, n_cand: int) -> Iterator[tuple]:
-    """(first query, scores) tiles; scores has one dense row per query."""
+    """(first query, scores) tiles; scores has one dense row per query.
+
+    Candidates are passed in runs that stay in the processor's cache.
+    """
     largest = sum(int(np.abs(query[t][1]).max()) * int(np.abs(cand[t][1]).max())
                   for t in query if t in cand)
     kind = np.int32 if largest < 2**31 else np.int64
-    dense = {}
+    terms = []
     for t, (r, w) in query.items():
-        dense[t] = np.zeros(n_query, kind)
-        dense[t][r] = w
-    postings = {t: (r, w.astype(kind)) for t, (r, w) in cand.items()}
+        if t in cand:
+            dense = np.zeros((n_query, 1), kind)
+            dense[r, 0] = w
+            rows, weights = cand[t][0], cand[t][1].astype(kind)
+            if len(rows) > n_cand * DENSE:
+                # A long list is laid out with its gaps: adding zeros beats scattering.
+                line = np.zeros(n_cand, kind)
+                line[rows] = weights
+                rows, weights = np.arange(n_cand), line
+            terms.append((dense, rows, weights))
     for first in range(0, n_query, TILE):
         m = min(TILE, n_query - first)
         scores = np.zeros((m, n_cand), kind)
-        for t, (r, w) in postings.items():
-            if t not in dense:
-                continue
-            part = dense[t][first:first + m, None] * w[None, :]
-            if len(r) == n_cand:
-                scores += part
-            else:
-                scores[:, r] += part
+        for low in range(0, n_cand, RUN):
+            high = min(low + RUN, n_cand)
+            run = np.zeros((m, high - low), kind)
+            part = np.empty_like(run)
+            for dense, rows, weights in terms:
+                a, b = np.searchsorted(rows, (low, high))
+                if b - a == high - low:
+                    np.multiply(dense[first:first + m], weights[a:b], out=part)
+                    run += part
+                else:
+                    run[:, rows[a:b] - low] += dense[first:first + m] * weights[a:b]
+            scores[:, low:high] = run
         yield first, scores
 
 
