@@ -3,7 +3,7 @@
     python -m newslens ingest --landing DIR --manifest FILE [--manifest FILE] \\
         --start 2024-01-05 --end 2024-01-07 --tables DIR [--one-job]
     python -m newslens stream --landing DIR --tables DIR --checkpoint DIR [--continuous]
-        [--complete-windows [--lateness "15 minutes"]]
+        [--complete-windows]
     python -m newslens query themes_by_source --tables DIR --source msn.com \\
         --granularity month --limit 3
     python -m newslens calls --tables DIR [--day 1998-05-02 --country FR --source msn.com]
@@ -54,8 +54,7 @@ def cmd_ingest(spark: SparkSession, a: argparse.Namespace) -> int:
     if a.one_job:
         lo = dt.datetime.combine(start, dt.time(0, 0))
         hi = dt.datetime.combine(end, dt.time(23, 59, 59))
-        paths = ingest.window_files(spark, a.landing, a.manifest, lo, hi)
-        print(ingest.ingest_archives(spark, paths, em, art, quote=a.quote))
+        print(ingest.ingest_range(spark, a.landing, a.manifest, lo, hi, em, art, a.quote))
         return 0
     failed = 0
     day = start
@@ -77,13 +76,9 @@ def cmd_stream(spark: SparkSession, a: argparse.Namespace) -> int:
     from newslens.streaming.ingest_stream import start_ingest_stream, start_window_stream
 
     em, art = _paths(a.tables)
-    if a.complete_windows:
-        q = start_window_stream(spark, a.landing, em, art, a.checkpoint, lateness=a.lateness,
-                                available_now=not a.continuous, quote=a.quote)
-    else:
-        q = start_ingest_stream(spark, a.landing, em, art, a.checkpoint,
-                                available_now=not a.continuous, quote=a.quote)
-    q.awaitTermination()
+    start = start_window_stream if a.complete_windows else start_ingest_stream
+    start(spark, a.landing, em, art, a.checkpoint, available_now=not a.continuous,
+          quote=a.quote).awaitTermination()
     return 0
 
 
@@ -144,8 +139,7 @@ def main(argv: list[str] | None = None) -> int:
     ps.add_argument("--checkpoint", required=True)
     ps.add_argument("--continuous", action="store_true")
     ps.add_argument("--complete-windows", action="store_true",
-                    help="process each half-day window once, when the watermark passes it")
-    ps.add_argument("--lateness", default="15 minutes")
+                    help="let a half-day window wait until a later one has begun")
     ps.add_argument("--quote", default='"')
     pk = sub.add_parser("calls")
     pk.add_argument("--tables", required=True)

@@ -9,6 +9,8 @@ Scale note: ``row_number() <= k`` is planned by Catalyst as a
 task keeps at most ``k`` rows per period) and once after it (final).  A hot
 period therefore ships at most ``k`` rows per map task to its reducer instead
 of all of its rows; the final per-period sort sees ``tasks * k`` rows at most.
+(Beyond ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 by default, Spark
+leaves the partial step out; raise that setting to rank deeper.)
 """
 
 from __future__ import annotations
@@ -39,34 +41,15 @@ def period_desc(granularity: str) -> list[Column]:
     return [F.desc_nulls_last(c) for c in period_columns(granularity)]
 
 
-# Spark plans ``row_number() <= k`` with a partial (map-side) limit only up to
-# this k (spark.sql.optimizer.windowGroupLimitThreshold, default 1000).
-WINDOW_GROUP_LIMIT_MAX_K = 1000
-# Above it, groups are first cut to k rows per (group, salt bucket).
-SALT_BUCKETS = 64
-
-
-def _rank_filter(df: DataFrame, partition: Sequence[Column | str], order_by: Sequence[Column],
-                 k: int) -> DataFrame:
-    w = Window.partitionBy(*partition).orderBy(*order_by)
-    rank = "__rank"
-    return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k).drop(rank)
-
-
 def top_k_per_group(df: DataFrame, group_cols: Sequence[str], order_by: Sequence[Column],
                     k: int) -> DataFrame:
     """Rows ranked ``1..k`` by ``order_by`` within each group (exactly ``<= k`` per group).
 
     ``order_by`` should be a total order so the result does not depend on
-    partitioning.  For large ``k`` (no partial limit from Spark) a hot group
-    is split first: the top ``k`` of each (group, salt bucket) is kept, then
-    the top ``k`` of those per group — exact, since every global top-``k`` row
-    is in its bucket's top ``k``, and no task sorts a whole hot group.
+    partitioning.  Callers pass rows that are aggregated already.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
-    if k > WINDOW_GROUP_LIMIT_MAX_K:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALT_BUCKETS)).alias("__salt")
-        salted = df.select("*", salt)
-        df = _rank_filter(salted, [*group_cols, "__salt"], order_by, k).drop("__salt")
-    return _rank_filter(df, group_cols, order_by, k)
+    w = Window.partitionBy(*group_cols).orderBy(*order_by)
+    rank = "__rank"
+    return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k).drop(rank)

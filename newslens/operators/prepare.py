@@ -93,8 +93,8 @@ def _clean_events(export: DataFrame, extra: list[str]) -> DataFrame:
 
 
 def latest_event_mentions(export: DataFrame, mentions: DataFrame,
-                          with_order_columns: bool = False,
-                          batch_col: str | None = None) -> DataFrame:
+                          with_order_columns: bool = False, batch_col: str | None = None,
+                          keep_batch: bool = False) -> DataFrame:
     """One row per event: the batch's ``event_mentions`` after the keyed upsert.
 
     Equal to ``latest_per_key(event_mentions(...))`` but cheaper and skew-proof.
@@ -109,7 +109,8 @@ def latest_event_mentions(export: DataFrame, mentions: DataFrame,
     ``batch_col`` (an integer batch sequence present on both inputs) processes
     many batches in one job: the join stays inside a batch, as when each batch
     is processed on its own, and the highest batch wins per key, as when the
-    batches are upserted one after another.
+    batches are upserted one after another.  ``keep_batch`` keeps the winner's
+    batch sequence as a last column.
     """
     batch = [batch_col] if batch_col else []
     m = mentions.select(
@@ -126,7 +127,7 @@ def latest_event_mentions(export: DataFrame, mentions: DataFrame,
     if not batch_col:
         return joined.select(*cols)
     order = [(batch_col, "desc")] + EVENT_MENTIONS_ORDER
-    return latest_per_key(joined, "global_event_id", order, cols)
+    return latest_per_key(joined, "global_event_id", order, cols + [batch_col] * keep_batch)
 
 
 def articles(gkg: DataFrame, batch_col: str | None = None) -> DataFrame:
@@ -158,8 +159,10 @@ def articles(gkg: DataFrame, batch_col: str | None = None) -> DataFrame:
     )
 
 
-def latest_articles(gkg: DataFrame, batch_col: str | None = None) -> DataFrame:
+def latest_articles(gkg: DataFrame, batch_col: str | None = None,
+                    keep_batch: bool = False) -> DataFrame:
     """One row per article id (keyed upsert of one batch; with ``batch_col``,
     of several batches in order, the highest batch winning)."""
     order = [(batch_col, "desc")] + ARTICLES_ORDER if batch_col else ARTICLES_ORDER
-    return latest_per_key(articles(gkg, batch_col), "global_event_id", order, ARTICLES_COLUMNS)
+    return latest_per_key(articles(gkg, batch_col), "global_event_id", order,
+                          ARTICLES_COLUMNS + [batch_col] * keep_batch)

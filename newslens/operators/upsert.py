@@ -73,16 +73,11 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[tupl
     return out.select(*[F.col(c) if c in keys else value(c) for c in columns])
 
 
-def merge_keyed(existing: DataFrame, batch: DataFrame, key: str,
-                broadcast_keys: bool = False) -> DataFrame:
+def merge_keyed(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Rows of ``existing`` whose key is not in ``batch``, plus all of ``batch``.
 
-    ``batch`` must already hold one row per key.  ``broadcast_keys`` ships the
-    batch keys to every task instead of shuffling ``existing``; pass it only
-    when the caller has proven the keys small.  Otherwise the anti join
-    shuffles both sides on the key (AQE may still broadcast from measured size).
+    ``batch`` must already hold one row per key.  Spark picks the join of the
+    keys from their measured size.
     """
     batch = batch.select(*existing.columns)
-    keys = batch.select(key)
-    kept = existing.join(F.broadcast(keys) if broadcast_keys else keys, on=key, how="left_anti")
-    return kept.unionByName(batch)
+    return existing.join(batch.select(key), on=key, how="left_anti").unionByName(batch)

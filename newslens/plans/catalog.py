@@ -21,7 +21,7 @@ from newslens.plans import oracle
 from newslens.plans import queries as Q
 from newslens.schemas import EXPORT_SCHEMA, GKG_SCHEMA, MENTIONS_SCHEMA
 from newslens.plans import ingest
-from newslens.sources import archives, lines, manifest, serving
+from newslens.sources import archives, manifest, serving
 from newslens.sources.fixtures import (LINE_FIXTURES, TWO_WINDOW_SPLITS, TWO_WINDOW_STARTS,
                                        fixture, window_lines, write_archives)
 from newslens.sources.lines import parse_lines
@@ -56,12 +56,29 @@ def serving_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.latest_articles(fixture(spark, sf_dir, "raw_gkg"))
 
 
+SERVING_TABLES = {"event_mentions": serving_event_mentions, "articles": serving_articles}
+
+
+def stored(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The serving table over ``sf_dir`` as a query finds it: written, then read (S10).
+
+    Written once per application and folder, below the shared checkpoint folder.
+    """
+    place = f"newslens.stored.{table}.{spark.sparkContext.applicationId}.{sf_dir}"
+    path = spark.conf.get(place, None)
+    if path is None:
+        path = scratch_path(spark, f"stored-{table}")
+        serving.write_serving(SERVING_TABLES[table](spark, sf_dir), path, table)
+        spark.conf.set(place, path)
+    return serving.read_serving(spark, path, table)
+
+
 def _on_events(fn: Callable[[DataFrame], DataFrame]) -> QueryFn:
-    return lambda spark, sf_dir: fn(serving_event_mentions(spark, sf_dir))
+    return lambda spark, sf_dir: fn(stored(spark, sf_dir, "event_mentions"))
 
 
 def _on_articles(fn: Callable[[DataFrame], DataFrame]) -> QueryFn:
-    return lambda spark, sf_dir: fn(serving_articles(spark, sf_dir))
+    return lambda spark, sf_dir: fn(stored(spark, sf_dir, "articles"))
 
 
 # --- pipeline steps -------------------------------------------------------------
@@ -79,9 +96,9 @@ def _articles(spark, sf_dir):
     return prepare.articles(fixture(spark, sf_dir, "raw_gkg"))
 
 
-def _event_date_parts(spark, sf_dir):
+def _event_date_parts(spark, sf_dir, export="raw_export"):
     parts = X.event_date_parts("Day")
-    return fixture(spark, sf_dir, "raw_export").select(
+    return fixture(spark, sf_dir, export).select(
         "GlobalEventID", "Day", *[c.alias(n) for n, c in parts.items()])
 
 
@@ -101,8 +118,8 @@ def _blank_to_null(spark, sf_dir):
     return X.blank_to_null(fixture(spark, sf_dir, "raw_export"))
 
 
-def _first_tone(spark, sf_dir):
-    return fixture(spark, sf_dir, "raw_gkg").select(
+def _first_tone(spark, sf_dir, gkg="raw_gkg"):
+    return fixture(spark, sf_dir, gkg).select(
         "GKGRECORDID", "V2Tone", X.first_tone("V2Tone").alias("event_tone"))
 
 
@@ -126,10 +143,19 @@ def _article_countries(spark, sf_dir):
                     F.get("c", F.lit(1)).alias("second_country"))
 
 
-def _parse(feed_lines: str, schema, fields: list[str]) -> QueryFn:
+def _parse(feed_lines: str, schema) -> QueryFn:
     def run(spark, sf_dir):
-        parsed = parse_lines(fixture(spark, sf_dir, feed_lines), schema)
-        return X.blank_to_null(parsed.select(*fields))
+        return X.blank_to_null(parse_lines(fixture(spark, sf_dir, feed_lines), schema))
+    return run
+
+
+def _latest_odd(table: str) -> QueryFn:
+    """The whole preparation over feeds with malformed and null dates and tones."""
+    def run(spark, sf_dir):
+        if table == "articles":
+            return prepare.latest_articles(fixture(spark, sf_dir, "odd_gkg"))
+        return prepare.latest_event_mentions(fixture(spark, sf_dir, "odd_export"),
+                                             fixture(spark, sf_dir, "raw_mentions"))
     return run
 
 
@@ -170,83 +196,115 @@ def _files_per_window(spark, sf_dir):
 
 
 # --- two windows, upserted one after the other into written tables ---------------
-def _two_window(table: str) -> QueryFn:
+def _batch(spark, sf_dir, table: str, b: int, export: str = "raw_export") -> DataFrame:
+    pred = TWO_WINDOW_SPLITS[b]
+    if table == "event_mentions":
+        rows = prepare.latest_event_mentions(
+            fixture(spark, sf_dir, export).filter(F.expr(pred["raw_export"])),
+            fixture(spark, sf_dir, "raw_mentions").filter(F.expr(pred["raw_mentions"])))
+    else:
+        rows = prepare.latest_articles(
+            fixture(spark, sf_dir, "raw_gkg").filter(F.expr(pred["raw_gkg"])))
+    return rows.withColumn(serving.BATCH_SEQ, F.lit(b).cast("long"))
+
+
+def _two_window(table: str, order: tuple = (1, 2), later_export: str = "raw_export") -> QueryFn:
+    """Batches applied in ``order``; all but the first export from ``later_export``."""
     def run(spark, sf_dir):
         path = scratch_path(spark, f"two-window-{table}")
-        for b, pred in TWO_WINDOW_SPLITS.items():
-            if table == "event_mentions":
-                batch = prepare.latest_event_mentions(
-                    fixture(spark, sf_dir, "raw_export").filter(F.expr(pred["raw_export"])),
-                    fixture(spark, sf_dir, "raw_mentions").filter(F.expr(pred["raw_mentions"])))
-            else:
-                batch = prepare.latest_articles(
-                    fixture(spark, sf_dir, "raw_gkg").filter(F.expr(pred["raw_gkg"])))
-            serving.upsert_serving(spark, batch, path, table)
+        for b in order:
+            export = "raw_export" if b == min(order) else later_export
+            serving.upsert_serving(spark, _batch(spark, sf_dir, table, b, export), path, table)
         return serving.read_serving(spark, path, table)
     return run
 
 
+def _land(spark, sf_dir, landing: str, window: int, feeds=tuple(LINE_FIXTURES)) -> None:
+    for feed in feeds:
+        write_archives(window_lines(spark, sf_dir, feed, window), landing,
+                       TWO_WINDOW_STARTS[window], LINE_FIXTURES[feed][2]).collect()
+
+
 def _landing(spark, sf_dir) -> str:
     """Landing directory with the two windows of all three feeds as zip archives."""
     landing = scratch_path(spark, "landing")
-    for b, start in TWO_WINDOW_STARTS.items():
-        for feed, (_, _, suffix) in LINE_FIXTURES.items():
-            write_archives(window_lines(spark, sf_dir, feed, b), landing, start, suffix).collect()
+    for b in TWO_WINDOW_STARTS:
+        _land(spark, sf_dir, landing, b)
     return landing
 
 
+def _close_windows(spark, landing: str) -> None:
+    """An empty file of a later window: everything before it is closed."""
+    write_archives(spark.range(1).select(F.lit("").alias("value")), landing,
+                   CLOSING_START, LINE_FIXTURES["gkg"][2]).collect()
+
+
 def _stream(table: str) -> QueryFn:
+    """W4: three runs, the files out of order and in triggers of one or two files.
+
+    The first run sees mentions only, the second the later window, the third the
+    earlier window's files, long after.
+    """
     def run(spark, sf_dir):
-        landing = _landing(spark, sf_dir)
-        em_path, art_path = (scratch_path(spark, "stream-event_mentions"),
-                             scratch_path(spark, "stream-articles"))
-        q = start_ingest_stream(spark, landing, em_path, art_path,
-                                scratch_path(spark, "stream-checkpoint"))
-        q.awaitTermination()
-        return serving.read_serving(spark, em_path if table == "event_mentions" else art_path,
-                                    table)
+        landing = scratch_path(spark, "stream-landing")
+        paths = [scratch_path(spark, f"stream-{t}") for t in ("event_mentions", "articles")]
+        checkpoint = scratch_path(spark, "stream-checkpoint")
+        for window, feeds in ((2, ("mentions",)), (2, ("gkg", "export")),
+                              (1, ("gkg", "mentions", "export"))):
+            _land(spark, sf_dir, landing, window, feeds)
+            start_ingest_stream(spark, landing, *paths, checkpoint,
+                                files_per_trigger=2).awaitTermination()
+        return serving.read_serving(spark, paths[table == "articles"], table)
     return run
 
 
 def _window_stream(spark, sf_dir):
-    """W4, continuous form: only window 1 is complete (window 2 is the newest)."""
-    landing = _landing(spark, sf_dir)
+    """W4, closed windows only: the earlier window's export comes after it was ingested."""
+    landing = scratch_path(spark, "wstream-landing")
     em_path, art_path = (scratch_path(spark, "wstream-event_mentions"),
                          scratch_path(spark, "wstream-articles"))
-    start_window_stream(spark, landing, em_path, art_path,
-                        scratch_path(spark, "wstream-checkpoint"),
-                        available_now=True).awaitTermination()
+    checkpoint = scratch_path(spark, "wstream-checkpoint")
+
+    def turn():
+        start_window_stream(spark, landing, em_path, art_path, checkpoint,
+                            available_now=True).awaitTermination()
+
+    _land(spark, sf_dir, landing, 1, ("mentions", "gkg"))
+    _land(spark, sf_dir, landing, 2)
+    turn()
+    _land(spark, sf_dir, landing, 1, ("export",))
+    _close_windows(spark, landing)
+    turn()
     return serving.read_serving(spark, em_path, "event_mentions")
 
 
-def _process_window_files(table: str) -> QueryFn:
-    """W3 from files: manifest -> window's archives -> parse -> upsert, per window."""
+def _manifest_of(spark, landing: str) -> str:
+    path = f"{landing}-manifest"
+    archives.landed(spark, landing).select(
+        F.concat(F.lit("100 - http://feed.example/v2/"),
+                 F.substring_index("path", "/", -1)).alias("value")).write.text(path)
+    return path
+
+
+def _process_window_files(table: str, then_empty: bool = False) -> QueryFn:
+    """W3 from files: manifest -> window's archives -> parse -> upsert, per window.
+
+    With ``then_empty`` a window without files follows, which must change nothing.
+    """
     def run(spark, sf_dir):
         landing = _landing(spark, sf_dir)
-        manifest_path = f"{landing}/manifest"
-        names = spark.read.format("binaryFile").load(landing).select(
-            F.concat(F.lit("100 - http://feed.example/v2/"),
-                     F.substring_index("path", "/", -1)).alias("value"))
-        names.write.mode("overwrite").text(manifest_path)
-        em_path, art_path = (scratch_path(spark, "w3-event_mentions"),
-                             scratch_path(spark, "w3-articles"))
-        for b, start in TWO_WINDOW_STARTS.items():
-            ws = dt.datetime.fromisoformat(start)
+        manifest_path = _manifest_of(spark, landing)
+        paths = [scratch_path(spark, f"w3-{t}") for t in ("event_mentions", "articles")]
+        starts = [dt.datetime.fromisoformat(s) for s in TWO_WINDOW_STARTS.values()]
+        for ws in starts + [EMPTY_WINDOW] * then_empty:
             ingest.process_window(spark, landing, manifest_path, ws,
-                                  ws + dt.timedelta(hours=11, minutes=45), em_path, art_path)
-        return serving.read_serving(spark, em_path if table == "event_mentions" else art_path,
-                                    table)
+                                  ws + dt.timedelta(hours=11, minutes=45), *paths)
+        return serving.read_serving(spark, paths[table == "articles"], table)
     return run
 
 
-EMPTY_WINDOW = (dt.datetime(2023, 12, 31, 0, 0), dt.datetime(2023, 12, 31, 11, 45))
-
-
-def _empty_feed(spark, sf_dir):
-    """S8: a window without files reads as zero rows with the full export schema."""
-    files = manifest.selected_files(_entries(spark, sf_dir), *EMPTY_WINDOW)
-    paths = [r.url for r in files.filter(F.col("feed") == "export").select("url").collect()]
-    return lines.read_feed_files(spark, paths, EXPORT_SCHEMA)
+CLOSING_START = "1996-01-01 00:15:00"
+EMPTY_WINDOW = dt.datetime(2023, 12, 31)
 
 
 def _serving_schema(spark, sf_dir):
@@ -260,9 +318,9 @@ def _archive_round_trip(feed: str) -> QueryFn:
     def run(spark, sf_dir):
         raw, lines_name, suffix = LINE_FIXTURES[feed]
         out = scratch_path(spark, f"archives-{feed}")
-        written = write_archives(fixture(spark, sf_dir, lines_name), out,
-                                 "2024-01-01 00:00:00", suffix).collect()
-        got = archives.archive_lines(spark, [r.path for r in written])
+        write_archives(fixture(spark, sf_dir, lines_name), out, "2024-01-01 00:00:00", suffix,
+                       rows_per_file=4_000).collect()
+        got = archives.archive_lines(spark, out)
         return got.filter(F.col("value") != "").select("value")
     return run
 
@@ -283,12 +341,22 @@ def _registry() -> dict[str, tuple[QueryFn, str | None]]:
         "upsert_event_mentions": (serving_event_mentions, oracle.upsert_event_mentions()),
         "articles": (_articles, oracle.articles()),
         "upsert_articles": (serving_articles, oracle.upsert_articles()),
-        "parse_export": (_parse("raw_export_lines", EXPORT_SCHEMA, prepare.EXPORT_FIELDS),
-                         oracle.parse_export()),
-        "parse_mentions": (_parse("raw_mentions_lines", MENTIONS_SCHEMA,
-                                  prepare.MENTION_FIELDS), oracle.parse_mentions()),
-        "parse_gkg": (_parse("raw_gkg_lines", GKG_SCHEMA, prepare.GKG_FIELDS),
-                      oracle.parse_gkg()),
+        "parse_export": (_parse("raw_export_lines", EXPORT_SCHEMA),
+                         oracle.parse_feed("raw_export", EXPORT_SCHEMA)),
+        "parse_mentions": (_parse("raw_mentions_lines", MENTIONS_SCHEMA),
+                           oracle.parse_feed("raw_mentions", MENTIONS_SCHEMA)),
+        "parse_gkg": (_parse("raw_gkg_lines", GKG_SCHEMA),
+                      oracle.parse_feed("raw_gkg", GKG_SCHEMA)),
+        "event_date_parts_odd": (partial(_event_date_parts, export="odd_export"),
+                                 oracle.event_date_parts("odd_export")),
+        "first_tone_odd": (partial(_first_tone, gkg="odd_gkg"), oracle.first_tone("odd_gkg")),
+        "upsert_event_mentions_odd": (_latest_odd("event_mentions"),
+                                      oracle.upsert_event_mentions("odd_export")),
+        "upsert_articles_odd": (_latest_odd("articles"), oracle.upsert_articles("odd_gkg")),
+        "q2_all_null_period": (
+            lambda spark, sf_dir: Q.most_mentioned_events(
+                _latest_odd("event_mentions")(spark, sf_dir), Q2_COUNTRY, "month"),
+            oracle.q2(Q2_COUNTRY, "month", "odd_export")),
         "q1_one_language": (
             _on_events(partial(_q1, language=Q1_LANGUAGE)),
             oracle.q1(*Q1_ARGS, Q1_LANGUAGE)),
@@ -343,13 +411,22 @@ def _registry() -> dict[str, tuple[QueryFn, str | None]]:
                             oracle.two_window_event_mentions(TWO_WINDOW_SPLITS))
     reg["stream_upsert_articles"] = (_stream("articles"),
                                      oracle.two_window_articles(TWO_WINDOW_SPLITS))
-    reg["window_stream_upsert"] = (
-        _window_stream, oracle.two_window_event_mentions({1: TWO_WINDOW_SPLITS[1]}))
+    reg["window_stream_upsert"] = (_window_stream,
+                                   oracle.two_window_event_mentions(TWO_WINDOW_SPLITS))
+    reg["upsert_moved_key"] = (
+        _two_window("event_mentions", later_export="moved_export"),
+        oracle.two_window_event_mentions(TWO_WINDOW_SPLITS, "moved_export"))
+    reg["upsert_replay_older_window"] = (
+        _two_window("event_mentions", order=(1, 2, 1)),
+        oracle.two_window_event_mentions(TWO_WINDOW_SPLITS))
+    reg["upsert_replay_older_window_articles"] = (
+        _two_window("articles", order=(2, 1)), oracle.two_window_articles(TWO_WINDOW_SPLITS))
     reg["process_window"] = (_process_window_files("event_mentions"),
                              oracle.two_window_event_mentions(TWO_WINDOW_SPLITS))
     reg["process_window_articles"] = (_process_window_files("articles"),
                                       oracle.two_window_articles(TWO_WINDOW_SPLITS))
-    reg["empty_feed"] = (_empty_feed, oracle.empty_of(EXPORT_SCHEMA))
+    reg["empty_feed"] = (_process_window_files("event_mentions", then_empty=True),
+                         oracle.two_window_event_mentions(TWO_WINDOW_SPLITS))
     reg["serving_schema"] = (_serving_schema, oracle.upsert_event_mentions())
     reg["archive_lines"] = (_archive_round_trip("export"),
                             oracle.lines_of("raw_export_lines"))
@@ -363,6 +440,18 @@ def _registry() -> dict[str, tuple[QueryFn, str | None]]:
         _on_articles(partial(Q.themes_by_countries, country1=Q42_HYPHEN_PAIR[0],
                              country2=Q42_HYPHEN_PAIR[1], granularity="year", limit=Q42_K)),
         oracle.q42(*Q42_HYPHEN_PAIR, "year", Q42_K))
+    lo, hi = Q4_PAIR
+    for key, (a, b), symmetric in (("q41_swapped", (hi, lo), False),
+                                   ("q41_symmetric", (hi, lo), True),
+                                   ("q41_equal_pair", (lo, lo), False)):
+        reg[key] = (_on_articles(partial(Q.tone_and_count_by_countries, country1=a, country2=b,
+                                         granularity="month", symmetric=symmetric)),
+                    oracle.q41(*sorted((a, b)) if symmetric else (a, b), "month"))
+    # A single country and no second one: the pair's text is that country alone.
+    reg["q42_null_member"] = (
+        _on_articles(partial(Q.themes_by_countries, country1=lo, country2=lo,
+                             granularity="month", limit=20)),
+        oracle.q42(lo, lo, "month", 20))
     return reg
 
 

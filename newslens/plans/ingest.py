@@ -136,10 +136,10 @@ def tag_files(df: DataFrame, path_col: str = "path",
                      *[c.alias(n) for n, c in w.items()])
 
 
-def feed_lines(members: DataFrame,
+def feed_lines(blocks: DataFrame,
                batch: tuple[dt.datetime, dt.datetime] | None = None) -> DataFrame:
-    """Archive members -> lines tagged with feed and window (tagged per member)."""
-    tagged = tag_files(members, batch=batch)
+    """Archive blocks -> lines tagged with feed and window (tagged per block)."""
+    tagged = tag_files(blocks, batch=batch)
     return archives.member_lines(tagged, keep=["path", "member", "feed", *WINDOW_COLUMNS])
 
 
@@ -152,35 +152,78 @@ def process_windows(export_lines: DataFrame, mentions_lines: DataFrame, gkg_line
                     quote: str = lines.DEFAULT_QUOTE) -> tuple[DataFrame, DataFrame]:
     """(event_mentions, articles) rows, one per key, for all windows in the input.
 
-    Inputs are tagged line DataFrames (``feed_lines``) of each feed.
+    Inputs are tagged line DataFrames (``feed_lines``) of each feed.  Rows carry
+    the ``batch_seq`` of their window.
     """
     export = parse_feed(export_lines, "export", quote)
     mentions = parse_feed(mentions_lines, "mentions", quote)
     gkg = parse_feed(gkg_lines, "gkg", quote)
-    em = prepare.latest_event_mentions(export, mentions, batch_col="batch_seq")
-    art = prepare.latest_articles(gkg, batch_col="batch_seq")
+    em = prepare.latest_event_mentions(export, mentions, batch_col="batch_seq", keep_batch=True)
+    art = prepare.latest_articles(gkg, batch_col="batch_seq", keep_batch=True)
     return em, art
 
 
-def feed_of_name(file_name: str) -> str | None:
-    """Python twin of ``manifest.feed_of`` for a bounded list of paths."""
+def name_glob(mask: str, days: Sequence[dt.date] | None = None) -> str:
+    """File-name pattern of one feed, narrowed to the days (or their months, or years).
+
+    It only keeps the listing short: which files are taken is decided by their
+    names' own times.
+    """
+    if days is None:
+        return f"*{mask}*"
+    for fmt in ("%Y%m%d", "%Y%m", "%Y"):
+        prefixes = sorted({d.strftime(fmt) for d in days})
+        if len(prefixes) <= 400:
+            break
+    return f"{{{','.join(prefixes)}}}*{mask}*"
+
+
+def ingest_landing(spark: SparkSession, landing_dir: str, event_mentions_path: str,
+                   articles_path: str, quote: str = lines.DEFAULT_QUOTE,
+                   batch: tuple[dt.datetime, dt.datetime] | None = None,
+                   names: DataFrame | None = None, windows: Sequence[int] | None = None,
+                   days: Sequence[dt.date] | None = None) -> dict[str, int]:
+    """Read each feed's landed archives once (one task per archive) and upsert.
+
+    Files are grouped into half-day windows by name (many windows, one job), or,
+    with ``batch=(start, end)``, all treated as that one batch.  ``names`` (column
+    ``file_name``) keeps listed files, ``windows`` those of these windows'
+    ``batch_seq``; no list of files ever comes to the driver.
+    """
+    tagged = {}
+    name = F.substring_index("path", "/", -1)
     for feed, mask in manifest.FEED_CLASSES:
-        if mask in file_name:
-            return feed
-    return None
+        files = archives.landed(spark, landing_dir, name_glob(mask, days))
+        files = files.filter(manifest.feed_of(name) == feed)
+        if windows is not None:
+            key = F.substring_index(name, ".", 1)
+            files = files.filter(window_of(manifest.file_key_to_ts(key))["batch_seq"]
+                                 .isin(list(windows)))
+        if names is not None:
+            listed = names.select(F.col("file_name").alias("_name")).distinct()
+            files = files.join(listed, name == F.col("_name"), "left_semi")
+        tagged[feed] = feed_lines(archives.member_blocks(files), batch)
+    em, art = process_windows(tagged["export"], tagged["mentions"], tagged["gkg"], quote)
+    return {
+        "event_mentions": serving.upsert_serving(spark, em, event_mentions_path,
+                                                 "event_mentions"),
+        "articles": serving.upsert_serving(spark, art, articles_path, "articles"),
+    }
 
 
-def window_files(spark: SparkSession, landing_dir: str, manifest_paths: Sequence[str] | str,
-                 start: dt.datetime, end: dt.datetime) -> list[str]:
-    """Archive paths of the three feeds with a time in ``[start, end]``.
+def ingest_range(spark: SparkSession, landing_dir: str, manifest_paths: Sequence[str] | str,
+                 start: dt.datetime, end: dt.datetime, event_mentions_path: str,
+                 articles_path: str, quote: str = lines.DEFAULT_QUOTE,
+                 one_batch: bool = False) -> dict[str, int]:
+    """Ingest the manifest's files of ``[start, end]`` in one job, window by window.
 
-    The list is bounded by the window length (one file per feed per 15 minutes),
-    so collecting it is cheap; the archives themselves are read by executors.
+    With ``one_batch`` the whole range is one window.
     """
     entries = manifest.manifest_entries(manifest.read_manifest(spark, manifest_paths))
-    names = manifest.selected_files(entries, start, end).select("file_name").distinct()
-    base = landing_dir.rstrip("/")
-    return sorted(f"{base}/{r.file_name}" for r in names.collect())
+    names = manifest.selected_files(entries, start, end).select("file_name")
+    days = [start.date() + dt.timedelta(days=i) for i in range((end - start).days + 2)]
+    return ingest_landing(spark, landing_dir, event_mentions_path, articles_path, quote,
+                          batch=(start, end) if one_batch else None, names=names, days=days)
 
 
 def process_window(spark: SparkSession, landing_dir: str, manifest_paths: Sequence[str] | str,
@@ -188,31 +231,8 @@ def process_window(spark: SparkSession, landing_dir: str, manifest_paths: Sequen
                    articles_path: str, quote: str = lines.DEFAULT_QUOTE) -> dict[str, int]:
     """W3: ingest the files of ``[start, end]`` as one batch and upsert both tables.
 
-    Idempotent: rerunning a window rewrites the same keys with the same rows.
+    Rerunning a window, at any time, gives the same table: its rows carry the
+    window's sequence, and rows of later windows stay.
     """
-    paths = window_files(spark, landing_dir, manifest_paths, start, end)
-    return ingest_archives(spark, paths, event_mentions_path, articles_path, quote,
-                           batch=(start, end))
-
-
-def ingest_archives(spark: SparkSession, paths: Sequence[str], event_mentions_path: str,
-                    articles_path: str, quote: str = lines.DEFAULT_QUOTE,
-                    batch: tuple[dt.datetime, dt.datetime] | None = None) -> dict[str, int]:
-    """Read each feed's archives once (one task per archive) and upsert.
-
-    Files are grouped into half-day windows by name (many windows, one job),
-    or, with ``batch=(start, end)``, all treated as that one batch.
-    """
-    by_feed: dict[str, list[str]] = {f: [] for f, _ in manifest.FEED_CLASSES}
-    for p in paths:
-        feed = feed_of_name(p.rsplit("/", 1)[-1])
-        if feed:
-            by_feed[feed].append(p)
-    tagged = {f: feed_lines(archives.archive_members(spark, ps), batch)
-              for f, ps in by_feed.items()}
-    em, art = process_windows(tagged["export"], tagged["mentions"], tagged["gkg"], quote)
-    return {
-        "event_mentions": serving.upsert_serving(spark, em, event_mentions_path,
-                                                 "event_mentions"),
-        "articles": serving.upsert_serving(spark, art, articles_path, "articles"),
-    }
+    return ingest_range(spark, landing_dir, manifest_paths, start, end, event_mentions_path,
+                        articles_path, quote, one_batch=True)

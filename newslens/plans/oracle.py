@@ -8,7 +8,7 @@ come in as CTEs from the same fixture text Spark runs.
 from __future__ import annotations
 
 from newslens.operators.period import period_columns
-from newslens.sources.fixtures import fixture_cte
+from newslens.sources.fixtures import fixture_cte, line_fields
 
 EVENT_MENTIONS_CTE = r"""
 {name} AS (
@@ -89,16 +89,16 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes if c.strip()) + "\n"
 
 
-def with_event_tables() -> str:
-    return _with(fixture_cte(["raw_export", "raw_mentions"]),
-                 EVENT_MENTIONS_CTE.format(name="event_mentions", export="raw_export",
+def with_event_tables(export: str = "raw_export") -> str:
+    return _with(fixture_cte([export, "raw_mentions"]),
+                 EVENT_MENTIONS_CTE.format(name="event_mentions", export=export,
                                            mentions="raw_mentions"),
                  UPSERT_EVENT_MENTIONS_CTE.format(name="upsert_event_mentions",
                                                   source="event_mentions"))
 
 
-def with_article_tables() -> str:
-    return _with(fixture_cte(["raw_gkg"]), ARTICLES_CTE.format(name="articles", gkg="raw_gkg"),
+def with_article_tables(gkg: str = "raw_gkg") -> str:
+    return _with(fixture_cte([gkg]), ARTICLES_CTE.format(name="articles", gkg=gkg),
                  UPSERT_ARTICLES_CTE.format(name="upsert_articles", source="articles"))
 
 
@@ -121,9 +121,9 @@ WHERE event_year = {year} AND event_month = {month} AND event_day = {day}
 GROUP BY event_year, event_month, event_day, event_country, source_language"""
 
 
-def q2(country: str, granularity: str) -> str:
+def q2(country: str, granularity: str, export: str = "raw_export") -> str:
     p = _p(granularity)
-    return with_event_tables() + f"""
+    return with_event_tables(export) + f"""
 SELECT {p}, event_country, global_event_id, num_mentions FROM (
   SELECT *, row_number() OVER (PARTITION BY {p}
       ORDER BY num_mentions DESC NULLS LAST, global_event_id ASC NULLS LAST) AS rn
@@ -227,8 +227,8 @@ def event_mentions() -> str:
         "SELECT * FROM event_mentions"
 
 
-def upsert_event_mentions() -> str:
-    return with_event_tables() + "SELECT * FROM upsert_event_mentions"
+def upsert_event_mentions(export: str = "raw_export") -> str:
+    return with_event_tables(export) + "SELECT * FROM upsert_event_mentions"
 
 
 def articles() -> str:
@@ -236,16 +236,16 @@ def articles() -> str:
         "SELECT * FROM articles"
 
 
-def upsert_articles() -> str:
-    return with_article_tables() + "SELECT * FROM upsert_articles"
+def upsert_articles(gkg: str = "raw_gkg") -> str:
+    return with_article_tables(gkg) + "SELECT * FROM upsert_articles"
 
 
-def event_date_parts() -> str:
-    return _with(fixture_cte(["raw_export"])) + """
+def event_date_parts(export: str = "raw_export") -> str:
+    return _with(fixture_cte([export])) + f"""
 SELECT GlobalEventID, Day, CAST(year(d) AS INTEGER) AS event_year,
        CAST(month(d) AS INTEGER) AS event_month, CAST(day(d) AS INTEGER) AS event_day
 FROM (SELECT *, CAST(TRY_STRPTIME(CAST(Day AS VARCHAR), '%Y%m%d') AS DATE) AS d
-      FROM raw_export) e"""
+      FROM {export}) e"""
 
 
 def article_date_parts() -> str:
@@ -272,10 +272,10 @@ SELECT GlobalEventID, Day, NULLIF(ActionGeo_CountryCode, '') AS ActionGeo_Countr
 FROM raw_export"""
 
 
-def first_tone() -> str:
-    return _with(fixture_cte(["raw_gkg"])) + """
+def first_tone(gkg: str = "raw_gkg") -> str:
+    return _with(fixture_cte([gkg])) + f"""
 SELECT GKGRECORDID, V2Tone, TRY_CAST(split_part(V2Tone, ',', 1) AS DOUBLE) AS event_tone
-FROM raw_gkg"""
+FROM {gkg}"""
 
 
 def first_theme() -> str:
@@ -304,24 +304,13 @@ SELECT GKGRECORDID, c[1] AS first_country, c[2] AS second_country
 FROM (SELECT *, {_COUNTRIES_EXPR} AS c FROM raw_gkg) g"""
 
 
-def parse_export() -> str:
-    return blank_to_null()
-
-
-def parse_mentions() -> str:
-    return _with(fixture_cte(["raw_mentions"])) + """
-SELECT GlobalEventID, MentionTimeDate, NULLIF(MentionIdentifier, '') AS MentionIdentifier,
-       NULLIF(MentionDocTranslationInfo, '') AS MentionDocTranslationInfo
-FROM raw_mentions"""
-
-
-def parse_gkg() -> str:
-    return _with(fixture_cte(["raw_gkg"])) + """
-SELECT NULLIF(GKGRECORDID, '') AS GKGRECORDID, DATE,
-       NULLIF(SourceCommonName, '') AS SourceCommonName, NULLIF(V2Counts, '') AS V2Counts,
-       NULLIF(Persons, '') AS Persons, NULLIF(Locations, '') AS Locations,
-       NULLIF(V2Tone, '') AS V2Tone
-FROM raw_gkg"""
+def parse_feed(raw: str, schema) -> str:
+    """Every field of a feed's lines: its text, blank as null, as its type."""
+    types = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    columns = ",\n  ".join(
+        f"CAST(NULLIF({text}, '') AS {types[schema[name].dataType.simpleString()]}) AS {name}"
+        for name, text in line_fields(raw).items())
+    return _with(fixture_cte([raw])) + f"SELECT {columns}\nFROM {raw}"
 
 
 # --- manifest and windows -------------------------------------------------------
@@ -394,10 +383,13 @@ GROUP BY w.window_start, w.window_end"""
 
 
 # --- two windows upserted one after the other -------------------------------------
-def two_window_event_mentions(splits: dict[int, dict[str, str]]) -> str:
-    ctes = [fixture_cte(["raw_export", "raw_mentions"])]
-    for b, pred in splits.items():
-        ctes.append(f"e{b} AS (SELECT * FROM raw_export WHERE {pred['raw_export']})")
+def two_window_event_mentions(splits: dict[int, dict[str, str]],
+                              later_export: str = "raw_export") -> str:
+    """Windows one after the other; all but the first export from ``later_export``."""
+    ctes = [fixture_cte(["raw_export", later_export, "raw_mentions"])]
+    for i, (b, pred) in enumerate(splits.items()):
+        source = later_export if i else "raw_export"
+        ctes.append(f"e{b} AS (SELECT * FROM {source} WHERE {pred['raw_export']})")
         ctes.append(f"m{b} AS (SELECT * FROM raw_mentions WHERE {pred['raw_mentions']})")
         ctes.append(EVENT_MENTIONS_CTE.format(name=f"em{b}", export=f"e{b}", mentions=f"m{b}"))
         ctes.append(UPSERT_EVENT_MENTIONS_CTE.format(name=f"u{b}", source=f"em{b}"))
@@ -426,13 +418,3 @@ def _merge_sql(batches: list[int]) -> str:
 
 def lines_of(lines_fixture: str) -> str:
     return _with(fixture_cte([lines_fixture])) + f"SELECT value FROM {lines_fixture}"
-
-
-_DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
-
-
-def empty_of(schema) -> str:
-    """Zero rows with the given schema's columns and types."""
-    cols = ", ".join(f"CAST(NULL AS {_DUCK_TYPES[f.dataType.simpleString()]}) AS {f.name}"
-                     for f in schema.fields)
-    return f"SELECT {cols} WHERE false"

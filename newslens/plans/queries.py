@@ -15,27 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslens.functions import fields as X
-from newslens.operators.period import (WINDOW_GROUP_LIMIT_MAX_K, period_columns, period_desc,
-                                       top_k_per_group)
+from newslens.operators.period import period_columns, period_desc, top_k_per_group
 
 ARTICLE_PERIOD_OUTPUT = ["event_themes", "person_list", "first_country", "event_tone"]
 
 
-# Above this k the per-period rank filter is no longer planned as a partial
-# WindowGroupLimit (Spark's windowGroupLimitThreshold) and results stop being small.
-SMALL_K = WINDOW_GROUP_LIMIT_MAX_K
-
-
-def ordered_result(df: DataFrame, *order: Column | str, k: int = 1) -> DataFrame:
-    """Final ordering of a result bounded by (periods x k) rows.
-
-    For small ``k`` one partition holds it comfortably: ``repartition(1)``
-    keeps the upstream stages parallel and, unlike a global ``orderBy``, needs
-    no range-partition sampling job.  Larger ``k`` uses the global sort.
-    """
-    if k > SMALL_K:
-        return df.orderBy(*order)
-    return df.repartition(1).sortWithinPartitions(*order)
+def ordered_result(df: DataFrame, *order: Column | str) -> DataFrame:
+    """Final ordering; callers name a total order of the result's rows."""
+    return df.orderBy(*order)
 
 
 # --- Q1 ----------------------------------------------------------------------
@@ -114,7 +101,8 @@ def _source_top_k(rows: DataFrame, source: str, granularity: str, dim: str, coun
     top = top_k_per_group(agg, period, [F.desc_nulls_last(count_name),
                                         F.asc_nulls_last(dim)], k)
     return ordered_result(top.select("internet_source", *period, dim, "average_tone", count_name),
-                          *period_desc(granularity), F.desc_nulls_last(count_name), k=k)
+                          *period_desc(granularity), F.desc_nulls_last(count_name),
+                          F.asc_nulls_last(dim))
 
 
 def themes_by_source(articles: DataFrame, source: str, granularity: str = "year",
@@ -216,4 +204,5 @@ def themes_by_countries(articles: DataFrame, country1: str, country2: str,
     out = top.select(first.alias("first_country"), second.alias("second_country"), *period,
                      "event_themes", "average_tone", "theme_count")
     return ordered_result(out, *period_desc(granularity), F.desc_nulls_last("theme_count"),
-                          k=limit)
+                          F.asc_nulls_last("event_themes"), F.asc_nulls_last("first_country"),
+                          F.asc_nulls_last("second_country"))

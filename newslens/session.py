@@ -56,6 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
         # Unset only in local runs and tests: a fresh folder per session.
         configured = tempfile.mkdtemp(prefix="newslens-ckpt-")
     sc.setCheckpointDir(configured)

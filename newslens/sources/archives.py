@@ -2,9 +2,10 @@
 
 ``binaryFile`` lists and reads the archives on executors (no driver I/O);
 zip is not a splittable Hadoop codec, so each archive is one task.  The only
-Python on executors is the unzip step (``mapInPandas``, Arrow batches).  The
-text decision is per member and native: strict UTF-8 when the bytes are valid
-UTF-8, else ISO-8859-1 (which accepts every byte).
+Python on executors is the unzip step (``mapInPandas``, Arrow batches), which
+streams each member twice: once to see whether its bytes are valid UTF-8 (else
+they are ISO-8859-1, which accepts every byte), once to hand on blocks of whole
+lines.  So memory holds one archive and one block, however long a member is.
 """
 
 from __future__ import annotations
@@ -15,56 +16,80 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MEMBER_SCHEMA = "path string, member string, content binary"
+BLOCK_BYTES = 4 << 20
+BLOCK_SCHEMA = "path string, member string, block string"
 
 
-def _unzip_fn():
+def _unzip_fn(block_bytes: int):
     """The executor-side unzip, built in a local scope so it is shipped by value:
     workers need only the standard library and pandas, not this package."""
+    def chunks(zf, name):
+        with zf.open(name) as stream:
+            while chunk := stream.read(block_bytes):
+                yield chunk
+
+    def encoding_of(zf, name):
+        import codecs
+
+        decoder = codecs.getincrementaldecoder("utf-8")()
+        try:
+            for chunk in chunks(zf, name):
+                decoder.decode(chunk)
+            decoder.decode(b"", final=True)
+        except UnicodeDecodeError:
+            return "iso-8859-1"
+        return "utf-8"
+
+    def blocks(zf, name):
+        """Text up to the last line end of each chunk; a line longer than that grows on."""
+        import codecs
+
+        decoder = codecs.getincrementaldecoder(encoding_of(zf, name))()
+        rest = []
+        for chunk in chunks(zf, name):
+            text = decoder.decode(chunk)
+            end = text.rfind("\n")
+            if end < 0:
+                rest.append(text)
+            else:
+                yield "".join(rest) + text[:end]
+                rest = [text[end + 1:]]
+        yield "".join(rest) + decoder.decode(b"", final=True)
+
     def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import io
         import zipfile
 
         import pandas as pd
 
-        # One output frame per member: memory holds one uncompressed member at
-        # a time, however many archives the input batch carries.
         for batch in batches:
             for path, blob in zip(batch["path"], batch["content"]):
                 with zipfile.ZipFile(io.BytesIO(blob)) as zf:
                     for name in zf.namelist():
-                        yield pd.DataFrame({"path": [path], "member": [name],
-                                            "content": [zf.read(name)]})
+                        for block in blocks(zf, name):
+                            yield pd.DataFrame({"path": [path], "member": [name],
+                                                "block": [block]})
     return unzip
 
 
-def archive_members(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
-    """One row per member of every archive: (path, member, content bytes)."""
-    if isinstance(paths, str):
-        paths = [paths]
-    if not paths:
-        return spark.createDataFrame([], MEMBER_SCHEMA)
-    files = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
-    return members_of(files)
-
+def landed(spark: SparkSession, folder: str, name_glob: str = "*.zip") -> DataFrame:
+    """(path, content) of the archives in ``folder`` whose names match.
 
-def members_of(files: DataFrame) -> DataFrame:
-    """Unzip a DataFrame of ``(path, content)`` archive rows."""
-    return files.select("path", "content").mapInPandas(_unzip_fn(), MEMBER_SCHEMA)
+    Without a use of ``content`` the names alone are listed and nothing is read.
+    """
+    return (spark.read.format("binaryFile").option("pathGlobFilter", name_glob)
+            .load(folder).select("path", "content"))
 
 
-def decode_member(content: str = "content") -> F.Column:
-    """Bytes -> text: UTF-8 if valid, else ISO-8859-1 (decided per member)."""
-    c = F.col(content)
-    as_utf8 = F.is_valid_utf8(c.cast("string"))
-    return F.when(as_utf8, F.decode(c, "UTF-8")).otherwise(F.decode(c, "ISO-8859-1"))
+def member_blocks(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Unzip ``(path, content)`` rows to (path, member, block of whole lines)."""
+    return files.select("path", "content").mapInPandas(_unzip_fn(block_bytes), BLOCK_SCHEMA)
 
 
-def member_lines(members: DataFrame, keep: Sequence[str] = ("path", "member")) -> DataFrame:
-    """Split decoded members on ``\\n`` into a ``value`` line column (blank lines kept)."""
-    text = members.select(*keep, decode_member().alias("text"))
-    return text.select(*keep, F.explode(F.split("text", "\n", -1)).alias("value"))
+def member_lines(blocks: DataFrame, keep: Sequence[str] = ("path", "member")) -> DataFrame:
+    """Split blocks on ``\\n`` into a ``value`` line column (blank lines kept)."""
+    return blocks.select(*keep, F.explode(F.split("block", "\n", -1)).alias("value"))
 
 
-def archive_lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
-    return member_lines(archive_members(spark, paths))
+def archive_lines(spark: SparkSession, folder: str, name_glob: str = "*.zip") -> DataFrame:
+    return member_lines(member_blocks(landed(spark, folder, name_glob)))

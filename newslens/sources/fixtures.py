@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from newslens.schemas import EXPORT_SCHEMA, GKG_SCHEMA, MENTIONS_SCHEMA
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations")
@@ -23,7 +25,7 @@ SELECT o_orderkey AS GlobalEventID,
   CAST(year(o_orderdate)*10000+month(o_orderdate)*100+(day(o_orderdate)-1)%3+1 AS INT) AS Day,
   CASE WHEN o_orderkey%17=0 THEN '' WHEN c_nationkey%5=0 THEN 'FR' WHEN c_nationkey%5=1 THEN 'US'
        WHEN c_nationkey%5=2 THEN 'DE' WHEN c_nationkey%5=3 THEN 'ES' ELSE 'CN' END AS ActionGeo_CountryCode,
-  concat('City', CAST(c_custkey AS STRING), ', ', n_name) AS ActionGeo_FullName,
+  concat('Cité ', CAST(c_custkey AS STRING), ', ', n_name) AS ActionGeo_FullName,
   CASE WHEN o_orderkey%23=0 THEN NULL ELSE CAST(o_orderkey*7919%97 AS INT)+1 END AS NumMentions
 FROM {orders} JOIN {customer} ON o_custkey=c_custkey JOIN {nation} ON c_nationkey=n_nationkey
 """,
@@ -44,7 +46,7 @@ SELECT concat(CAST(d AS STRING), '-', CAST(event_id AS STRING)) AS GKGRECORDID,
   CASE WHEN event_id%19=0 THEN '' ELSE concat(upper(event_type), '#', CAST(event_id%9 AS STRING), '#people#1#Somewhere;KILL#2##') END AS V2Counts,
   CASE WHEN event_id%11=0 THEN '' ELSE concat('person ', CAST(user_id%7 AS STRING), ';person ', CAST(event_id%5 AS STRING), CASE WHEN event_id%13=0 THEN ';' ELSE '' END) END AS Persons,
   CASE WHEN event_id%29=0 THEN '' WHEN event_id%7=3 THEN 'abc' WHEN event_id%6=0 THEN concat('1#', c1, '#XX##1.0#2.0#XX')
-       ELSE concat('4#Town, Region, ', c1, '#XX##1.0#2.0#-1;;1#', c2, '#YY##3.0#4.0#YY') END AS Locations,
+       ELSE concat('4#Ýork, Región, ', c1, '#XX##1.0#2.0#-1;;1#', c2, '#YY##3.0#4.0#YY') END AS Locations,
   concat(CAST(CAST(round(value*100) AS INT)-5000 AS STRING), ',1.5,2.5,4,20,0,150') AS V2Tone
 FROM (SELECT *, (2020+event_id%3)*10000000000+(1+event_id%4)*100000000+(1+(event_id%5))*1000000+120000 AS d,
   CASE (user_id+event_id)%6 WHEN 0 THEN 'France' WHEN 1 THEN 'United States' WHEN 2 THEN 'Niger' WHEN 3 THEN 'Nigeria' WHEN 4 THEN 'Guinea' ELSE 'Guinea-Bissau' END AS c1,
@@ -60,20 +62,65 @@ SELECT CASE WHEN event_id%37=0 THEN 'truncated line'
          WHEN 3 THEN '.translation.export.CSV.zip' WHEN 4 THEN '.translation.mentions.CSV.zip' ELSE '.translation.gkg.csv.zip' END) END AS value
 FROM {events}
 """,
-    # Tab-separated line form (61 / 16 / 27 fields).
-    "raw_export_lines": """
-SELECT concat(CAST(GlobalEventID AS STRING), chr(9), CAST(Day AS STRING), repeat(chr(9),30), coalesce(CAST(NumMentions AS STRING),''), repeat(chr(9),21), ActionGeo_FullName, chr(9), ActionGeo_CountryCode, repeat(chr(9),7)) AS value FROM {raw_export}
+    # Variants with malformed and null dates, null counts, and null and malformed tones.
+    "odd_export": """
+SELECT GlobalEventID, CASE WHEN GlobalEventID%31=0 THEN 19981399 WHEN GlobalEventID%37=0 THEN NULL
+         WHEN GlobalEventID%41=0 THEN 7 ELSE Day END AS Day,
+  ActionGeo_CountryCode, ActionGeo_FullName,
+  CASE WHEN Day < 19960101 THEN NULL ELSE NumMentions END AS NumMentions FROM {raw_export}
 """,
-    "raw_mentions_lines": """
-SELECT concat(CAST(GlobalEventID AS STRING), chr(9), chr(9), CAST(MentionTimeDate AS STRING), repeat(chr(9),3), MentionIdentifier, repeat(chr(9),9), coalesce(MentionDocTranslationInfo,''), chr(9)) AS value FROM {raw_mentions}
+    "odd_gkg": """
+SELECT GKGRECORDID, CASE WHEN DATE%3=1 THEN NULL ELSE DATE END AS DATE, SourceCommonName, V2Counts, Persons, Locations,
+  CASE length(GKGRECORDID)+length(V2Tone) WHEN 42 THEN NULL WHEN 43 THEN 'n/a,1' WHEN 44 THEN '' WHEN 45 THEN ',5' ELSE V2Tone END AS V2Tone FROM {raw_gkg}
 """,
-    "raw_gkg_lines": """
-SELECT concat(GKGRECORDID, chr(9), CAST(DATE AS STRING), repeat(chr(9),2), SourceCommonName, repeat(chr(9),3), V2Counts, repeat(chr(9),3), Locations, repeat(chr(9),2), Persons, repeat(chr(9),4), V2Tone, repeat(chr(9),11)) AS value FROM {raw_gkg}
+    # The same events, corrected a year later.
+    "moved_export": """
+SELECT GlobalEventID, Day+10000 AS Day, ActionGeo_CountryCode, ActionGeo_FullName, NumMentions FROM {raw_export}
 """,
 }
 
+# The base number that the filled-in fields of a feed's lines are made from.
+_FILL_BASE = {"raw_export": "GlobalEventID", "raw_mentions": "GlobalEventID", "raw_gkg": "DATE"}
+_FEEDS = {"raw_export": EXPORT_SCHEMA, "raw_mentions": MENTIONS_SCHEMA, "raw_gkg": GKG_SCHEMA}
+_OWN_FIELDS = {"raw_export": ("GlobalEventID", "Day", "ActionGeo_CountryCode",
+                              "ActionGeo_FullName", "NumMentions"),
+               "raw_mentions": ("GlobalEventID", "MentionTimeDate", "MentionIdentifier",
+                                "MentionDocTranslationInfo"),
+               "raw_gkg": ("GKGRECORDID", "DATE", "SourceCommonName", "V2Counts", "Persons",
+                           "Locations", "V2Tone")}
+
+
+def line_fields(raw: str) -> dict[str, str]:
+    """SQL text of every field of a feed's line, in file order.
+
+    Fields that the raw fixture has are its own; the others are made from the
+    base number by a rule of their place and type, so that a shifted field shows.
+    """
+    out = {}
+    for i, f in enumerate(_FEEDS[raw].fields):
+        number = f"CAST({_FILL_BASE[raw]}%{i + 3} AS STRING)"
+        if f.name in _OWN_FIELDS[raw]:
+            out[f.name] = f"coalesce(CAST({f.name} AS STRING),'')"
+        elif f.dataType.simpleString() == "string":
+            out[f.name] = f"concat('{f.name.lower()} ñ', {number})"
+        elif f.dataType.simpleString() == "double":
+            out[f.name] = f"concat('-', {number}, '.5')"
+        else:
+            out[f.name] = number
+    return out
+
+
+for _raw in _FEEDS:
+    # Tab-separated line form (61 / 16 / 27 fields).
+    FIXTURE_SQL[f"{_raw}_lines"] = (
+        "SELECT concat(" + ", chr(9), ".join(line_fields(_raw).values())
+        + f") AS value FROM {{{_raw}}}")
+
 # Which fixture each fixture reads (besides the base tables).
 FIXTURE_DEPS = {
+    "odd_export": ("raw_export",),
+    "odd_gkg": ("raw_gkg",),
+    "moved_export": ("raw_export",),
     "raw_export_lines": ("raw_export",),
     "raw_mentions_lines": ("raw_mentions",),
     "raw_gkg_lines": ("raw_gkg",),
@@ -149,50 +196,52 @@ def window_lines(spark: SparkSession, sf_dir: str, feed: str, window: int) -> Da
     return spark.sql(FIXTURE_SQL[lines_name], **{raw: rows})
 
 
-def _local_path(uri: str) -> str:
-    """The archive writer uses plain file I/O: accept ``file:`` URIs, refuse others."""
-    from urllib.parse import urlparse
-
-    parsed = urlparse(uri)
-    if parsed.scheme in ("", "file"):
-        return parsed.path if parsed.scheme else uri
-    raise ValueError(f"archive fixtures need a local path, got {uri}")
+ROWS_PER_ARCHIVE = 20_000
 
 
 def write_archives(lines: DataFrame, out_dir: str, window_start: str, suffix: str,
-                   n_files: int = 4) -> DataFrame:
-    """Write ``lines.value`` as ``n_files`` zip archives into ``out_dir`` (test fixture).
-
-    Archive ``i`` is named ``<window_start + 15 min * i>.<suffix>`` and holds one
-    member; odd archives are encoded in ISO-8859-1, even ones in UTF-8.
-    Returns one row per archive written: (path, line_count).  Lazy: the
-    files are written when the result is evaluated.
+                   rows_per_file: int = ROWS_PER_ARCHIVE, first: int = 0) -> DataFrame:
+    """Write ``lines.value`` as zip archives of about ``rows_per_file`` rows (test fixture).
+
+    Archive ``i`` is named ``<window_start + 15 min * i>.<suffix>`` (past the window's
+    46 quarters, again from the start with a number) and holds one member; odd
+    archives are encoded in ISO-8859-1, even ones in UTF-8.  ``first`` shifts the
+    numbering.  Returns one row per archive written: (path, line_count).  Lazy:
+    the files are written when the result is evaluated, to any store that the
+    executors reach.
     """
     import datetime as dt
 
     base = dt.datetime.fromisoformat(window_start)
-    out = _local_path(out_dir.rstrip("/"))
+    n_files = max(1, -(-lines.count() // rows_per_file))
+    folder = out_dir.rstrip("/")
 
     def write(batches):
         import io
-        import os
         import zipfile
 
         import pandas as pd
+        from pyarrow import fs
         from pyspark import TaskContext
 
-        pid = TaskContext.get().partitionId()
-        key = (base + dt.timedelta(minutes=15 * pid)).strftime("%Y%m%d%H%M%S")
-        text = "\n".join(v for b in batches for v in b["value"]) + "\n"
+        system, out = (fs.FileSystem.from_uri(folder) if ":" in folder.split("/")[0]
+                       else (fs.LocalFileSystem(), folder))
+        pid = TaskContext.get().partitionId() + first
+        key = (base + dt.timedelta(minutes=15 * (pid % 46))).strftime("%Y%m%d%H%M%S")
+        key += f".{pid // 46}" if pid >= 46 else ""
         encoding = "iso-8859-1" if pid % 2 else "utf-8"
-        buf = io.BytesIO()
+        buf, count = io.BytesIO(), 0
         with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
-            zf.writestr(f"{key}.{suffix.removesuffix('.zip')}", text.encode(encoding))
+            with zf.open(f"{key}.{suffix.removesuffix('.zip')}", "w", force_zip64=True) as member:
+                for b in batches:
+                    for v in b["value"]:
+                        member.write((v + "\n").encode(encoding, "replace"))
+                        count += 1
+        system.create_dir(out, recursive=True)
         path = f"{out}/{key}.{suffix}"
-        os.makedirs(out, exist_ok=True)
-        with open(path, "wb") as fh:
+        with system.open_output_stream(path, compression=None) as fh:
             fh.write(buf.getvalue())
-        yield pd.DataFrame({"path": [path], "line_count": [text.count("\n")]})
+        yield pd.DataFrame({"path": [path], "line_count": [count]})
 
     return lines.select("value").repartition(n_files).mapInPandas(
         write, "path string, line_count bigint")

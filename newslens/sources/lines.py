@@ -37,10 +37,13 @@ def _csv_options(quote: str) -> dict[str, str]:
 
 def parse_lines(lines: DataFrame, schema: T.StructType, value: str = "value",
                 quote: str = DEFAULT_QUOTE, keep: Sequence[str] = ()) -> DataFrame:
-    """Parse each non-empty ``value`` line against ``schema``; ``keep`` columns pass through."""
-    parsed = F.from_csv(F.col(value), ddl(schema), _csv_options(quote)).alias("r")
-    rows = lines.filter(F.col(value) != "").select(*keep, parsed)
-    return rows.select(*keep, *[F.col(f"r.`{f.name}`").alias(f.name) for f in schema.fields])
+    """Parse each non-empty ``value`` line against ``schema``; ``keep`` columns pass through.
+
+    ``inline`` keeps later filters and projections above the parse, so that a line
+    is parsed once and not once for every field they use.
+    """
+    parsed = F.from_csv(F.col(value), ddl(schema), _csv_options(quote))
+    return lines.filter(F.col(value) != "").select(*keep, F.inline(F.array(parsed)))
 
 
 def empty_feed(spark: SparkSession, schema: T.StructType) -> DataFrame:

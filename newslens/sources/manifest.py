@@ -107,9 +107,10 @@ def selected_files(entries: DataFrame, start: dt.datetime | None = None,
         c = F.col("url").contains(mask)
         cond = c if cond is None else cond | c
     out = entries.filter(cond)
-    if start is not None or end is not None:
-        out = out.filter(F.col("file_ts").isNotNull()
-                         & F.col("file_key").between(_key(start), _key(end)))
+    if start is not None:
+        out = out.filter(F.col("file_ts").isNotNull() & (F.col("file_key") >= _key(start)))
+    if end is not None:
+        out = out.filter(F.col("file_ts").isNotNull() & (F.col("file_key") <= _key(end)))
     return out
 
 

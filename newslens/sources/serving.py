@@ -1,40 +1,41 @@
 """Serving tables at rest: read, conform, and keyed write.
 
 The reference keeps its two serving tables in a wide-column store keyed on
-``global_event_id``.  Here they are Parquet directories partitioned by
-``event_year`` / ``event_month``:
+``global_event_id``.  Here they are Parquet directories partitioned by month or
+by day (``event_year`` / ``event_month`` [/ ``event_day``], set when a table is
+first written; take days once a month is more than one wants to rewrite):
 
-* queries filtered on a day or month prune whole partitions;
-* an upsert rewrites only the partitions its batch touches (a key's year and
-  month never change: both come from the key's own event / record date);
+* queries filtered on a day, month or year prune whole partitions;
+* an upsert rewrites only the partitions that hold a row it replaces;
 * rows are sorted by the main filter column inside each file so Parquet
   min/max statistics skip row groups for ``event_country`` /
   ``internet_source`` filters.
 
-Writes are staged: the merged partitions are first written to a staging
-folder under the shared checkpoint folder (that cuts the lineage to the table
-being replaced), then copied into the table with dynamic partition overwrite.
-Rerunning a batch is idempotent because the merge is keyed; the staging
-copies are removed once the table write has succeeded (kept on failure).
+Every stored row carries ``batch_seq``, the sequence of the batch it came from.
+The row of the greater sequence stays whatever order batches are applied in, and
+a batch that is applied again changes nothing.  A key's old row is looked for in
+the whole table (key column alone), because a corrected event date moves it to
+another partition.
+
+Writes are staged in a folder of fixed name beside the table.  The new content
+of replaced partitions and the files to add are written there once; a marker file then
+commits the batch, and directories and files are renamed into the table.  The
+next write of a table first finishes what a committed staging folder still holds
+and throws away one without a marker, so a crash at any point loses nothing.
+One writer per table at a time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newslens.operators.upsert import merge_keyed
 from newslens.schemas import ARTICLES_SCHEMA, EVENT_MENTIONS_SCHEMA
-from newslens.session import scratch_path
-
-PARTITION_COLUMNS = ["event_year", "event_month"]
-# Above this many touched partitions a batch is merged against the whole table
-# instead of a literal partition list (keeps the plan and the driver list small).
-MAX_TOUCHED_PARTITIONS = 5000
-# Batch keys are broadcast to the merge (instead of shuffling the existing
-# partitions) only when their counted size is below this bound.
-BROADCAST_KEYS_MAX_BYTES = 256 << 20
+
+PARTITIONS = {"month": ["event_year", "event_month"],
+              "day": ["event_year", "event_month", "event_day"]}
+BATCH_SEQ = "batch_seq"
 # Parquet codec of the serving tables: zstd reads about as fast as snappy and
 # stores (and scans) noticeably fewer bytes, which dominates at 100 TB.
 COMPRESSION = "zstd"
@@ -50,6 +51,21 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def stored_schema(table: str) -> T.StructType:
+    return T.StructType([*SERVING[table][0].fields, T.StructField(BATCH_SEQ, T.LongType())])
+
+
+def with_seq(df: DataFrame) -> DataFrame:
+    """Rows without a batch sequence count as the oldest."""
+    return df if BATCH_SEQ in df.columns else df.withColumn(BATCH_SEQ, F.lit(0).cast("long"))
+
+
+def read_stored(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """The table with its batch sequence; partition columns come from the paths."""
+    schema = stored_schema(table)
+    return conform(spark.read.schema(schema).parquet(path), schema)
+
+
 def read_serving(spark: SparkSession, path: str, table: str, fmt: str = "parquet",
                  **options: str) -> DataFrame:
     """Whole-table load; filters applied later reach the scan (pushdown/pruning).
@@ -64,139 +80,223 @@ def read_serving(spark: SparkSession, path: str, table: str, fmt: str = "parquet
     return conform(reader.load(path), schema)
 
 
-def _fs_path(spark: SparkSession, path: str):
+def partitions_of(spark: SparkSession, path: str, new: str = "month") -> list[str]:
+    """The partition columns of the table at ``path``, or those a new table gets."""
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf), p
-
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for depth, column in enumerate(PARTITIONS["day"]):
+        inner = next((f.getPath() for f in (fs.listStatus(folder) if fs.exists(folder) else ())
+                      if f.getPath().getName().startswith(f"{column}=")), None)
+        if inner is None:
+            return PARTITIONS["month"] if depth == 2 else PARTITIONS[new]
+        folder = inner
+    return PARTITIONS["day"]
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
-    return fs.exists(p)
 
-
-def _drop_staging(spark: SparkSession, *paths: str) -> None:
-    """Remove this call's own staging copies once the table write has succeeded."""
-    for path in paths:
-        fs, p = _fs_path(spark, path)
-        fs.delete(p, True)
-
-
-def write_serving(df: DataFrame, path: str, table: str, mode: str = "overwrite") -> None:
-    schema, _, sort_col = SERVING[table]
-    # REBALANCE (not repartition): AQE splits a hot month over several writer
-    # tasks and merges tiny ones, so one month with a third of the rows does
+def write_serving(df: DataFrame, path: str, table: str, mode: str = "overwrite",
+                  by: str | list[str] = "month") -> None:
+    _, _, sort_col = SERVING[table]
+    columns = PARTITIONS[by] if isinstance(by, str) else by
+    # REBALANCE (not repartition): AQE splits a hot partition over several writer
+    # tasks and merges tiny ones, so one partition with a third of the rows does
     # not end up in one task.
-    (conform(df, schema)
-     .hint("rebalance", *PARTITION_COLUMNS)
-     .sortWithinPartitions(*PARTITION_COLUMNS, sort_col)
+    (conform(with_seq(df), stored_schema(table))
+     .hint("rebalance", *columns)
+     .sortWithinPartitions(*columns, sort_col)
      .write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .option("compression", COMPRESSION)
-     .partitionBy(*PARTITION_COLUMNS)
+     .partitionBy(*columns)
      .parquet(path))
 
 
-def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str) -> int:
-    """Apply one de-duplicated batch to the keyed table at ``path``; returns batch rows.
-
-    * Partitions the batch does not touch are never read.
-    * In the touched partitions only the key column is read to find the keys
-      the batch replaces; partitions holding none of them get the batch rows
-      appended (the common case: an event is exported in one window).
-    * Partitions holding replaced keys are merged (anti join + union), staged,
-      and swapped in with dynamic partition overwrite.
+# --- staging folder -----------------------------------------------------------
+class Staging:
+    """``<table>__staging``: ``replace/`` and ``add/`` partitions, and a marker.
 
-    A rerun after a failure at any step converges to the same table: rows
-    already appended become "replaced keys" and their partitions are merged.
+    Paths are handled through Hadoop's ``FileSystem``, so any store that Spark
+    writes to will do.  What the driver lists is the files of one batch.
     """
-    schema, key, _ = SERVING[table]
-    if not _exists(spark, path):
-        # First load: nothing to merge, write the batch straight into the table.
-        write_serving(batch, path, table)
-        return read_serving(spark, path, table).count()
-    staged_batch = scratch_path(spark, f"{table}-batch")
-    conform(batch, schema).write.mode("overwrite").parquet(staged_batch)
-    batch = spark.read.parquet(staged_batch)
-    stats = batch.agg(F.count(F.lit(1)).alias("n"),
-                      F.max(F.length(F.col(key).cast("string"))).alias("w")).first()
-    n = stats["n"]
-    # Proven bound on the batch keys: rows x longest key (plus per-row overhead).
-    key_bytes = n * ((stats["w"] or 0) + 16)
-    if n == 0:
-        _drop_staging(spark, staged_batch)
-        return 0
-    existing = read_serving(spark, path, table)
-    # At most MAX + 1 rows reach the driver: the bound check and the list in one job.
-    touched = (batch.select(*PARTITION_COLUMNS).distinct()
-               .limit(MAX_TOUCHED_PARTITIONS + 1).collect())
-    if len(touched) <= MAX_TOUCHED_PARTITIONS:
-        # A literal predicate on the partition columns prunes at planning time.
-        existing = existing.filter(_partition_predicate(touched))
-    small_keys = key_bytes <= BROADCAST_KEYS_MAX_BYTES
-    batch_keys = F.broadcast(batch.select(key)) if small_keys else batch.select(key)
-    replaced = (existing.select(key, *PARTITION_COLUMNS)
-                .join(batch_keys, on=key, how="left_semi")
-                .select(*PARTITION_COLUMNS).distinct().collect())
-    rest = batch
-    staging = [staged_batch]
-    if replaced:
-        in_replaced = _partition_predicate(replaced)
-        merged = merge_keyed(existing.filter(in_replaced), batch.filter(in_replaced), key,
-                             broadcast_keys=small_keys)
-        staged = scratch_path(spark, f"{table}-merged")
-        write_serving(merged, staged, table)
-        write_serving(spark.read.parquet(staged), path, table)
-        staging.append(staged)
-        rest = batch.filter(~F.coalesce(in_replaced, F.lit(False)))
-    write_serving(rest, path, table, mode="append")
-    _drop_staging(spark, *staging)
-    return n
 
+    def __init__(self, spark: SparkSession, table_path: str):
+        self.spark, self.table = spark, table_path.rstrip("/")
+        self.root = f"{self.table}__staging"
+        jvm = spark.sparkContext._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self.fs = self._path(self.table).getFileSystem(
+            spark.sparkContext._jsc.hadoopConfiguration())
+        if self.fs.getScheme() == "file" and not spark.sparkContext.master.startswith("local"):
+            # The executors' file: paths may or may not be a shared mount; only
+            # the operator can know, so it has to be said.
+            if spark.conf.get("newslens.sharedLocalPaths", "false") != "true":
+                raise ValueError(
+                    f"{self.table} is a local path on a cluster; use a shared store, or set "
+                    "newslens.sharedLocalPaths=true if it is a mount that all nodes share")
 
-def _partition_predicate(rows) -> F.Column:
-    """``(year = y AND month IN (...)) OR ...`` over the touched partitions.
+    def sub(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
-    One term per distinct year keeps the expression shallow.
-    """
-    year_col, month_col = PARTITION_COLUMNS
-    by_year: dict = {}
+    def exists(self, path: str) -> bool:
+        return self.fs.exists(self._path(path))
+
+    def drop(self) -> None:
+        self.fs.delete(self._path(self.root), True)
+
+    def _files(self, name: str) -> list[str]:
+        """Data files below a sub-folder, relative to it."""
+        top = self._path(self.sub(name))
+        if not self.fs.exists(top):
+            return []
+        base = self.fs.makeQualified(top).toString().rstrip("/") + "/"
+        found, out = self.fs.listFiles(top, True), []
+        while found.hasNext():
+            rel = found.next().getPath().toString().removeprefix(base)
+            if rel.endswith(".parquet"):
+                out.append(rel)
+        return sorted(out)
+
+    def commit(self, touched: list[str]) -> None:
+        """Write the marker: the partitions whose content is replaced, or only taken away."""
+        staged = {f.rsplit("/", 1)[0] for f in self._files("replace")}
+        lines = [f"{'replace' if d in staged else 'remove'} {d}" for d in touched]
+        out = self.fs.create(self._path(self.sub("_marker")), True)
+        try:
+            out.write(bytearray("\n".join(lines), "utf-8"))
+        finally:
+            out.close()
+        # The rename makes the marker appear whole or not at all.
+        self._rename(self._path(self.sub("_marker")), self._path(self.sub("_COMMITTED")))
+
+    def _committed(self) -> list[list[str]]:
+        stream = self.fs.open(self._path(self.sub("_COMMITTED")))
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(
+                stream, "UTF-8")
+        finally:
+            stream.close()
+        return [line.split(" ", 1) for line in text.split("\n") if line]
+
+    def apply(self) -> None:
+        """Rename committed content into the table; may be run again at any point."""
+        for what, place in self._committed():
+            source = self._path(f"{self.sub('replace')}/{place}")
+            target = self._path(f"{self.table}/{place}")
+            if what == "remove":
+                self.fs.delete(target, True)
+            elif self.fs.exists(source):  # else an earlier run has moved it
+                self.fs.delete(target, True)
+                self.fs.mkdirs(target.getParent())
+                self._rename(source, target)
+        for rel in self._files("add"):
+            target = self._path(f"{self.table}/{rel}")
+            self.fs.mkdirs(target.getParent())
+            self._rename(self._path(f"{self.sub('add')}/{rel}"), target)
+        self.drop()
+
+    def _rename(self, source, target) -> None:
+        if not self.fs.rename(source, target):
+            raise OSError(f"cannot rename {source.toString()} to {target.toString()}")
+
+    def recover(self) -> None:
+        """Finish a committed write, throw away an unfinished one."""
+        if self.exists(self.sub("_COMMITTED")):
+            self.apply()
+        else:
+            self.drop()
+
+
+def _directory(row, columns: list[str]) -> str:
+    return "/".join(f"{c}={row[c]}" for c in columns)
+
+
+def _partition_predicate(rows, columns: list[str]) -> Column:
+    """``(year = y AND ((month = m AND day IN (...)) OR ...)) OR ...``, for pruning."""
+    first, *rest = columns
+    if not rest:
+        return F.col(first).isin(sorted({r[first] for r in rows}))
+    groups: dict = {}
     for r in rows:
-        by_year.setdefault(r[year_col], set()).add(r[month_col])
+        groups.setdefault(r[first], []).append(r)
     cond = F.lit(False)
-    for year, months in sorted(by_year.items(), key=lambda kv: (kv[0] is None, kv[0])):
-        y = F.col(year_col).isNull() if year is None else F.col(year_col) == year
-        known = sorted(m for m in months if m is not None)
-        m = F.col(month_col).isin(known)
-        if None in months:
-            m = m | F.col(month_col).isNull()
-        cond = cond | (y & m)
+    for value, inner in sorted(groups.items()):
+        cond = cond | ((F.col(first) == value) & _partition_predicate(inner, rest))
     return cond
 
 
+def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str,
+                   by: str = "month") -> int:
+    """Apply one batch (one row per key) to the keyed table at ``path``; returns batch rows.
+
+    * Old rows are found by a join on the key column over the whole table.
+    * Partitions that hold a replaced row are rewritten without it; batch rows that
+      fall in others are added as files of their own (the common case).
+    * Batch rows whose key is stored with a greater ``batch_seq`` are left out.
+
+    ``by`` (month or day) is how a new table is partitioned.
+    """
+    key = SERVING[table][1]
+    staging = Staging(spark, path)
+    staging.recover()
+    columns = partitions_of(spark, path, by)
+    conform(with_seq(batch), stored_schema(table)).write.mode("overwrite").parquet(
+        staging.sub("batch"))
+    batch = spark.read.schema(stored_schema(table)).parquet(staging.sub("batch"))
+    n = batch.count()
+    if not staging.exists(path):
+        # First load: nothing to merge.
+        write_serving(batch, staging.sub("add"), table, by=columns)
+        if not n:
+            write_serving(batch, path, table, by=columns)
+        staging.commit([])
+        staging.apply()
+        return n
+    if not n:
+        staging.drop()
+        return 0
+    stored = read_stored(spark, path, table)
+    old = (stored.select(key, BATCH_SEQ, *columns)
+           .join(batch.select(key, F.col(BATCH_SEQ).alias("new_seq")), on=key))
+    old.write.mode("overwrite").parquet(staging.sub("old"))
+    old = spark.read.schema(old.schema).parquet(staging.sub("old"))
+    stays = F.col(BATCH_SEQ) > F.col("new_seq")
+    batch = batch.join(old.filter(stays).select(key), on=key, how="left_anti")
+    # Calendar days at most: a few hundred a year, however many rows there are.
+    touched = old.filter(~stays).select(*columns).distinct().collect()
+    added = batch
+    if touched:
+        replaced = _partition_predicate(touched, columns)
+        rest = stored.filter(replaced).join(old.filter(~stays).select(key), on=key,
+                                            how="left_anti")
+        write_serving(rest.unionByName(batch.filter(replaced).select(*rest.columns)),
+                      staging.sub("replace"), table, by=columns)
+        added = batch.filter(~replaced)
+    write_serving(added, staging.sub("add"), table, by=columns)
+    staging.commit(sorted(_directory(r, columns) for r in touched))
+    staging.apply()
+    return n
+
+
 def compact_serving(spark: SparkSession, path: str, table: str, min_files: int = 8) -> int:
-    """Rewrite partitions holding at least ``min_files`` files (from appends).
+    """Rewrite partitions that hold at least ``min_files`` files (from added batches).
 
-    Files per partition are counted by a Spark job (no driver-side listing);
-    the partitions to rewrite are read, written to staging (cutting the lineage)
-    and swapped in with dynamic partition overwrite.  Rows are unchanged.
-    Returns the number of partitions rewritten.
+    Files are counted over a listing of names, no row is read for it.  Rows are
+    unchanged.  Returns the number of partitions rewritten.
     """
-    files = (read_serving(spark, path, table)
-             .select(F.input_file_name().alias("f"), *PARTITION_COLUMNS).distinct()
-             .groupBy(*PARTITION_COLUMNS).agg(F.count("*").alias("files"))
-             .filter(F.col("files") >= min_files))
-    targets = files.select(*PARTITION_COLUMNS).limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+    staging = Staging(spark, path)
+    staging.recover()
+    columns = partitions_of(spark, path)
+    names = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("recursiveFileLookup", "true").load(path).select("path"))
+    place = [F.regexp_extract("path", f"/{c}=([0-9]+)/", 1).cast("int").alias(c)
+             for c in columns]
+    targets = (names.select(*place).groupBy(*columns).agg(F.count("*").alias("files"))
+               .filter(F.col("files") >= min_files).collect())
     if not targets:
         return 0
-    if len(targets) > MAX_TOUCHED_PARTITIONS:
-        targets = None
-    rows = read_serving(spark, path, table)
-    if targets is not None:
-        rows = rows.filter(_partition_predicate(targets))
-    staged = scratch_path(spark, f"{table}-compact")
-    write_serving(rows, staged, table)
-    write_serving(read_serving(spark, staged, table), path, table)
-    _drop_staging(spark, staged)
-    return len(targets) if targets is not None else files.count()
+    rows = read_stored(spark, path, table).filter(
+        _partition_predicate(targets, columns))
+    write_serving(rows, staging.sub("replace"), table, by=columns)
+    staging.commit(sorted(_directory(r, columns) for r in targets))
+    staging.apply()
+    return len(targets)

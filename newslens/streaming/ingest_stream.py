@@ -1,106 +1,114 @@
 """W4: the window ingest as a Structured Streaming job.
 
-A ``binaryFile`` stream over the landing directory picks up new archives;
-each micro-batch is unzipped, parsed and upserted into both serving tables
-with ``foreachBatch``.  Windows come from the file names, so a micro-batch
-holding several windows is processed as if they had arrived one after the
-other (the join stays inside a window, the latest window wins per key).
-
-Fault tolerance: progress lives in the checkpoint location on shared storage;
-a replayed micro-batch re-applies the same keyed upsert, which changes
-nothing the second time, so the sink is effectively exactly-once.
+A ``binaryFile`` stream over the landing directory sees new archives by name
+alone.  A micro-batch yields the set of half-day windows that its files belong
+to; all landed files of these windows are read again, as the batch path does,
+and upserted under the windows' sequence.  So the tables end up the same however
+files are dealt to triggers: in any order, a window spread over many of them, or
+a file long after its window.
+
+Fault tolerance: progress lives in the checkpoint location on shared storage; a
+replayed micro-batch re-applies the same keyed upsert, which changes nothing the
+second time.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newslens.plans import ingest
-from newslens.sources import archives, lines, manifest, serving
+from newslens.sources import archives, lines
 
 # The fixed schema of Spark's ``binaryFile`` source (streams must state it).
 BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length bigint, "
                       "content binary")
 
 
-def _process_batch(spark: SparkSession, files: DataFrame, event_mentions_path: str,
-                   articles_path: str, quote: str) -> None:
-    name = F.substring_index(F.col("path"), "/", -1)
-    tagged = {}
-    for feed, _ in manifest.FEED_CLASSES:
-        # A pushed-down path predicate: archives of other feeds are not read.
-        of_feed = files.filter(manifest.feed_of(name) == feed).select("path", "content")
-        tagged[feed] = ingest.feed_lines(archives.members_of(of_feed))
-    em, art = ingest.process_windows(tagged["export"], tagged["mentions"], tagged["gkg"], quote)
-    serving.upsert_serving(spark, em, event_mentions_path, "event_mentions")
-    serving.upsert_serving(spark, art, articles_path, "articles")
+def window_counts(paths: DataFrame) -> DataFrame:
+    """(batch_seq, files) of the windows that named archives belong to."""
+    tagged = ingest.tag_files(paths.select("path"))
+    return (tagged.filter(F.col("batch_seq").isNotNull() & F.col("feed").isNotNull())
+            .groupBy("batch_seq").agg(F.count("*").alias("files")))
+
+
+def _ingest_windows(spark: SparkSession, landing_dir: str, windows: list[int],
+                    event_mentions_path: str, articles_path: str, quote: str) -> None:
+    if windows:
+        days = [dt.datetime.strptime(str(w), "%Y%m%d%H%M%S").date() for w in windows]
+        ingest.ingest_landing(spark, landing_dir, event_mentions_path, articles_path, quote,
+                              windows=windows, days=days)
+
+
+def _start(spark: SparkSession, landing_dir: str, checkpoint_location: str, on_batch,
+           available_now: bool, processing_time: str,
+           files_per_trigger: int | None) -> StreamingQuery:
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+              .option("pathGlobFilter", "*.zip"))
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(files_per_trigger))
+    writer = (reader.load(landing_dir).select("path").writeStream.foreachBatch(on_batch)
+              .option("checkpointLocation", checkpoint_location))
+    writer = (writer.trigger(availableNow=True) if available_now
+              else writer.trigger(processingTime=processing_time))
+    return writer.start()
 
 
 def start_ingest_stream(spark: SparkSession, landing_dir: str, event_mentions_path: str,
                         articles_path: str, checkpoint_location: str,
                         available_now: bool = True, processing_time: str = "5 minutes",
-                        max_files_per_trigger: int | None = None,
-                        quote: str = lines.DEFAULT_QUOTE) -> StreamingQuery:
+                        quote: str = lines.DEFAULT_QUOTE,
+                        files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops after the files present now.
 
-    Leave ``max_files_per_trigger`` unset to keep each window's files in one
-    micro-batch (a window split over micro-batches joins each part on its own).
+    A window is brought up to date whenever a file of it arrives.
+    ``files_per_trigger`` only paces the stream; the tables do not depend on it.
     """
-    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("pathGlobFilter", "*.zip"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    source = reader.load(landing_dir)
-
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        _process_batch(batch.sparkSession, batch, event_mentions_path, articles_path, quote)
+        # Windows, not files: two a day of the time that the trigger covers.
+        touched = [r.batch_seq for r in window_counts(batch).select("batch_seq").collect()]
+        _ingest_windows(batch.sparkSession, landing_dir, touched, event_mentions_path,
+                        articles_path, quote)
 
-    writer = (source.writeStream.foreachBatch(on_batch)
-              .option("checkpointLocation", checkpoint_location))
-    writer = (writer.trigger(availableNow=True) if available_now
-              else writer.trigger(processingTime=processing_time))
-    return writer.start()
+    return _start(spark, landing_dir, checkpoint_location, on_batch, available_now,
+                  processing_time, files_per_trigger)
 
 
 def start_window_stream(spark: SparkSession, landing_dir: str, event_mentions_path: str,
                         articles_path: str, checkpoint_location: str,
-                        lateness: str = "15 minutes", available_now: bool = False,
-                        processing_time: str = "5 minutes",
-                        quote: str = lines.DEFAULT_QUOTE) -> StreamingQuery:
-    """Continuous ingest that processes each half-day window once, when complete.
-
-    Event time is the file's timestamp.  Files are grouped into 12-hour
-    tumbling windows (aligned with the half days; off-grid files are dropped
-    as in the batch path) under a watermark of ``lateness``: a window's file
-    list is emitted once the watermark passes the window's end (the next half
-    day's start), i.e. once a file stamped at least ``lateness`` after that
-    has arrived.  Only file
-    paths are held in state (at most one file per feed per 15 minutes per
-    window); the archives are read when the window is processed.  Files that
-    arrive after their window was emitted are late data and are dropped.
+                        available_now: bool = False, processing_time: str = "5 minutes",
+                        quote: str = lines.DEFAULT_QUOTE,
+                        files_per_trigger: int | None = None) -> StreamingQuery:
+    """As ``start_ingest_stream``, but a window waits until a file of a later one has landed.
+
+    A ledger beside the checkpoint holds, per window, the number of files it was
+    ingested with; a closed window whose landed files are more than that is (again)
+    ingested, so a late file is not lost.
     """
-    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-             .option("pathGlobFilter", "*.zip").load(landing_dir).select("path"))
-    name = F.substring_index(F.col("path"), "/", -1)
-    tagged = ingest.tag_files(files.withColumn(
-        "event_time", manifest.file_key_to_event_time(F.substring_index(name, ".", 1))))
-    complete = (tagged.filter(F.col("batch_seq").isNotNull() & F.col("feed").isNotNull())
-                .withWatermark("event_time", lateness)
-                .groupBy(F.window("event_time", "12 hours").alias("w"))
-                .agg(F.collect_list("path").alias("paths")))
-
-    def on_windows(batch: DataFrame, epoch_id: int) -> None:
-        # One row per completed window; its path list is bounded by the feed's
-        # cadence, so the driver may hold it.
-        paths = sorted(p for row in batch.select("paths").collect() for p in row.paths)
-        if paths:
-            ingest.ingest_archives(batch.sparkSession, paths, event_mentions_path,
-                                   articles_path, quote)
-
-    writer = (complete.writeStream.outputMode("append").foreachBatch(on_windows)
-              .option("checkpointLocation", checkpoint_location))
-    writer = (writer.trigger(availableNow=True) if available_now
-              else writer.trigger(processingTime=processing_time))
-    return writer.start()
+    ledger = f"{checkpoint_location.rstrip('/')}-windows"
+    schema = "batch_seq long, files long"
+
+    def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        session = batch.sparkSession
+        # Names only: nothing of the archives is read here.
+        seen = window_counts(archives.landed(session, landing_dir))
+        newest = seen.agg(F.max("batch_seq")).first()[0]
+        if newest is None:
+            return
+        if epoch_id == 0:
+            session.createDataFrame([], schema).write.mode("ignore").parquet(ledger)
+        done = (session.read.schema(schema).parquet(ledger).groupBy("batch_seq")
+                .agg(F.max("files").alias("done")))
+        due = (seen.filter(F.col("batch_seq") < newest).join(done, "batch_seq", "left")
+               .filter(F.col("files") > F.coalesce("done", F.lit(0)))
+               .select("batch_seq", "files").collect())
+        _ingest_windows(session, landing_dir, [r.batch_seq for r in due], event_mentions_path,
+                        articles_path, quote)
+        if due:
+            session.createDataFrame(due, schema).write.mode("append").parquet(ledger)
+
+    return _start(spark, landing_dir, checkpoint_location, on_batch, available_now,
+                  processing_time, files_per_trigger)
