@@ -96,7 +96,7 @@ def class_lengths(capacity: int = CAPACITY) -> list[tuple[int, int]]:
     for k in range(1, capacity + 1):
         length = capacity // k
         if capacity - length * k <= MAX_CLASS_PADDING * capacity:
-            found.setdefault(length, k)
+            found[length] = k  # of several classes of one length the fullest
     return sorted(found.items(), reverse=True)
 
 
