@@ -66,7 +66,7 @@ def stored(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """
     place = f"newslens.stored.{table}.{spark.sparkContext.applicationId}.{sf_dir}"
     path = spark.conf.get(place, None)
-    if path is None:
+    if path is None or not serving.Staging(spark, path).exists(path):
         path = scratch_path(spark, f"stored-{table}")
         serving.write_serving(SERVING_TABLES[table](spark, sf_dir), path, table)
         spark.conf.set(place, path)
