@@ -58,7 +58,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(fold("doc_id", langid.FOLDS) == langid.HELD_OUT, F.lit(False))
-    return langid.identify(docs, langid.learnable()).select(
+    return langid.identify(docs, langid.learnable(), keep=("doc_id",)).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 

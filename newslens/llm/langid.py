@@ -26,10 +26,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newslens.llm.common import fold
 
@@ -236,20 +236,26 @@ def learnable(doc_id: str = "doc_id", folds: int = FOLDS, held_out: int = HELD_O
 
 
 def identify(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text",
-             label: str = "lang", names: tuple = ("lang_pred", "score")) -> DataFrame:
-    """The columns of ``docs`` and the prediction under ``names``; learns where ``train`` holds."""
+             label: str = "lang", names: tuple = ("lang_pred", "score"),
+             keep: tuple | None = None) -> DataFrame:
+    """The columns ``keep`` (all) and the prediction under ``names``; learns where ``train`` holds."""
     model = fit(docs.filter(train).select(F.col(doc_id).cast("long").alias("id"),
                                           F.col(label).cast("string").alias("label"),
                                           F.col(text).alias("text")))
 
-    @F.pandas_udf("lang_pred string, score double")
-    def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    keep = list(docs.columns if keep is None else keep)
+    rows = docs.select(F.col(text).alias("_text"), *[F.col(c) for c in keep if c != text])
+    order = [0 if c == text else rows.columns.index(c) for c in keep]
+
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_letter = letters()
-        for texts in batches:
-            got = [model.predict(features(t, is_letter)) for t in texts]
-            yield pd.DataFrame({"lang_pred": pd.Series([g[0] for g in got], dtype=object),
-                                "score": pd.Series([g[1] for g in got], dtype=float)})
-
-    return docs.withColumn("_guess", guess(F.col(text))).select(
-        *[F.col(c) for c in docs.columns], F.col("_guess.lang_pred").alias(names[0]),
-        F.col("_guess.score").alias(names[1]))
+        for b in batches:
+            got = [model.predict(features(t.as_py(), is_letter)) for t in b.column(0)]
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(i) for i in order), pa.array([g[0] for g in got], pa.string()),
+                 pa.array([g[1] for g in got], pa.float64())], names=[*keep, *names])
+
+    schema = T.StructType([*(docs.schema[c] for c in keep),
+                           T.StructField(names[0], T.StringType()),
+                           T.StructField(names[1], T.DoubleType())])
+    return rows.mapInArrow(predict, schema)

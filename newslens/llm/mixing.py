@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +41,7 @@ BUCKET_ROWS = 512
 MAX_SHARDS = 1 << 14
 SHARD_SLOTS = 4096
 SEED = 20260
+PIECES_PER_BATCH = 2000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -236,26 +238,43 @@ def piece_texts(docs: DataFrame, mixture: DataFrame, doc_id: str = "doc_id",
     space between words stays as it is.
     """
     word = re.compile(WORD)
-    spans = mixture.groupBy("doc_id", "text_hash", "copy").agg(
-        F.collect_list(F.struct("start_word", "n_words")).alias("_spans")).select(
-        *[F.col(c).alias(f"_{c}") for c in ("doc_id", "text_hash", "copy")], "_spans")
-    own = Window.partitionBy(F.col(doc_id).cast("long"), "_hash").orderBy(
-        F.col(source).cast("string"))
-    keyed = docs.withColumn("_hash", F.xxhash64(F.col(text))).withColumn(
+    # The number of a row among its copies and its pieces meet under the same three
+    # keys, none of them null, so that texts move once.
+    keys = ["_null", "_id", "_hash"]
+
+    def keyed(df: DataFrame, the_id: Column, the_hash: Column) -> DataFrame:
+        return (df.withColumn("_null", the_id.isNull())
+                .withColumn("_id", F.coalesce(the_id.cast("long"), F.lit(0).cast("long")))
+                .withColumn("_hash", the_hash))
+
+    spans = keyed(mixture, F.col("doc_id"), F.col("text_hash")).groupBy(keys).agg(
+        F.collect_list(F.struct("copy", "start_word", "n_words")).alias("_all"))
+    own = Window.partitionBy(*keys).orderBy(F.col(source).cast("string"))
+    rows = keyed(docs, F.col(doc_id), F.xxhash64(F.col(text))).withColumn(
         "_no", F.row_number().over(own))
-    joined = keyed.join(spans, F.col(doc_id).cast("long").eqNullSafe(F.col("_doc_id"))
-                        & (F.col("_hash") == F.col("_text_hash"))
-                        & (F.col("_no") == F.col("_copy")))
-
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        out = []
-        for value, wanted in zip(texts, spans):
-            starts = [m.start() for m in word.finditer(value)]
-            starts.append(len(value))
-            out.append([value[starts[s["start_word"]]:starts[s["start_word"] + s["n_words"]]]
-                        for s in wanted])
-        return pd.Series(out)
-
-    return joined.withColumn("_piece", F.explode(cut(F.col(text), "_spans"))).select(
-        *[F.col("_piece").alias(text) if c == text else F.col(c) for c in docs.columns])
+    joined = rows.join(spans, keys).withColumn(
+        "_spans", F.filter("_all", lambda x: x["copy"] == F.col("_no")))
+
+    names = list(docs.columns)
+    place = names.index(text)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Row by row, so that few pieces are held at a time."""
+        for batch in batches:
+            rows, pieces = [], []
+            for i, (value, spans) in enumerate(zip(batch.column(place), batch.column("_spans"))):
+                value = value.as_py()
+                starts = [m.start() for m in word.finditer(value)]
+                starts.append(len(value))
+                for s in spans.as_py():
+                    rows.append(i)
+                    pieces.append(value[starts[s["start_word"]]:
+                                        starts[s["start_word"] + s["n_words"]]])
+                if len(rows) >= PIECES_PER_BATCH or i == batch.num_rows - 1:
+                    own = pa.array(rows, pa.int32())
+                    columns = [pa.array(pieces, pa.string()) if c == text
+                               else batch.column(c).take(own) for c in names]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+                    rows, pieces = [], []
+
+    return joined.select(*names, "_spans").mapInArrow(cut, docs.schema)
