@@ -36,7 +36,8 @@ def packed(batch) -> bytes:
 
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema,
-                           options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                           options=pa.ipc.IpcWriteOptions(
+                               compression=pa.Codec("zstd", compression_level=5))) as w:
         w.write_table(batch)
     return sink.getvalue().to_pybytes()
 

@@ -10,10 +10,11 @@ the estimates of all depths on the path of its context.
 
 Training texts only matter by their counts of (context, byte), so training is a
 grouped sum.  Texts are cut into groups of bounded size; every group yields its
-distinct (context, byte) keys and words, sums meet by key, context trees are
-weighed per pair of latest bytes (the two upper levels are at most 257 x 255
-numbers), and each group gets back the log-probabilities of its own keys and the
-counts of its own words.  No table of the whole model is ever sent anywhere.
+distinct (context, byte) keys and words, packed by part of the key space.  Sums
+meet by part, context trees are weighed per pair of latest bytes (the two upper
+levels are at most 257 x 255 numbers), and each group gets back the
+log-probabilities of its own keys and the counts of those of its words that other
+groups hold too.  No table of the whole model is ever sent anywhere.
 
 The base score is the add-one unigram score of the tokens: the words, then one
 end.
@@ -27,28 +28,32 @@ group is a group of its own.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslens.llm.common import fold, materialize
+from newslens.llm.common import fold, materialize, packed, unpacked
 
 DEPTH = 5
-GROUP_BYTES = 16 << 20
-STRETCH = 1 << 19
+GROUP_BYTES = 12 << 20
+STRETCH = 1 << 20
 #: Keys weighed in one task, about; those with the same two latest bytes stay together.
 BUCKET_KEYS = 200_000
 FOLDS, HELD_OUT = 7, 2
 END = b"\n"
 
+#: Text for which there is one more part of the key space.
+PART_BYTES = 32 << 20
+
 _DOCS, _GRAM, _WORD = 0, 1, 2
-_ROWS = "kind int, g long, key long, word binary, n long, blob binary"
+_ROWS = "kind int, g long, part long, blob binary"
 
 
 # --- texts to keys ---------------------------------------------------------------
@@ -61,6 +66,22 @@ def coded(words: list[bytes]) -> bytes:
     return b" ".join(words[:-1]) + END
 
 
+class Words:
+    """The words of coded texts, told apart by number."""
+
+    def __init__(self, texts: list[bytes]):
+        lines = pc.binary_slice(pa.array(texts, pa.large_binary()), 0, -len(END))
+        split = pc.split_pattern(lines, b" ")
+        n = pc.list_value_length(split).to_numpy().copy()
+        # A text without words splits into one empty one.
+        n[np.fromiter((t == END for t in texts), bool, len(texts))] = 0
+        self.doc = np.repeat(np.arange(len(texts)), n)
+        flat = pc.list_flatten(split)
+        coded = flat.filter(pc.not_equal(flat, b"")).dictionary_encode()
+        self.number, self.distinct = coded.indices.to_numpy(), coded.dictionary
+        self.n = n
+
+
 def keys_of(texts: list[bytes]) -> Iterator[np.ndarray]:
     """(context, byte) keys of all bytes in order: latest context byte on top, byte below."""
     stream = np.frombuffer(b"".join(bytes(DEPTH) + t for t in texts), np.uint8)
@@ -195,67 +216,125 @@ class Upper:
 
 
 # --- Spark stages -------------------------------------------------------------------
-def _ipc(table: pa.Table) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema,
-                           options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-        w.write_table(table)
-    return sink.getvalue().to_pybytes()
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    names = [f.split()[0] for f in _ROWS.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 4, types)], names=names)
+
+
+def _packed_keys(keys: np.ndarray, values: np.ndarray) -> bytes:
+    """Sorted keys as steps, which compress well, and their values."""
+    return packed(pa.table({"step": np.diff(keys, prepend=0), "value": values}))
 
 
-def grouped_texts(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """Per group its texts in one compressed value, its keys and its words, in one pass.
+def _unpacked_keys(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    t = unpacked(blob)
+    return np.cumsum(t["step"].to_numpy()), t["value"].to_numpy()
+
+
+def by_part_of_keys(keys: np.ndarray, parts: int) -> list[np.ndarray]:
+    """For every part of the key space the places of its keys, in order."""
+    part = keys % parts
+    order = np.argsort(part, kind="stable")
+    return np.split(order, np.searchsorted(part[order], np.arange(1, parts)))
+
+
+def grouped_texts(docs: DataFrame, parts: int, group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """Per group its texts, and per part of the key space its keys and its words.
 
     ``docs`` has id, text and learn (whether to learn from the row).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << 24
-        types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
-        names = [f.split()[0] for f in _ROWS.split(", ")]
-
-        def rows(kind, g, n_rows, key=None, word=None, n=None, blob=None):
-            values = [np.full(n_rows, kind, np.int32), np.full(n_rows, g, np.int64),
-                      key, word, n, blob]
-            return pa.RecordBatch.from_arrays(
-                [pa.nulls(n_rows, t) if v is None else pa.array(v, t)
-                 for v, t in zip(values, types)], names=names)
-
-        def flush(g, ids, texts, learn, words, other):
-            yield rows(_DOCS, g, 1, blob=[_ipc(pa.table({
-                "id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.binary())}))])
-            for word, keep in ((words, True), (other - words.keys(), False)):
-                if word:
-                    yield rows(_WORD, g, len(word), word=list(word),
-                               n=list(word.values()) if keep else [0] * len(word))
-            parts = [counted(keys_of([t for t, x in zip(texts, learn) if x == y]))
+        g, size = TaskContext.get().partitionId() << 24, 0
+        ids, texts, learn = [], [], []
+
+        def flush():
+            yield _batch([(_DOCS, g, None, packed(pa.table({
+                "id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.binary()),
+                "learn": learn})))])
+            words = Words(texts)
+            trained = np.array(learn)
+            n = np.bincount(words.number[trained[words.doc]], minlength=len(words.distinct))
+            # The end token is one more word.
+            distinct = pa.concat_arrays([words.distinct, pa.array([END], pa.large_binary())])
+            n = np.append(n, trained.sum()).astype(np.int64)
+            order = pc.sort_indices(distinct).to_numpy()
+            part = np.fromiter((crc32(w) % parts for w in distinct.take(order).to_pylist()),
+                               np.int64, len(order))
+            yield _batch([(_WORD, g, k, packed(pa.table({
+                "word": distinct.take(order[part == k]), "n": n[order[part == k]]})))
+                for k in np.unique(part).tolist()])
+            found = [counted(keys_of([t for t, x in zip(texts, learn) if x == y]))
                      for y in (True, False)]
-            keys, n = summed(np.concatenate([parts[0][0], parts[1][0]]),
-                             np.concatenate([parts[0][1], 0 * parts[1][1]]))
-            yield rows(_GRAM, g, len(keys), key=keys, n=n)
+            keys, n = summed(np.concatenate([found[0][0], found[1][0]]),
+                             np.concatenate([found[0][1], 0 * found[1][1]]))
+            yield _batch([(_GRAM, g, part, _packed_keys(keys[i], n[i]))
+                          for part, i in enumerate(by_part_of_keys(keys, parts)) if len(i)])
 
-        g, size, ids, texts, learn, words, other = base, 0, [], [], [], Counter(), set()
         for b in batches:
             for i, text, train in zip(b.column(0).to_pylist(), b.column(1),
                                       b.column(2).to_pylist()):
-                own = tokens(text.as_py())
-                if train:
-                    words.update(own)
-                else:
-                    other.update(own)
                 ids.append(i)
-                texts.append(coded(own))
+                texts.append(coded(tokens(text.as_py())))
                 learn.append(bool(train))
                 size += len(texts[-1])
                 if size >= group_bytes:
-                    yield from flush(g, ids, texts, learn, words, other)
-                    g, size, ids, texts, learn, words, other = (g + 1, 0, [], [], [], Counter(),
-                                                                set())
+                    yield from flush()
+                    g, size = g + 1, 0
+                    ids, texts, learn = [], [], []
         if ids:
-            yield from flush(g, ids, texts, learn, words, other)
+            yield from flush()
 
     return docs.select("id", "text", "learn").mapInArrow(run, _ROWS)
 
 
+def _sum_grams(t: pa.Table) -> pa.Table:
+    got = [_unpacked_keys(b.as_py()) for b in t["blob"]]
+    keys, n = summed(np.concatenate([k for k, _ in got]),
+                     np.concatenate([n for _, n in got]))
+    return pa.table({"key": keys, "n": n})
+
+
+def _values_back(rows: pa.Table, values: pa.Table) -> pa.Table:
+    """For every group its keys of one part with their values."""
+    keys, value = values["key"].to_numpy(), values["value"].to_numpy().astype(np.float32)
+    order = np.argsort(keys)
+    keys, value = keys[order], value[order]
+    out = []
+    for g, blob in zip(rows["g"].to_pylist(), rows["blob"]):
+        own, _ = _unpacked_keys(blob.as_py())
+        out.append((_GRAM, g, None,
+                    _packed_keys(own, value[np.searchsorted(keys, own)])))
+    return pa.Table.from_batches([_batch(out)])
+
+
+def _words_back(t: pa.Table) -> pa.Table:
+    """For every group's words of one part their counts, where other groups hold them too.
+
+    One more row, of no group, has the sums of the part.
+    """
+    held = [unpacked(b.as_py()) for b in t["blob"]]
+    coded = pa.concat_tables(held)["word"].combine_chunks().dictionary_encode()
+    number = coded.indices.to_numpy()
+    n = np.concatenate([x["n"].to_numpy() for x in held])
+    total = np.zeros(len(coded.dictionary), np.int64)
+    np.add.at(total, number, n)
+    shared = (np.bincount(number) > 1) & (total > 0)
+    out, at = [], 0
+    for g, x in zip(t["g"].to_pylist(), held):
+        own = number[at:at + len(x)]
+        at += len(x)
+        out.append((_WORD, g, None, packed(pa.table({
+            "word": x["word"].filter(pa.array(shared[own])),
+            "n": total[own[shared[own]]]})), 0, 0))
+    out.append((_WORD, None, None, None, int(total.sum()), int((total > 0).sum())))
+    table = pa.Table.from_batches([_batch([r[:4] for r in out])])
+    for k, name in ((4, "tokens"), (5, "vocabulary")):
+        table = table.append_column(name, pa.array([r[k] for r in out], pa.int64()))
+    return table
+
+
 def _tops(t: pa.Table) -> pa.Table:
     trees = Trees(t["key"].to_numpy(), t["n"].to_numpy())
     out = trees.tops().groupby(["latest", "p"], as_index=False).sum()
@@ -263,9 +342,8 @@ def _tops(t: pa.Table) -> pa.Table:
                                 preserve_index=False)
 
 
-def log_probabilities(grams: DataFrame) -> DataFrame:
-    """(key, value) for every distinct key of ``grams`` (key, n): n counts in training."""
-    per_key = materialize(grams.groupBy("key").agg(F.sum("n").alias("n")), "ctw-keys")
+def log_probabilities(per_key: DataFrame) -> DataFrame:
+    """(key, value) for every row of ``per_key`` (key, n): n counts in training."""
     # All keys with the same two latest bytes are weighed together.
     buckets = 1 + per_key.count() // BUCKET_KEYS
     dealt = per_key.withColumn("bucket", F.pmod(F.xxhash64(F.shiftright(
@@ -290,7 +368,8 @@ class Lookup:
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         bits = max(4, int(4 * len(keys)).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits)
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(
+            1 << bits, values.dtype)
         at = self.place(keys)
         while len(keys):
             free = self.keys[at] < 0
@@ -316,62 +395,83 @@ class Lookup:
         return out
 
 
+def _scores(texts: list[bytes], grams: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """log10 probability and length of every text, from the group's keys and values."""
+    got = [_unpacked_keys(b) for b in grams]
+    lookup = Lookup(np.concatenate([k for k, _ in got]), np.concatenate([v for _, v in got]))
+    del got
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends, at, score = np.cumsum(sizes), 0, np.zeros(len(texts))
+    for k in keys_of(texts):
+        if not len(k):
+            continue
+        # The texts that these bytes belong to; none is empty.
+        first, last = np.searchsorted(ends, (at, at + len(k) - 1), side="right")
+        starts = np.maximum((ends - sizes)[first:last + 1] - at, 0)
+        score[first:last + 1] += np.add.reduceat(lookup(k), starts, dtype=float)
+        at += len(k)
+    return score / np.log(10), sizes
+
+
 def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte`` per row.
 
     Scores are log10 probabilities; the model learns from rows where ``learn`` holds.
     """
-    rows = materialize(grouped_texts(docs.select(
-        F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"),
-        F.coalesce(learn, F.lit(False)).alias("learn"))), "ctw-groups")
-    grams = rows.filter(F.col("kind") == _GRAM).select("g", "key", "n")
-    values = grams.select("g", "key").join(log_probabilities(grams), "key")
-    words = rows.filter(F.col("kind") == _WORD).select("g", "word", "n")
-    per_word = materialize(words.groupBy("word").agg(F.sum("n").alias("count"))
-                           .filter("count > 0"), "ctw-words")
-    n_train, vocabulary = per_word.agg(F.coalesce(F.sum("count"), F.lit(0)),
-                                       F.count("*")).first()
-    known = words.select("g", "word").join(per_word, "word")
-    nothing = F.lit(None)
-    parts = (rows.filter(F.col("kind") == _DOCS).select(
-                 "g", "blob", nothing.cast("long").alias("key"),
-                 nothing.cast("binary").alias("word"), nothing.cast("double").alias("value"))
-             .unionByName(values.select("g", nothing.cast("binary").alias("blob"), "key",
-                                        nothing.cast("binary").alias("word"), "value"))
-             .unionByName(known.select("g", nothing.cast("binary").alias("blob"),
-                                       nothing.cast("long").alias("key"), "word",
-                                       F.col("count").cast("double").alias("value"))))
+    docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"),
+                       F.coalesce(learn, F.lit(False)).alias("learn"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # Odd, so that keys fall evenly by their remainder.
+    parts = 1 + 2 * (size // (2 * PART_BYTES))
+    rows = materialize(grouped_texts(docs, parts), "ctw-groups")
+    grams, words = (rows.filter(F.col("kind") == k) for k in (_GRAM, _WORD))
+    per_key = materialize(grams.select("part", "blob").groupBy("part").applyInArrow(
+        _sum_grams, "key long, n long"), "ctw-keys")
+    values = log_probabilities(per_key).withColumn("part", F.col("key") % F.lit(parts))
+    values = grams.select("part", "g", "blob").groupBy("part").cogroup(
+        values.groupBy("part")).applyInArrow(_values_back, _ROWS)
+    counts = materialize(words.select("part", "g", "blob").groupBy("part").applyInArrow(
+        _words_back, f"{_ROWS}, tokens long, vocabulary long"), "ctw-words")
+    n_train, vocabulary = counts.agg(F.coalesce(F.sum("tokens"), F.lit(0)),
+                                     F.coalesce(F.sum("vocabulary"), F.lit(0))).first()
+    own = ["kind", "g", "blob"]
+    parts_of_group = (rows.filter(F.col("kind") == _DOCS).select(own)
+                      .unionByName(values.select(own))
+                      .unionByName(counts.filter("g is not null").select(own)))
     unseen = n_train + vocabulary + 1
 
     def run(t: pa.Table) -> pa.Table:
-        import pyarrow.compute as pc
-
-        grams = t.filter(pc.is_valid(t["key"]))
-        lookup = Lookup(grams["key"].to_numpy(), grams["value"].to_numpy())
-        found = t.filter(pc.is_valid(t["word"]))
-        count = dict(zip(found["word"].to_pylist(), found["value"].to_pylist()))
-        blob = t.filter(pc.is_valid(t["blob"]))["blob"]
-        table = pa.ipc.open_stream(blob[0].as_py()).read_all()
-        texts = table["text"].to_pylist()
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        logs = np.concatenate([lookup(k) for k in keys_of(texts)])
-        score = np.add.reduceat(logs, np.cumsum(sizes) - sizes) / np.log(10)
-        n_tokens, n_known, base = [], [], []
-        for text in texts:
-            own = text.split()
-            own.append(END)
-            c = np.fromiter((count.get(w, 0.0) for w in own), float, len(own))
-            n_tokens.append(len(own))
-            n_known.append(int((c > 0).sum()))
-            base.append(float(np.log10((c + 1) / unseen).sum()))
+        blobs: dict[int, list] = {_DOCS: [], _GRAM: [], _WORD: []}
+        for kind, blob in zip(t["kind"].to_pylist(), t["blob"]):
+            blobs[kind].append(blob.as_py())
+        table = unpacked(blobs[_DOCS][0])
+        texts, trained = table["text"].to_pylist(), table["learn"].to_numpy()
+        words = Words(texts)
+        # Words that no other group holds have the count they have here.
+        count = np.bincount(words.number[trained[words.doc]], minlength=len(words.distinct))
+        ends = int(trained.sum())
+        place = dict(zip(words.distinct.to_pylist(), range(len(words.distinct))))
+        for b in blobs[_WORD]:
+            x = unpacked(b)
+            for w, n in zip(x["word"].to_pylist(), x["n"].to_pylist()):
+                if w == END:
+                    ends = n
+                else:
+                    count[place[w]] = n
+        n_tokens = words.n + 1
+        n_known = np.bincount(words.doc[count[words.number] > 0], minlength=len(texts)) + (ends > 0)
+        base = (np.bincount(words.doc, np.log10((count[words.number] + 1.0) / unseen), len(texts))
+                + np.log10((ends + 1.0) / unseen))
+        del words, place, count
+        score, sizes = _scores(texts, blobs[_GRAM])
         return pa.table({
-            "doc_id": table["id"], "n_tokens": pa.array(n_tokens, pa.int64()),
-            "n_known": pa.array(n_known, pa.int64()),
+            "doc_id": table["id"], "n_tokens": n_tokens.astype(np.int64),
+            "n_known": n_known.astype(np.int64),
             "train_tokens": np.full(len(texts), n_train, np.int64),
             "base_score": base, "score": score,
             "bits_per_byte": -score * np.log2(10) / sizes})
 
-    return parts.groupBy("g").applyInArrow(
+    return parts_of_group.groupBy("g").applyInArrow(
         run, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, "
              "score double, bits_per_byte double")
 
