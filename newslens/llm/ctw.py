@@ -50,7 +50,7 @@ FOLDS, HELD_OUT = 7, 2
 END = b"\n"
 
 #: Text for which there is one more part of the key space.
-PART_BYTES = 32 << 20
+PART_BYTES = 8 << 20
 
 _DOCS, _GRAM, _WORD = 0, 1, 2
 _ROWS = "kind int, g long, part long, blob binary"
