@@ -11,7 +11,10 @@ The densities of a node's children add up to its density sum.  The node with
 the largest sum is the centre of the content (a paragraph, which has text and no
 parts, has none, and formatting and line breaks are no tags); the smallest density on the path
 from it to the body is the threshold.  Walking down from the body, every node at
-or above the threshold gives its subtree with the largest sum; its text is kept.
+or above the threshold gives its subtree with the largest sum; its text is kept,
+and the walk goes on into the node's children outside that subtree.  Short blocks
+pass no threshold, so headings and paragraphs right before a kept part, and the
+sections beside a kept section, go with it unless most of their text is links.
 
 Parts that are never the article are cut from the tree first: elements whose
 name says so (nav, footer, form ...) and elements whose class, id or role names
@@ -72,6 +75,8 @@ ASIDE = {"ad", "ads", "adbox", "adsense", "advert", "adverts", "advertisement",
          "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored",
          "sponsors", "subscribe", "subscription", "toolbar", "topbar", "warning",
          "widget", "widgets"}
+#: What a title or a lead before the body of an article is written as.
+LEAD = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup", "p"}
 READERS = {"comment", "comments", "commentlist", "discussion", "disqus", "replies", "respond"}
 
 TOKEN = re.compile(
@@ -85,7 +90,7 @@ SPACE = re.compile(r"\s+")
 
 class _Node:
     __slots__ = ("tag", "parent", "children", "aside", "chars", "tags", "link_chars",
-                 "link_tags", "own", "parts", "density", "total")
+                 "link_tags", "own", "parts", "density", "total", "best")
 
     def __init__(self, tag, parent, aside=""):
         self.tag, self.parent, self.aside = tag, parent, aside
@@ -226,24 +231,52 @@ def weigh(root: _Node) -> None:
 
 def select(body: _Node) -> list[_Node]:
     """The subtrees that hold the content, in page order."""
-    nodes = _order(body)
-    centre = max(nodes, key=lambda n: n.total)
+    for n in reversed(_order(body)):
+        n.best = n
+        for c in n.children:
+            if not isinstance(c, str) and c.best.total > n.best.total:
+                n.best = c.best
+    centre = body.best
     if not centre.chars:
         return []
     threshold, n = centre.density, centre
     while n is not None and n is not body.parent:
         threshold = min(threshold, n.density)
         n = n.parent
+    kept, todo = {}, [body]
+    while todo:
+        n = todo.pop()
+        if n.chars and n.density >= threshold and id(n) not in kept:
+            kept[id(n.best)] = n.best
+            if n.best is not n:
+                todo.extend(c for c in n.children if not isinstance(c, str))
+    for n in list(kept.values()):
+        kept.update((id(c), c) for c in _beside(n, body))
     out, todo = [], [body]
     while todo:
         n = todo.pop()
-        if n.density >= threshold and n.chars:
-            out.append(max(_order(n), key=lambda x: x.total))
+        if id(n) in kept:
+            out.append(n)
         else:
             todo.extend(c for c in reversed(n.children) if not isinstance(c, str))
     return out
 
 
+def _beside(node: _Node, body: _Node) -> list[_Node]:
+    """Title and lead before a kept part, and the sections beside a kept section."""
+    while node is not body:
+        nodes = [c for c in node.parent.children
+                 if not isinstance(c, str) and c.chars > 2 * c.link_chars]
+        # A kept part that is mostly links has no place among these.
+        at = next((i for i, c in enumerate(nodes) if c is node), 0)
+        found = [c for i, c in enumerate(nodes) if c is not node and (
+            c.tag in LEAD and i < at or c.tag == node.tag == "section")]
+        if found:
+            return found
+        node = node.parent
+    return []
+
+
 def blocks(node: _Node) -> list[str]:
     """The texts between block-level tags, white space as single spaces."""
     out, run = [], []
