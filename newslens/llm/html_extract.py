@@ -16,9 +16,13 @@ and the walk goes on into the node's children outside that subtree.  Short block
 pass no threshold, so headings and paragraphs right before a kept part, and the
 sections beside a kept section, go with it unless most of their text is links.
 
-Parts that are never the article are cut from the tree first: elements whose
-name says so (nav, footer, form ...) and elements whose class, id or role names
-a menu, advert, notice, comment list and so on, unless the article lies inside.
+Scripts, controls and the like are cut from the tree first.  On the rest, link
+characters and blocks are counted before parts beside the article are cut: those
+whose tag (nav, footer, form ...) or whose class, id or role (menu, advert, share,
+comments ...) says so.  Such a part stays if the article or main element lies in
+it, or if, beside links, it holds more text and at least as many blocks as all
+that would be left without the named parts; never a readers' part.  A warning or
+notice inside the article, or inside the densest part below the body, stays too.
 
 Blocks are the stretches of text between block-level tags; a line break is white
 space.  Each page is parsed on its own in one pass over its tokens.
@@ -48,10 +52,11 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code"
           "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby",
           "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u",
           "var", "wbr"}
-CUT = {"script", "style", "head", "title", "noscript", "template", "nav", "header", "footer",
-       "aside", "form", "button", "select", "option", "textarea", "input", "iframe", "object",
-       "embed", "applet", "svg", "canvas", "audio", "video", "map", "menu", "dialog", "xmp",
-       "noembed", "noframes"}
+CUT = {"script", "style", "head", "title", "noscript", "template", "button", "select", "option",
+       "textarea", "input", "iframe", "object", "embed", "applet", "svg", "canvas", "audio",
+       "video", "map", "xmp", "noembed", "noframes"}
+#: Parts beside the article, unless they wrap it.
+PARTS = {"nav", "header", "footer", "aside", "form", "menu", "dialog"}
 #: An open element of the set is closed by the start of any of the others.
 CLOSED_BY = {"p": {"address", "article", "aside", "blockquote", "center", "details", "div", "dl",
                    "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4",
@@ -77,6 +82,7 @@ ASIDE = {"ad", "ads", "adbox", "adsense", "advert", "adverts", "advertisement",
          "widget", "widgets"}
 #: What a title or a lead before the body of an article is written as.
 LEAD = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup", "p"}
+CALLOUT = {"alert", "announcement", "disclaimer", "notice", "notices", "warning"}
 READERS = {"comment", "comments", "commentlist", "discussion", "disqus", "replies", "respond"}
 
 TOKEN = re.compile(
@@ -99,17 +105,20 @@ class _Node:
 
 
 def named_aside(attributes: str) -> str:
-    """"aside" or "readers" if class, id or role names a part beside the article."""
+    """"aside", "readers" or "callout" if class, id or role names a part beside the article."""
     found = ""
     for key, value in ATTRIBUTE.findall(attributes):
         value = value.strip("\"'")
         if key.lower() == "aria-hidden":
-            found = found or ("aside" if value.lower() == "true" else "")
+            found = "aside" if value.lower() == "true" else found
         else:
             words = {w.lower() for w in NAME.findall(value)}
             if words & READERS:
                 return "readers"
-            found = found or ("aside" if words & ASIDE else "")
+            if words & (ASIDE - CALLOUT):
+                found = "aside"
+            elif words & CALLOUT:
+                found = found or "callout"
     return found
 
 
@@ -179,17 +188,78 @@ def _article(nodes: list[_Node]) -> _Node | None:
     return best
 
 
+def _path(node: _Node | None, seen: set[int]) -> None:
+    """Add a node and what it lies in to a set."""
+    while node is not None and id(node) not in seen:
+        seen.add(id(node))
+        node = node.parent
+
+
+def _named(top: _Node, keeps: set[int]) -> list[_Node]:
+    """The outermost parts below a node that their name puts beside the article."""
+    out, todo = [], [top]
+    while todo:
+        for c in todo.pop().children:
+            if not isinstance(c, str):
+                named = (c.tag in PARTS or c.aside) and id(c) not in keeps
+                (out if named else todo).append(c)
+    return out
+
+
 def prune(root: _Node) -> None:
-    """Cut what is never the article, but nothing that the article lies in."""
+    """Cut what is beside the article, but nothing that the article lies in."""
     nodes = _order(root)
     keeps: set[int] = set()
-    for n in [*(n for n in nodes if n.tag in ("main", "body", "html")), _article(nodes)]:
-        while n is not None and id(n) not in keeps:
-            keeps.add(id(n))
-            n = n.parent
+    article = _article(nodes)
+    mains = [n for n in nodes if n.tag == "main"]
+    for n in [*(n for n in nodes if n.tag in ("main", "body", "html")), article]:
+        _path(n, keeps)
+    for n in nodes:
+        n.children = [c for c in n.children if isinstance(c, str) or id(c) in keeps
+                      or c.tag not in CUT]
+    weigh(root)
+    nodes = _order(root)
+    text = {id(n): n.chars - n.link_chars for n in nodes}
+    count: dict[int, int] = {}
+    for n in reversed(nodes):
+        own = n.tag == "br" or n.tag not in INLINE and n.own > 0
+        count[id(n)] = own + sum(count[id(c)] for c in n.children if not isinstance(c, str))
+
+    # Callouts are part of the text that they stand in.
+    centre = max(nodes, key=lambda n: n.total)
+    while centre is not None and centre.aside == "callout":
+        centre = centre.parent
+    within = {id(n) for n in (article, centre)
+              if n is not None and n.tag not in ("body", "html", "#root")}
+    for n in nodes:
+        if n.parent is not None and id(n.parent) in within:
+            within.add(id(n))
+            if n.aside == "callout":
+                n.aside = ""
+
+    # A named part that outweighs all that is left without such parts wraps the article.
+    def left(top: _Node, parts: list[_Node]) -> tuple[int, int]:
+        return (text[id(top)] - sum(text[id(c)] for c in parts),
+                count[id(top)] - sum(count[id(c)] for c in parts))
+
+    parts, rest = [], (0, 0)
+    for top in [*([article] if article else mains[:1]), root]:
+        parts = _named(top, keeps)
+        rest = left(top, parts)
+        # An article of one block is a teaser or a frame round named parts.
+        if rest[1] > 1:
+            break
+    while wraps := [c for c in parts if c.aside != "readers"]:
+        most = max(wraps, key=lambda c: text[id(c)])
+        if text[id(most)] <= rest[0] or count[id(most)] < rest[1]:
+            break
+        keeps.add(id(most))
+        parts = _named(most, keeps)
+        rest = tuple(a + b for a, b in zip(rest, left(most, parts), strict=True))
+
     for n in nodes:
         n.children = [c for c in n.children if isinstance(c, str) or id(c) in keeps
-                      or not (c.tag in CUT or c.aside)]
+                      or not (c.tag in PARTS or c.aside)]
 
 
 def weigh(root: _Node) -> None:
