@@ -3,9 +3,9 @@
 A k-mer (``K`` characters) is a closed syncmer if the smallest of its ``W``
 inner substrings of ``S`` characters, by hash, is its first or its last.  That
 depends on the k-mer alone, so equal passages are anchored at the same places
-whatever surrounds them.  A document's fingerprint is its ``SKETCH`` smallest
-anchor hashes (a bottom-k sketch); the likeness of two fingerprints is the share
-of the smallest hashes of their union that both hold.
+whatever surrounds them.  A document's fingerprint is the set of all its anchor
+hashes, sorted; the likeness of two fingerprints is the share of their union that
+both hold.  The places of the anchors are not part of it.
 
 Texts are cut once into overlapping chunks, so that taking substrings stays
 linear in the length of a text, and every substring is hashed once.
@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 S = 12
 W = 5
 K = S + W - 1
-SKETCH = 64
+#: Anchors of a fingerprint: all.
+SKETCH = None
 CHUNK = 64
 STRETCH_ROWS = 4096
 MAX_STRETCHES = 1 << 19
@@ -64,53 +65,41 @@ def anchors(hashes: Column) -> Column:
     def anchor(i: Column) -> Column:
         # The two edge substrings cover the whole k-mer.
         value = F.xxhash64(F.get(hashes, i), F.get(hashes, i + (W - 1)))
-        return F.struct(F.shiftright(value, 32).alias("hash"), i.alias("place"))
+        return F.struct(F.shiftright(value, 32).cast("int").alias("hash"), i.alias("place"))
 
     starts = F.sequence(F.lit(0), F.size(hashes) - W)
     return F.when(F.size(hashes) >= W, F.transform(F.filter(starts, closed), anchor)).otherwise(
-        F.array().cast("array<struct<hash:bigint,place:int>>"))
+        F.array().cast("array<struct<hash:int,place:int>>"))
 
 
-def smallest(values: Column, n: int = SKETCH) -> Column:
-    """The ``n`` smallest distinct values, sorted.
-
-    Long lists are first cut to the values below a bound that about ``4 n`` of
-    them should pass; where too few distinct ones do, the whole list is taken.
-    """
-    def take(v: Column) -> Column:
-        bound = (F.lit(-(2.0**31)) + F.lit(2.0**32 * 4 * n) / F.size(v)).cast("bigint")
-        few = F.size(v) <= 4 * n
-        low = F.array_distinct(F.when(few, v).otherwise(F.filter(v, lambda x: x < bound)))
-        return _let(low, lambda d: F.slice(F.sort_array(
-            F.when(few | (F.size(d) >= n), d).otherwise(F.array_distinct(v))), 1, n))
-
-    return _let(values, take)
+def distinct(values: Column) -> Column:
+    """The distinct values, sorted."""
+    return F.sort_array(F.array_distinct(values))
 
 
 def short_anchor(text: Column) -> Column:
-    """The sketch of a text shorter than a k-mer."""
-    return F.when(F.length(text) == 0, F.array().cast("array<bigint>")).otherwise(
-        F.array(F.shiftright(F.xxhash64(text), 32)))
+    """The fingerprint of a text shorter than a k-mer."""
+    return F.when(F.length(text) == 0, F.array().cast("array<int>")).otherwise(
+        F.array(F.shiftright(F.xxhash64(text), 32).cast("int")))
 
 
-def likeness(a: Column, b: Column, n: int = SKETCH) -> Column:
-    both = F.slice(F.sort_array(F.array_union(a, b)), 1, n)
-    shared = F.size(F.array_intersect(F.array_intersect(a, b), both))
+def likeness(a: Column, b: Column) -> Column:
+    shared = F.size(F.array_intersect(a, b))
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(
-        shared.cast("double") / F.size(both))
+        shared.cast("double") / (F.size(a) + F.size(b) - shared))
 
 
 def text_of(sketch: Column) -> Column:
-    """A sketch as eight hexadecimal digits a hash."""
-    return F.array_join(F.transform(sketch, lambda x: F.lpad(F.lower(F.hex(
-        x.bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
+    """A fingerprint as eight hexadecimal digits a hash."""
+    return F.lower(F.array_join(F.transform(sketch, lambda x: F.substring(
+        F.hex(x.cast("long") + F.lit(1 << 32)), -8, 8)), ""))
 
 
 def sketch(text: Column) -> Column:
     """The fingerprint of a whole text, as an array of hashes."""
     found = _let(inner_hashes(text), anchors)
     return F.when(F.length(text) < K, short_anchor(text)).otherwise(
-        smallest(F.transform(found, lambda x: x["hash"])))
+        distinct(F.transform(found, lambda x: x["hash"])))
 
 
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -168,9 +157,9 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         "doc_id", "n_chars", "stretch", "copy", "text_hash",
         F.sha2("edited", 256).alias("edited_sha256"),
         F.when(F.col("n_chars") < K, short_anchor(F.col("text"))).otherwise(
-            smallest(hashes(F.col("found")))).alias("sketch"),
+            distinct(hashes(F.col("found")))).alias("sketch"),
         F.when(F.length("edited") < K, short_anchor(F.col("edited"))).otherwise(
-            smallest(F.concat(hashes(kept), hashes(F.col("found_tail"))))).alias("edited_sketch"))
+            distinct(F.concat(hashes(kept), hashes(F.col("found_tail"))))).alias("edited_sketch"))
     # Same stretches in the same order: no further exchange or sort.
     rows = rows.withColumn("next_sketch", F.lead("sketch").over(line)).filter("not copy")
     return rows.select(
