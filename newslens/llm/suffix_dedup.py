@@ -1,9 +1,9 @@
 """Removal of repeated passages by bounded interval expansion on a BWT.
 
-A byte goes if it lies in a string of ``LENGTH`` bytes that also starts anywhere
-else.  Bringing equal strings together, then telling which are equal:
+A byte goes if it lies in a string of ``length`` bytes (``LENGTH`` unless asked
+otherwise) that also starts anywhere else.  Bringing equal strings together, then telling which are equal:
 
-1. Every window of ``LENGTH`` bytes has an anchor: of the ``ANCHOR``-byte strings
+1. Every window of ``length`` bytes has an anchor: of the ``ANCHOR``-byte strings
    inside it, the leftmost of the smallest hash.  Equal windows have equal
    anchors at equal places.  Windows that follow each other and share an anchor
    form a run, so there is a run for every hundred bytes or two; only (anchor
@@ -25,7 +25,7 @@ else.  Bringing equal strings together, then telling which are equal:
 
 Hashes are 64 bits wide; contents are compared by (anchor hash, content hash).
 
-Defined results: a null text is empty; texts shorter than ``LENGTH`` keep every
+Defined results: a null text is empty; texts shorter than ``length`` keep every
 byte; rows are judged one by one, so repeated rows repeat each other; a text
 longer than a group is a group of its own; an empty table gives an empty result.
 """
@@ -95,16 +95,17 @@ def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1:width - 1 + n])
 
 
-def anchored_runs(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def anchored_runs(text: bytes, length: int, anchor: int
+                  ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(first window, windows, anchor's place, anchor hash) of the runs of a text."""
     data = np.frombuffer(text, np.uint8)
-    for base in range(0, len(data) - LENGTH + 1, STRETCH):
-        part = data[base:base + STRETCH + LENGTH - 1]
-        hashes = Rolling(part).at(slice(0, len(part) - ANCHOR + 1), ANCHOR)
+    for base in range(0, len(data) - length + 1, STRETCH):
+        part = data[base:base + STRETCH + length - 1]
+        hashes = Rolling(part).at(slice(0, len(part) - anchor + 1), anchor)
         # Hash above, place below: the least is the leftmost of the smallest.
         low = np.uint64((1 << _PLACE_BITS) - 1)
         least = sliding_min((hashes & ~low) | np.arange(len(hashes), dtype=np.uint64),
-                            LENGTH - ANCHOR + 1)
+                            length - anchor + 1)
         first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
         place = (least[first] & low).astype(np.int64)
         yield (base + first, np.diff(np.r_[first, len(least)]), base + place, hashes[place])
@@ -164,8 +165,9 @@ def repeated(symbols: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def repeated_windows(contents: list[bytes], places: list[int]) -> list[np.ndarray]:
-    """Per run of windows, which of them occur again in these runs.
+def repeated_windows(contents: list[bytes], places: list[int],
+                     length: int) -> list[np.ndarray]:
+    """Per run of windows of ``length`` bytes, which of them occur again in these runs.
 
     ``places`` are the anchors' places in the contents.
     """
@@ -187,14 +189,14 @@ def repeated_windows(contents: list[bytes], places: list[int]) -> list[np.ndarra
     symbols[base[owner] + nth] = inverse
     symbols[base + blocks] = len(codes) + np.arange(len(contents))
     # A window of any alignment covers so many whole symbols.
-    flagged = repeated(symbols, (LENGTH - BLOCK + 1) // BLOCK)
+    flagged = repeated(symbols, (length - BLOCK + 1) // BLOCK)
 
-    windows = sizes - LENGTH + 1
+    windows = sizes - length + 1
     owner = np.repeat(np.arange(len(contents)), windows)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
     block = base[owner] + np.maximum(0, -((lead[owner] - nth) // BLOCK))
     likely = np.flatnonzero(flagged[block])
-    hashes = Rolling(data).at(offsets[owner[likely]] + nth[likely], LENGTH)
+    hashes = Rolling(data).at(offsets[owner[likely]] + nth[likely], length)
     _, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
     out = np.zeros(len(owner), bool)
     out[likely] = counts[inverse] > 1
@@ -212,7 +214,8 @@ def stretches(flags: np.ndarray) -> np.ndarray:
 _GROUPS = "g long, docs binary, runs binary, anchor long, content long, run long"
 
 
-def grouped_runs(docs: DataFrame, text: str) -> DataFrame:
+def grouped_runs(docs: DataFrame, text: str, length: int,
+                 anchor_bytes: int) -> DataFrame:
     """Groups (documents and places of their runs) and rows of runs, in one pass."""
     names = [f.split()[0] for f in _GROUPS.split(", ")]
     types = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
@@ -227,9 +230,10 @@ def grouped_runs(docs: DataFrame, text: str) -> DataFrame:
             for d, value in enumerate(rows[text]):
                 data = value.as_py()
                 view = memoryview(data)
-                for first, windows, place, anchor in anchored_runs(data):
+                for first, windows, place, anchor in anchored_runs(
+                        data, length, anchor_bytes):
                     parts.append((np.full(len(first), d), first, windows, place, anchor))
-                    contents.extend(xxh3_64_intdigest(view[a:a + n + LENGTH - 1])
+                    contents.extend(xxh3_64_intdigest(view[a:a + n + length - 1])
                                     for a, n in zip(first.tolist(), windows.tolist()))
             doc, first, windows, place, anchor = (
                 map(np.concatenate, zip(*parts)) if parts else [np.zeros(0, np.int64)] * 5)
@@ -265,7 +269,7 @@ def grouped_runs(docs: DataFrame, text: str) -> DataFrame:
     return docs.mapInArrow(scan, _GROUPS)
 
 
-def _fetch(t: pa.Table) -> pa.Table:
+def _fetch(t: pa.Table, length: int) -> pa.Table:
     """Bytes of the wanted runs of one group; window hashes for those of crowded anchors."""
     wanted = t.filter(pc.is_valid(t["run"])).to_pylist()
     group = t.filter(pc.is_valid(t["docs"]))
@@ -276,13 +280,13 @@ def _fetch(t: pa.Table) -> pa.Table:
         runs = [runs[c].to_numpy() for c in ("doc", "first", "windows", "place")]
         for w in wanted:
             doc, first, windows, place = (int(c[w["run"] & ((1 << _RUN_BITS) - 1)]) for c in runs)
-            data = texts[doc].as_buffer()[first:first + windows + LENGTH - 1].to_pybytes()
+            data = texts[doc].as_buffer()[first:first + windows + length - 1].to_pybytes()
             for k in ("anchor", "content", "n"):
                 out[k].append(w[k])
             out["place"].append(place - first)
             out["bytes"].append(None if w["crowded"] else data)
             out["hashes"].append(Rolling(np.frombuffer(data, np.uint8)).at(
-                slice(0, windows), LENGTH).view(np.int64) if w["crowded"] else None)
+                slice(0, windows), length).view(np.int64) if w["crowded"] else None)
     return pa.table({"anchor": pa.array(out["anchor"], pa.int64()),
                      "content": pa.array(out["content"], pa.int64()),
                      "n": pa.array(out["n"], pa.int64()),
@@ -291,11 +295,11 @@ def _fetch(t: pa.Table) -> pa.Table:
                      "hashes": pa.array(out["hashes"], pa.list_(pa.int64()))})
 
 
-def _compare(t: pa.Table) -> pa.Table:
+def _compare(t: pa.Table, length: int) -> pa.Table:
     """Repeated stretches of the runs of one bucket; null stands for all windows."""
     contents = t["bytes"].to_pylist()
     found = [stretches(f).astype(np.int32)
-             for f in repeated_windows(contents, t["place"].to_pylist())]
+             for f in repeated_windows(contents, t["place"].to_pylist(), length)]
     whole = [n > 1 for n in t["n"].to_pylist()]
     out = pa.table({"anchor": t["anchor"], "content": t["content"],
                     "spans": pa.array([None if w else f for w, f in zip(whole, found)],
@@ -303,7 +307,7 @@ def _compare(t: pa.Table) -> pa.Table:
     return out.filter(pa.array([w or len(f) > 0 for w, f in zip(whole, found)], pa.bool_()))
 
 
-def repeated_spans(rows: DataFrame) -> DataFrame:
+def repeated_spans(rows: DataFrame, length: int) -> DataFrame:
     """(anchor, content, spans): the repeated windows of every run content that has any."""
     runs = rows.filter("run is not null").select("anchor", "content", "run")
     per_content = runs.groupBy("anchor", "content").agg(F.count("*").alias("n"),
@@ -320,13 +324,13 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     groups = rows.filter("docs is not null").select("g", "docs", "runs")
     fetched = materialize(
         wanted.unionByName(groups, allowMissingColumns=True).groupBy("g").applyInArrow(
-            _fetch, "anchor long, content long, n long, place long, bytes binary, "
+            lambda t: _fetch(t, length), "anchor long, content long, n long, place long, bytes binary, "
                     "hashes array<long>"), "repeats-fetched")
     plain = fetched.filter("bytes is not null")
     total = plain.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(1 + total // BUCKET_BYTES))
     compared = plain.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(
-        _compare, "anchor long, content long, spans array<int>")
+        lambda t: _compare(t, length), "anchor long, content long, spans array<int>")
     crowded = fetched.filter("hashes is not null")
     windows = crowded.select("anchor", "content", "n", F.posexplode("hashes").alias("at", "hash"))
     again = windows.groupBy("hash").agg(F.count("*").alias("times")).filter("times > 1")
@@ -340,17 +344,26 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", keep: tuple = ("doc_id",),
-                   with_kept: bool = False) -> DataFrame:
-    """The columns ``keep`` with ``n_bytes, n_removed, n_spans, kept_sha256`` per row.
+                   with_kept: bool = False, length: int | None = None,
+                   anchor_bytes: int | None = None) -> DataFrame:
+    """Strings of ``length`` bytes (``LENGTH``) that also start elsewhere are removed.
+
+    Every window of that length is anchored by a string of ``anchor_bytes`` (``ANCHOR``)
+    inside it; the anchor changes the work, not the result.
+    Returns the columns ``keep`` with ``n_bytes, n_removed, n_spans, kept_sha256`` per row.
 
     ``with_kept`` adds the remaining bytes as the text ``kept``, without characters that
     were cut in two.
     """
+    length = LENGTH if length is None else length
+    anchor_bytes = ANCHOR if anchor_bytes is None else anchor_bytes
+    if not BLOCK <= anchor_bytes <= length:
+        raise ValueError(f"anchor of {anchor_bytes} bytes for windows of {length}")
     # The text comes first and by a name that no kept column has.
     source = docs.select(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8").alias("_text"),
                          *[F.col(c) for c in keep])
-    rows = materialize(grouped_runs(source, "_text"), "repeats-groups")
-    spans = repeated_spans(rows)
+    rows = materialize(grouped_runs(source, "_text", length, anchor_bytes), "repeats-groups")
+    spans = repeated_spans(rows, length)
     runs = rows.filter("run is not null").select("anchor", "content", "run")
     hits = runs.join(spans, ["anchor", "content"]).select(
         F.shiftright("run", _RUN_BITS).alias("g"), "run", "spans")
@@ -381,7 +394,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", keep: tuple = ("doc_id",
             pieces, end, removed, n_spans = [], 0, 0, 0
             flat = by_doc.get(d, ())
             for a, b in sorted(zip(flat[::2], flat[1::2])):
-                b += LENGTH
+                b += length
                 if a > end or not n_spans:
                     pieces.append(data[end:a])
                     n_spans += 1
