@@ -5,7 +5,8 @@ Each stage takes what the one before kept and calls one operator:
 1. language identification: documents without a letter, or whose language is no
    more than a guess, go; a missing label is filled in;
 2. SimHash near-duplicates: the document of the smallest id of each group stays;
-3. suffix-array dedup: repeated passages are cut out of the texts;
+3. suffix-array dedup: repeated passages (strings of ``REPEAT_BYTES``) are cut out of
+   the texts;
 4. source mixing: the words of each source are taken up to its target, as pieces
    of documents under their document's id;
 5. harmonic packing: every piece becomes tokens of fixed-length sequences.
@@ -24,6 +25,11 @@ from newslens.llm.common import materialize, table
 
 #: A prediction below this is no better than a guess among a few languages.
 MIN_LANGUAGE_SCORE = 0.3
+#: 51 repeated words take 245 bytes at least in the given tables (median 317), so
+#: passages of over 50 words lie in repeated strings of this many bytes.
+REPEAT_BYTES = 240
+#: Shorter than the operator's own anchor, as its windows are.
+REPEAT_ANCHOR = 40
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +47,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Under names of their own, so that no column of the input can clash.
     inner = docs.select(*[F.col(c).alias(f"in_{c}") for c in docs.columns])
     keep = tuple(c for c in inner.columns if c not in ("in_text", "in_n_chars"))
-    cut = suffix_dedup.remove_repeats(inner, "in_text", keep, with_kept=True)
+    cut = suffix_dedup.remove_repeats(inner, "in_text", keep, with_kept=True,
+                                      length=REPEAT_BYTES, anchor_bytes=REPEAT_ANCHOR)
     return cut.select(*[
         F.col("kept").alias(c) if c == "text"
         else F.length("kept").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
