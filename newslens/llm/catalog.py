@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.llm import (ctw, html_extract, langid, mixing, packing, simhash, suffix_dedup,
-                          syncmers, topk, warc)
+from newslens.llm import (ctw, fill_middle, html_extract, langid, lexical_rank, line_rules,
+                          mixing, oracle, packing, simhash, suffix_dedup, syncmers, topk,
+                          warc)
 from newslens.llm.common import fold, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -62,10 +63,30 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_line_first_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.clean(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "n_lines", "n_removed_lines", "removed_chars")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.transform(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restore(F.col("output"), F.col("form")), 256).alias(
+            "restored_sha256"))
+
+
+def op13_lexical_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_rank.rank(table(spark, sf_dir, "documents"),
+                             table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_html_main_text, op2_harmonic_packing, op3_closed_syncmers, op4_source_mixing,
     op5_exact_top_k, op6_context_tree_weighting, op7_warc_archive, op8_suffix_array_dedup,
-    op9_simhash_near_dedup, op10_language_id)}
+    op9_simhash_near_dedup, op10_language_id, op11_line_first_rules, op12_fill_in_middle,
+    op13_lexical_rank)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_top_k": """
@@ -95,4 +116,7 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
          AS record_type,
        CASE WHEN first_id <> page_id THEN first_id END AS refers_to
 FROM m""",
+    "op11_line_first_rules": oracle.OP11_LINE_FIRST_RULES,
+    "op12_fill_in_middle": oracle.OP12_FILL_IN_MIDDLE,
+    "op13_lexical_rank": oracle.OP13_LEXICAL_RANK,
 }
