@@ -40,7 +40,7 @@ MAX_REPEAT = 30
 MAX_LOSS = 0.3
 WINDOW = 8
 #: Largest share of symbols among a line's characters.
-MAX_SYMBOLS = 0.03
+MAX_SYMBOLS = 0.06
 #: The terminal mark lies among so many last characters.
 LINE_END = 16
 #: A separator that stands alone for every so many characters makes navigation.

@@ -25,7 +25,7 @@ judged AS (
   SELECT r, n_word_chars,
     NOT regexp_matches(right(line, 16),
       '[.!?\x{2026}\x{3002}\x{FF01}\x{FF1F}\x{061F}\x{0964}]["'')\]\x{00BB}\x{2019}\x{201D}]*[\x20\x09-\x0D]*\z')
-    OR len(regexp_extract_all(line, '[#*$%&|<>]')) > CAST(0.03 AS DOUBLE) * n
+    OR len(regexp_extract_all(line, '[#*$%&|<>]')) > CAST(0.06 AS DOUBLE) * n
     OR (n <= 30 AND regexp_matches(low,
       '^[\x20\x09-\x0D]*(home|menu|login|log in|sign in|sign up|register|search|next|previous|back to top|contact us|about us|sitemap|share this|skip to content)([^a-z]|\z)'))
     OR regexp_matches(low,
