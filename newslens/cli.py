@@ -1,7 +1,7 @@
 """Command line: ingest windows, run the stream, run a query, compact tables.
 
     python -m newslens ingest --landing DIR --manifest FILE [--manifest FILE] \\
-        --start 2024-01-05 --end 2024-01-07 --tables DIR [--one-job]
+        --start 2024-01-05 --end 2024-01-07 --tables DIR [--one-job] [--history-join]
     python -m newslens stream --landing DIR --tables DIR --checkpoint DIR [--continuous]
         [--complete-windows]
     python -m newslens query themes_by_source --tables DIR --source msn.com \\
@@ -54,7 +54,8 @@ def cmd_ingest(spark: SparkSession, a: argparse.Namespace) -> int:
     if a.one_job:
         lo = dt.datetime.combine(start, dt.time(0, 0))
         hi = dt.datetime.combine(end, dt.time(23, 59, 59))
-        print(ingest.ingest_range(spark, a.landing, a.manifest, lo, hi, em, art, a.quote))
+        print(ingest.ingest_range(spark, a.landing, a.manifest, lo, hi, em, art, a.quote,
+                                  history_join=a.history_join))
         return 0
     failed = 0
     day = start
@@ -63,7 +64,8 @@ def cmd_ingest(spark: SparkSession, a: argparse.Namespace) -> int:
             ws = dt.datetime.combine(day, dt.time()) + dt.timedelta(seconds=s)
             we = dt.datetime.combine(day, dt.time()) + dt.timedelta(seconds=e)
             try:
-                n = ingest.process_window(spark, a.landing, a.manifest, ws, we, em, art, a.quote)
+                n = ingest.process_window(spark, a.landing, a.manifest, ws, we, em, art, a.quote,
+                                          a.history_join)
                 print(f"{ws} .. {we}: {n}")
             except Exception as exc:  # one bad window does not stop the walk
                 failed += 1
@@ -132,6 +134,8 @@ def main(argv: list[str] | None = None) -> int:
     pi.add_argument("--end", required=True)
     pi.add_argument("--tables", required=True)
     pi.add_argument("--one-job", action="store_true")
+    pi.add_argument("--history-join", action="store_true",
+                    help="late mentions count for events that earlier windows stored")
     pi.add_argument("--quote", default='"')
     ps = sub.add_parser("stream")
     ps.add_argument("--landing", required=True)

@@ -92,6 +92,16 @@ def _clean_events(export: DataFrame, extra: list[str]) -> DataFrame:
     return rows.dropna(how="any", subset=EVENT_REQUIRED)
 
 
+def _mentions(mentions: DataFrame, extra: list[str]) -> DataFrame:
+    """Mention-side columns of the ranking."""
+    return mentions.select(
+        *extra, F.col("GlobalEventID").alias("global_event_id"),
+        F.col("MentionTimeDate").alias("mention_time_date"),
+        F.col("MentionIdentifier").alias("mention_identifier"),
+        F.nullif(X.source_language("MentionDocTranslationInfo"), F.lit("")).alias(
+            "source_language"))
+
+
 def latest_event_mentions(export: DataFrame, mentions: DataFrame,
                           with_order_columns: bool = False, batch_col: str | None = None,
                           keep_batch: bool = False) -> DataFrame:
@@ -113,13 +123,8 @@ def latest_event_mentions(export: DataFrame, mentions: DataFrame,
     batch sequence as a last column.
     """
     batch = [batch_col] if batch_col else []
-    m = mentions.select(
-        *batch, F.col("GlobalEventID").alias("global_event_id"),
-        F.col("MentionTimeDate").alias("mention_time_date"),
-        F.col("MentionIdentifier").alias("mention_identifier"),
-        F.nullif(X.source_language("MentionDocTranslationInfo"), F.lit("")).alias(
-            "source_language"))
-    best_mention = latest_per_key(m, batch + ["global_event_id"], EVENT_MENTIONS_ORDER)
+    best_mention = latest_per_key(_mentions(mentions, batch), batch + ["global_event_id"],
+                                  EVENT_MENTIONS_ORDER)
     best_event = latest_per_key(_clean_events(export, batch), batch + ["global_event_id"],
                                 [(c, "asc") for c in EVENT_PAYLOAD])
     joined = best_event.join(best_mention, on=batch + ["global_event_id"], how="inner")
@@ -130,6 +135,40 @@ def latest_event_mentions(export: DataFrame, mentions: DataFrame,
     return latest_per_key(joined, "global_event_id", order, cols + [batch_col] * keep_batch)
 
 
+def late_mentions(export: DataFrame, mentions: DataFrame, batch_col: str) -> DataFrame:
+    """``global_event_id, batch_col, source_language`` of the latest mention of every event
+    whose last window with a mention did not export it.
+
+    ``batch_col`` orders the windows; the mention is the one that the upsert would take
+    in that window.  Both sides are reduced to a row per event and window first.
+    """
+    key = ["global_event_id"]
+    best = latest_per_key(_mentions(mentions, [batch_col]), key + [batch_col],
+                          EVENT_MENTIONS_ORDER)
+    last = latest_per_key(best, "global_event_id", [(batch_col, "desc")])
+    exported = _clean_events(export, [batch_col]).select(batch_col, *key).distinct()
+    return last.join(exported, key + [batch_col], "left_anti").select(
+        *key, batch_col, "source_language")
+
+
+def with_history(rows: DataFrame, late: DataFrame, stored: DataFrame,
+                 batch_col: str) -> DataFrame:
+    """The windows' rows, brought up to date by late mentions.
+
+    A late mention takes the event from this input's rows or, if it has none, from the
+    ``stored`` rows of earlier windows, and its own language and window.  Each event has
+    one row at most in ``rows``, ``late`` and ``stored``, so every mention counts once.
+    """
+    key = "global_event_id"
+    own = [c for c in EVENT_MENTIONS_COLUMNS if c not in (key, "source_language")]
+    known = rows.select(key, *own, F.lit(0).alias("_from")).unionByName(
+        stored.select(key, *own, F.lit(1).alias("_from")))
+    event = latest_per_key(known, key, [("_from", "asc")], [key, *own])
+    found = late.join(event, key).select(*EVENT_MENTIONS_COLUMNS, batch_col)
+    return rows.join(found.select(key), key, "left_anti").select(
+        *EVENT_MENTIONS_COLUMNS, batch_col).unionByName(found)
+
+
 def articles(gkg: DataFrame, batch_col: str | None = None) -> DataFrame:
     """Cleaned article rows of one batch (serving columns, before the upsert)."""
     parts = X.article_date_parts("DATE")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from newslens.plans import queries as Q
 from newslens.schemas import EXPORT_SCHEMA, GKG_SCHEMA, MENTIONS_SCHEMA
 from newslens.plans import ingest
 from newslens.sources import archives, manifest, serving
-from newslens.sources.fixtures import (LINE_FIXTURES, TWO_WINDOW_SPLITS, TWO_WINDOW_STARTS,
+from newslens.sources.fixtures import (HISTORY_SPLITS, LINE_FIXTURES, TWO_WINDOW_SPLITS, TWO_WINDOW_STARTS,
                                        fixture, window_lines, write_archives)
 from newslens.sources.lines import parse_lines
 from newslens.session import scratch_path
@@ -219,6 +219,21 @@ def _two_window(table: str, order: tuple = (1, 2), later_export: str = "raw_expo
     return run
 
 
+def _history_join(runs: tuple) -> QueryFn:
+    """W3 with late mentions: each run ingests some of the three windows in one job."""
+    def run(spark, sf_dir):
+        path = scratch_path(spark, "history-join")
+        for windows in runs:
+            export, mentions = (reduce(DataFrame.unionByName, [
+                fixture(spark, sf_dir, raw).filter(F.expr(HISTORY_SPLITS[b][raw])).withColumn(
+                    serving.BATCH_SEQ, F.lit(b).cast("long")) for b in windows])
+                for raw in ("raw_export", "raw_mentions"))
+            rows = ingest.latest_with_history(export, mentions, path)
+            serving.upsert_serving(spark, rows, path, "event_mentions")
+        return serving.read_serving(spark, path, "event_mentions")
+    return run
+
+
 def _land(spark, sf_dir, landing: str, window: int, feeds=tuple(LINE_FIXTURES)) -> None:
     for feed in feeds:
         write_archives(window_lines(spark, sf_dir, feed, window), landing,
@@ -421,6 +436,9 @@ def _registry() -> dict[str, tuple[QueryFn, str | None]]:
         oracle.two_window_event_mentions(TWO_WINDOW_SPLITS))
     reg["upsert_replay_older_window_articles"] = (
         _two_window("articles", order=(2, 1)), oracle.two_window_articles(TWO_WINDOW_SPLITS))
+    history = oracle.history_join(HISTORY_SPLITS)
+    reg["history_join"] = (_history_join(((1,), (2,), (3,), (3,))), history)
+    reg["history_join_one_job"] = (_history_join(((1,), (2, 3))), history)
     reg["process_window"] = (_process_window_files("event_mentions"),
                              oracle.two_window_event_mentions(TWO_WINDOW_SPLITS))
     reg["process_window_articles"] = (_process_window_files("articles"),

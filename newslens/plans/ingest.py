@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from newslens.functions.fields import bind
 from newslens.operators import prepare
 from newslens.schemas import FEED_SCHEMAS
+from newslens.session import scratch_path
 from newslens.sources import archives, lines, manifest, serving
 
 # --- Fixed values: the two half-day windows (seconds after midnight) ----------
@@ -149,20 +150,41 @@ def parse_feed(tagged: DataFrame, feed: str, quote: str = lines.DEFAULT_QUOTE) -
 
 
 def process_windows(export_lines: DataFrame, mentions_lines: DataFrame, gkg_lines: DataFrame,
-                    quote: str = lines.DEFAULT_QUOTE) -> tuple[DataFrame, DataFrame]:
+                    quote: str = lines.DEFAULT_QUOTE,
+                    history: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(event_mentions, articles) rows, one per key, for all windows in the input.
 
     Inputs are tagged line DataFrames (``feed_lines``) of each feed.  Rows carry
-    the ``batch_seq`` of their window.
+    the ``batch_seq`` of their window.  ``history`` names the stored event_mentions
+    table that late mentions are joined with.
     """
     export = parse_feed(export_lines, "export", quote)
     mentions = parse_feed(mentions_lines, "mentions", quote)
     gkg = parse_feed(gkg_lines, "gkg", quote)
-    em = prepare.latest_event_mentions(export, mentions, batch_col="batch_seq", keep_batch=True)
+    em = latest_with_history(export, mentions, history) if history else \
+        prepare.latest_event_mentions(export, mentions, batch_col="batch_seq", keep_batch=True)
     art = prepare.latest_articles(gkg, batch_col="batch_seq", keep_batch=True)
     return em, art
 
 
+def latest_with_history(export: DataFrame, mentions: DataFrame, path: str) -> DataFrame:
+    """``latest_event_mentions`` of windows in order, late mentions included.
+
+    A mention whose event is not in its window's export counts for the event as it is
+    known from an earlier window, of this input or of the table at ``path`` (read
+    through its key index).  An event no window has stored so far stays unknown.
+    """
+    spark = export.sparkSession
+    rows = prepare.latest_event_mentions(export, mentions, batch_col="batch_seq",
+                                         keep_batch=True)
+    late_path = scratch_path(spark, "late-mentions")
+    late = prepare.late_mentions(export, mentions, "batch_seq")
+    late.write.parquet(late_path)
+    late = spark.read.schema(late.schema).parquet(late_path)
+    stored = serving.rows_of_keys(spark, late, path, "event_mentions")
+    return prepare.with_history(rows, late, stored, "batch_seq")
+
+
 def name_glob(mask: str, days: Sequence[dt.date] | None = None) -> str:
     """File-name pattern of one feed, narrowed to the days (or their months, or years).
 
@@ -182,13 +204,15 @@ def ingest_landing(spark: SparkSession, landing_dir: str, event_mentions_path: s
                    articles_path: str, quote: str = lines.DEFAULT_QUOTE,
                    batch: tuple[dt.datetime, dt.datetime] | None = None,
                    names: DataFrame | None = None, windows: Sequence[int] | None = None,
-                   days: Sequence[dt.date] | None = None) -> dict[str, int]:
+                   days: Sequence[dt.date] | None = None,
+                   history_join: bool = False) -> dict[str, int]:
     """Read each feed's landed archives once (one task per archive) and upsert.
 
     Files are grouped into half-day windows by name (many windows, one job), or,
     with ``batch=(start, end)``, all treated as that one batch.  ``names`` (column
     ``file_name``) keeps listed files, ``windows`` those of these windows'
-    ``batch_seq``; no list of files ever comes to the driver.
+    ``batch_seq``; no list of files ever comes to the driver.  With ``history_join``
+    mentions of events that earlier windows stored count too (windows in order).
     """
     tagged = {}
     name = F.substring_index("path", "/", -1)
@@ -203,7 +227,8 @@ def ingest_landing(spark: SparkSession, landing_dir: str, event_mentions_path: s
             listed = names.select(F.col("file_name").alias("_name")).distinct()
             files = files.join(listed, name == F.col("_name"), "left_semi")
         tagged[feed] = feed_lines(archives.member_blocks(files), batch)
-    em, art = process_windows(tagged["export"], tagged["mentions"], tagged["gkg"], quote)
+    em, art = process_windows(tagged["export"], tagged["mentions"], tagged["gkg"], quote,
+                              event_mentions_path if history_join else None)
     return {
         "event_mentions": serving.upsert_serving(spark, em, event_mentions_path,
                                                  "event_mentions"),
@@ -214,7 +239,7 @@ def ingest_landing(spark: SparkSession, landing_dir: str, event_mentions_path: s
 def ingest_range(spark: SparkSession, landing_dir: str, manifest_paths: Sequence[str] | str,
                  start: dt.datetime, end: dt.datetime, event_mentions_path: str,
                  articles_path: str, quote: str = lines.DEFAULT_QUOTE,
-                 one_batch: bool = False) -> dict[str, int]:
+                 one_batch: bool = False, history_join: bool = False) -> dict[str, int]:
     """Ingest the manifest's files of ``[start, end]`` in one job, window by window.
 
     With ``one_batch`` the whole range is one window.
@@ -223,16 +248,18 @@ def ingest_range(spark: SparkSession, landing_dir: str, manifest_paths: Sequence
     names = manifest.selected_files(entries, start, end).select("file_name")
     days = [start.date() + dt.timedelta(days=i) for i in range((end - start).days + 2)]
     return ingest_landing(spark, landing_dir, event_mentions_path, articles_path, quote,
-                          batch=(start, end) if one_batch else None, names=names, days=days)
+                          batch=(start, end) if one_batch else None, names=names, days=days,
+                          history_join=history_join)
 
 
 def process_window(spark: SparkSession, landing_dir: str, manifest_paths: Sequence[str] | str,
                    start: dt.datetime, end: dt.datetime, event_mentions_path: str,
-                   articles_path: str, quote: str = lines.DEFAULT_QUOTE) -> dict[str, int]:
+                   articles_path: str, quote: str = lines.DEFAULT_QUOTE,
+                   history_join: bool = False) -> dict[str, int]:
     """W3: ingest the files of ``[start, end]`` as one batch and upsert both tables.
 
     Rerunning a window, at any time, gives the same table: its rows carry the
     window's sequence, and rows of later windows stay.
     """
     return ingest_range(spark, landing_dir, manifest_paths, start, end, event_mentions_path,
-                        articles_path, quote, one_batch=True)
+                        articles_path, quote, one_batch=True, history_join=history_join)

@@ -396,6 +396,32 @@ def two_window_event_mentions(splits: dict[int, dict[str, str]],
     return _with(*ctes) + _merge_sql(list(splits))
 
 
+def history_join(splits: dict[int, dict[str, str]]) -> str:
+    """Events as of the last window that had them with a mention, language of the last mention."""
+    ctes = [fixture_cte(["raw_export", "raw_mentions"])]
+    for b, pred in splits.items():
+        ctes.append(f"e{b} AS (SELECT * FROM raw_export WHERE {pred['raw_export']})")
+        ctes.append(f"m{b} AS (SELECT * FROM raw_mentions WHERE {pred['raw_mentions']})")
+        ctes.append(EVENT_MENTIONS_CTE.format(name=f"em{b}", export=f"e{b}", mentions=f"m{b}"))
+        ctes.append(UPSERT_EVENT_MENTIONS_CTE.format(name=f"u{b}", source=f"em{b}"))
+    union = "\n  UNION ALL ".join
+    ctes.append("known AS (SELECT *, row_number() OVER (PARTITION BY global_event_id "
+                "ORDER BY w DESC) AS rn FROM (\n  "
+                + union(f"SELECT {b} AS w, * FROM u{b}" for b in splits) + ") k)")
+    ctes.append("""
+mentioned AS (SELECT *, row_number() OVER (PARTITION BY GlobalEventID ORDER BY w DESC,
+    MentionTimeDate DESC NULLS LAST, MentionIdentifier ASC NULLS LAST,
+    language ASC NULLS LAST) AS rn
+  FROM (SELECT *, CASE WHEN substr(MentionDocTranslationInfo, 7, 3) <> ''
+                       THEN substr(MentionDocTranslationInfo, 7, 3) ELSE 'eng' END AS language
+        FROM (""" + union(f"SELECT {b} AS w, * FROM m{b}" for b in splits) + ") a) m)")
+    return _with(*ctes) + """
+SELECT global_event_id, event_year, event_month, event_day, language AS source_language,
+       event_country, event_country_full_name, num_mentions
+FROM known JOIN mentioned ON global_event_id = GlobalEventID
+WHERE known.rn = 1 AND mentioned.rn = 1"""
+
+
 def two_window_articles(splits: dict[int, dict[str, str]]) -> str:
     ctes = [fixture_cte(["raw_gkg"])]
     for b, pred in splits.items():

@@ -182,6 +182,14 @@ TWO_WINDOW_SPLITS: dict[int, dict[str, str]] = {
 # Window starts used when the two windows are written as landing archives.
 TWO_WINDOW_STARTS = {1: "1995-12-31 00:00:00", 2: "1995-12-31 12:00:00"}
 
+# Three windows without overlap: mentions of the turn of a year come a window late.
+HISTORY_SPLITS: dict[int, dict[str, str]] = {
+    1: {"raw_export": "Day < 19960101", "raw_mentions": "MentionTimeDate < 19960101000000"},
+    2: {"raw_export": "Day >= 19960101 AND Day < 19980101",
+        "raw_mentions": "MentionTimeDate >= 19960101000000 AND MentionTimeDate < 19980101000000"},
+    3: {"raw_export": "Day >= 19980101", "raw_mentions": "MentionTimeDate >= 19980101000000"},
+}
+
 LINE_FIXTURES = {"export": ("raw_export", "raw_export_lines", "export.CSV.zip"),
                  "mentions": ("raw_mentions", "raw_mentions_lines", "mentions.CSV.zip"),
                  "gkg": ("raw_gkg", "raw_gkg_lines", "gkg.csv.zip")}

@@ -6,23 +6,31 @@ by day (``event_year`` / ``event_month`` [/ ``event_day``], set when a table is
 first written; take days once a month is more than one wants to rewrite):
 
 * queries filtered on a day, month or year prune whole partitions;
-* an upsert rewrites only the partitions that hold a row it replaces;
+* an upsert rewrites only the files that hold a row it replaces;
 * rows are sorted by the main filter column inside each file so Parquet
   min/max statistics skip row groups for ``event_country`` /
   ``internet_source`` filters.
 
 Every stored row carries ``batch_seq``, the sequence of the batch it came from.
 The row of the greater sequence stays whatever order batches are applied in, and
-a batch that is applied again changes nothing.  A key's old row is looked for in
-the whole table (key column alone), because a corrected event date moves it to
-another partition.
-
-Writes are staged in a folder of fixed name beside the table.  The new content
-of replaced partitions and the files to add are written there once; a marker file then
-commits the batch, and directories and files are renamed into the table.  The
-next write of a table first finishes what a committed staging folder still holds
-and throws away one without a marker, so a crash at any point loses nothing.
-One writer per table at a time.
+a batch that is applied again changes nothing.
+
+A key's old row may be in any partition, because a corrected event date moves it.
+It is found through a key index beside the table (``<table>__keys``): key, batch
+sequence and data file, in one folder per range of keys.  Both feeds number their
+records in order of time, so a batch's keys lie in few ranges, and a lookup reads
+these folders and then only the data files that hold one of the keys.  Entries are
+added before a batch is committed and never changed; those whose data file has gone
+are passed over, and ``compact_serving`` leaves them out.  A table without an index
+gets one from a scan of its key column.
+
+Writes are staged in a folder of fixed name beside the table: what stays of the
+rewritten files together with new rows beside them, and files to add.  A marker file
+then commits the batch with the names of the files it replaces; the staged files are
+renamed into the table and the replaced ones deleted.  The next write of a table first
+finishes what a committed staging folder still holds and throws away one without a
+marker, so a crash at any point loses nothing.  One writer per table at a time; a
+reader that lists the table during the renames may see both rows of a replaced key.
 """
 
 from __future__ import annotations
@@ -32,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newslens.schemas import ARTICLES_SCHEMA, EVENT_MENTIONS_SCHEMA
+from newslens.session import scratch_path
 
 PARTITIONS = {"month": ["event_year", "event_month"],
               "day": ["event_year", "event_month", "event_day"]}
@@ -39,6 +48,12 @@ BATCH_SEQ = "batch_seq"
 # Parquet codec of the serving tables: zstd reads about as fast as snappy and
 # stores (and scans) noticeably fewer bytes, which dominates at 100 TB.
 COMPRESSION = "zstd"
+# Key ranges of the index: so many low bits of a number, so many first digits of a text.
+KEY_BITS, KEY_DIGITS = 16, 8
+# Folders for keys of neither form, by hash.
+OTHER_BINS = 64
+# A batch with keys of more ranges than this reads the whole index.
+MAX_BINS = 10_000
 
 SERVING = {
     "event_mentions": (EVENT_MENTIONS_SCHEMA, "global_event_id", "event_country"),
@@ -98,6 +113,8 @@ def write_serving(df: DataFrame, path: str, table: str, mode: str = "overwrite",
                   by: str | list[str] = "month") -> None:
     _, _, sort_col = SERVING[table]
     columns = PARTITIONS[by] if isinstance(by, str) else by
+    # What is written here is not in the index of an earlier table of that name.
+    _delete(df.sparkSession, keys_path(path))
     # REBALANCE (not repartition): AQE splits a hot partition over several writer
     # tasks and merges tiny ones, so one partition with a third of the rows does
     # not end up in one task.
@@ -156,44 +173,46 @@ class Staging:
                 out.append(rel)
         return sorted(out)
 
-    def commit(self, touched: list[str]) -> None:
-        """Write the marker: the partitions whose content is replaced, or only taken away."""
-        staged = {f.rsplit("/", 1)[0] for f in self._files("replace")}
-        lines = [f"{'replace' if d in staged else 'remove'} {d}" for d in touched]
+    def commit(self, replaced: list[str]) -> None:
+        """Write the marker: the table's files that the staged ones take the place of."""
         out = self.fs.create(self._path(self.sub("_marker")), True)
         try:
-            out.write(bytearray("\n".join(lines), "utf-8"))
+            out.write(bytearray("\n".join(replaced), "utf-8"))
         finally:
             out.close()
         # The rename makes the marker appear whole or not at all.
         self._rename(self._path(self.sub("_marker")), self._path(self.sub("_COMMITTED")))
 
-    def _committed(self) -> list[list[str]]:
+    def _committed(self) -> list[str]:
         stream = self.fs.open(self._path(self.sub("_COMMITTED")))
         try:
             text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(
                 stream, "UTF-8")
         finally:
             stream.close()
-        return [line.split(" ", 1) for line in text.split("\n") if line]
+        return [line for line in text.split("\n") if line]
 
     def apply(self) -> None:
-        """Rename committed content into the table; may be run again at any point."""
-        for what, place in self._committed():
-            source = self._path(f"{self.sub('replace')}/{place}")
-            target = self._path(f"{self.table}/{place}")
-            if what == "remove":
-                self.fs.delete(target, True)
-            elif self.fs.exists(source):  # else an earlier run has moved it
-                self.fs.delete(target, True)
+        """Move committed files into the table; may be run again at any point."""
+        replaced = self._committed()
+        for name in ("replace", "add"):
+            for rel in self._files(name):
+                target = self._path(f"{self.table}/{rel}")
                 self.fs.mkdirs(target.getParent())
-                self._rename(source, target)
-        for rel in self._files("add"):
-            target = self._path(f"{self.table}/{rel}")
-            self.fs.mkdirs(target.getParent())
-            self._rename(self._path(f"{self.sub('add')}/{rel}"), target)
+                self._rename(self._path(f"{self.sub(name)}/{rel}"), target)
+        for rel in replaced:
+            self.fs.delete(self._path(f"{self.table}/{rel}"), False)
         self.drop()
 
+    def gone(self, files: list[str]) -> list[str]:
+        """Which of the table's files do not exist (any more)."""
+        there: set[str] = set()
+        for folder in {f.rsplit("/", 1)[0] for f in files}:
+            top = self._path(f"{self.table}/{folder}")
+            if self.fs.exists(top):
+                there |= {f"{folder}/{x.getPath().getName()}" for x in self.fs.listStatus(top)}
+        return sorted(set(files) - there)
+
     def _rename(self, source, target) -> None:
         if not self.fs.rename(source, target):
             raise OSError(f"cannot rename {source.toString()} to {target.toString()}")
@@ -206,10 +225,6 @@ class Staging:
             self.drop()
 
 
-def _directory(row, columns: list[str]) -> str:
-    return "/".join(f"{c}={row[c]}" for c in columns)
-
-
 def _partition_predicate(rows, columns: list[str]) -> Column:
     """``(year = y AND ((month = m AND day IN (...)) OR ...)) OR ...``, for pruning."""
     first, *rest = columns
@@ -224,13 +239,114 @@ def _partition_predicate(rows, columns: list[str]) -> Column:
     return cond
 
 
+# --- key index ----------------------------------------------------------------
+def keys_path(path: str) -> str:
+    return f"{path.rstrip('/')}__keys"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def key_bin(key: Column, data_type: T.DataType) -> Column:
+    """The range that a key lies in, as a folder's name."""
+    if isinstance(data_type, T.LongType):
+        return F.shiftright(key, KEY_BITS).cast("string")
+    other = F.concat(F.lit("other-"), F.pmod(F.xxhash64(key), F.lit(OTHER_BINS)).cast("string"))
+    return F.when(key.rlike(f"^[0-9]{{{KEY_DIGITS}}}"), F.substring(key, 1, KEY_DIGITS)).otherwise(
+        other)
+
+
+def _index_schema(table: str) -> T.StructType:
+    key = SERVING[table][1]
+    return T.StructType([T.StructField(key, SERVING[table][0][key].dataType),
+                         T.StructField(BATCH_SEQ, T.LongType()),
+                         T.StructField("file", T.StringType()),
+                         T.StructField("bin", T.StringType())])
+
+
+def _index_rows(spark: SparkSession, folder: str, table: str, columns: list[str],
+                to: str, mode: str) -> None:
+    """Write an entry for every row of the data files below ``folder`` (key column alone)."""
+    key = SERVING[table][1]
+    rows = spark.read.schema(stored_schema(table)).parquet(folder)
+    place = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string"))
+                               for c in columns], F.col("_metadata.file_name"))
+    (rows.select(key, BATCH_SEQ, place.alias("file"),
+                 key_bin(F.col(key), rows.schema[key].dataType).alias("bin"))
+     .hint("rebalance", "bin").sortWithinPartitions("bin", key)
+     .write.mode(mode).option("compression", COMPRESSION).partitionBy("bin").parquet(to))
+
+
+def build_keys(spark: SparkSession, path: str, table: str) -> None:
+    """The index of a whole table, in place of the one it has."""
+    fresh, keys = f"{keys_path(path)}_new", keys_path(path)
+    _index_rows(spark, path, table, partitions_of(spark, path), fresh, "overwrite")
+    _delete(spark, keys)
+    # Between the two the table has no index, so the next write builds one.
+    staging = Staging(spark, path)
+    staging._rename(staging._path(fresh), staging._path(keys))
+
+
+def places_of(spark: SparkSession, keys: DataFrame, path: str, table: str) -> DataFrame:
+    """``key, batch_seq, file`` of the index entries of some keys (a frame of the key column).
+
+    Reads the index folders of the keys' ranges.  Files that have gone since are not
+    told apart here.
+    """
+    key = SERVING[table][1]
+    if not Staging(spark, path).exists(keys_path(path)):
+        build_keys(spark, path, table)
+    schema = _index_schema(table)
+    index = spark.read.schema(schema).parquet(keys_path(path))
+    bins = (keys.select(key_bin(F.col(key), schema[key].dataType).alias("bin")).distinct()
+            .limit(MAX_BINS + 1).collect())
+    if len(bins) <= MAX_BINS:
+        index = index.filter(F.col("bin").isin([r.bin for r in bins]))
+    return index.drop("bin").join(keys.select(key).distinct(), key)
+
+
+def _live_places(spark: SparkSession, keys: DataFrame, path: str, table: str,
+                 staged: str) -> DataFrame:
+    """``places_of`` without files that have gone, written once to the folder ``staged``."""
+    staging = Staging(spark, path)
+    found = places_of(spark, keys, path, table)
+    found.write.mode("overwrite").parquet(staged)
+    found = spark.read.schema(found.schema).parquet(staged)
+    gone = staging.gone([r.file for r in found.select("file").distinct().collect()])
+    return found.filter(~F.col("file").isin(gone)) if gone else found
+
+
+def read_files(spark: SparkSession, path: str, table: str, files: list[str]) -> DataFrame:
+    """Some data files of the table, named as in its index."""
+    schema = stored_schema(table)
+    if not files:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("basePath", path).parquet(
+        *[f"{path.rstrip('/')}/{f}" for f in files])
+    return conform(rows, schema)
+
+
+def rows_of_keys(spark: SparkSession, keys: DataFrame, path: str, table: str) -> DataFrame:
+    """The stored rows of some keys, read from the files that hold one of them."""
+    key = SERVING[table][1]
+    staging = Staging(spark, path)
+    if not staging.exists(path):
+        return spark.createDataFrame([], stored_schema(table))
+    found = _live_places(spark, keys, path, table, scratch_path(spark, "lookup"))
+    files = sorted(r.file for r in found.select("file").distinct().collect())
+    return read_files(spark, path, table, files).join(found.select(key), key, "left_semi")
+
+
+# --- writes -------------------------------------------------------------------
 def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str,
                    by: str = "month") -> int:
     """Apply one batch (one row per key) to the keyed table at ``path``; returns batch rows.
 
-    * Old rows are found by a join on the key column over the whole table.
-    * Partitions that hold a replaced row are rewritten without it; batch rows that
-      fall in others are added as files of their own (the common case).
+    * Old rows are found through the key index.
+    * Files that hold a replaced row are rewritten without it; batch rows that fall in
+      other partitions are added as files of their own (the common case).
     * Batch rows whose key is stored with a greater ``batch_seq`` are left out.
 
     ``by`` (month or day) is how a new table is partitioned.
@@ -248,55 +364,68 @@ def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str,
         write_serving(batch, staging.sub("add"), table, by=columns)
         if not n:
             write_serving(batch, path, table, by=columns)
+        _index_rows(spark, staging.sub("add"), table, columns, keys_path(path), "overwrite")
         staging.commit([])
         staging.apply()
         return n
     if not n:
         staging.drop()
         return 0
-    stored = read_stored(spark, path, table)
-    old = (stored.select(key, BATCH_SEQ, *columns)
-           .join(batch.select(key, F.col(BATCH_SEQ).alias("new_seq")), on=key))
-    old.write.mode("overwrite").parquet(staging.sub("old"))
-    old = spark.read.schema(old.schema).parquet(staging.sub("old"))
+    places = _live_places(spark, batch.select(key), path, table, staging.sub("old"))
+    old = places.join(batch.select(key, F.col(BATCH_SEQ).alias("new_seq")), on=key)
     stays = F.col(BATCH_SEQ) > F.col("new_seq")
     batch = batch.join(old.filter(stays).select(key), on=key, how="left_anti")
-    # Calendar days at most: a few hundred a year, however many rows there are.
-    touched = old.filter(~stays).select(*columns).distinct().collect()
+    # Names of files at most, however many rows there are.
+    touched = sorted(r.file for r in old.filter(~stays).select("file").distinct().collect())
     added = batch
     if touched:
-        replaced = _partition_predicate(touched, columns)
-        rest = stored.filter(replaced).join(old.filter(~stays).select(key), on=key,
-                                            how="left_anti")
+        stored = read_files(spark, path, table, touched)
+        rest = stored.join(old.filter(~stays).select(key), on=key, how="left_anti")
+        replaced = _partition_predicate(_partitions(touched, columns), columns)
         write_serving(rest.unionByName(batch.filter(replaced).select(*rest.columns)),
                       staging.sub("replace"), table, by=columns)
+        _index_rows(spark, staging.sub("replace"), table, columns, keys_path(path), "append")
         added = batch.filter(~replaced)
     write_serving(added, staging.sub("add"), table, by=columns)
-    staging.commit(sorted(_directory(r, columns) for r in touched))
+    _index_rows(spark, staging.sub("add"), table, columns, keys_path(path), "append")
+    staging.commit(touched)
     staging.apply()
     return n
 
 
+def _partitions(files: list[str], columns: list[str]) -> list[dict[str, int]]:
+    """The partitions of some data files."""
+    folders = {f.rsplit("/", 1)[0] for f in files}
+    return [{c: int(part.split("=")[1]) for c, part in zip(columns, folder.split("/"))}
+            for folder in sorted(folders)]
+
+
 def compact_serving(spark: SparkSession, path: str, table: str, min_files: int = 8) -> int:
     """Rewrite partitions that hold at least ``min_files`` files (from added batches).
 
     Files are counted over a listing of names, no row is read for it.  Rows are
-    unchanged.  Returns the number of partitions rewritten.
+    unchanged.  The key index is built anew.  Returns the number of partitions rewritten.
     """
     staging = Staging(spark, path)
     staging.recover()
     columns = partitions_of(spark, path)
     names = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
              .option("recursiveFileLookup", "true").load(path).select("path"))
+    depth = len(columns) + 1
     place = [F.regexp_extract("path", f"/{c}=([0-9]+)/", 1).cast("int").alias(c)
              for c in columns]
-    targets = (names.select(*place).groupBy(*columns).agg(F.count("*").alias("files"))
-               .filter(F.col("files") >= min_files).collect())
+    # Names of the files that are about to be replaced.
+    targets = (names.select(*place, F.substring_index("path", "/", -depth).alias("file"))
+               .groupBy(*columns).agg(F.collect_list("file").alias("files"))
+               .filter(F.size("files") >= min_files).collect())
     if not targets:
         return 0
     rows = read_stored(spark, path, table).filter(
         _partition_predicate(targets, columns))
     write_serving(rows, staging.sub("replace"), table, by=columns)
-    staging.commit(sorted(_directory(r, columns) for r in targets))
+    if staging.exists(keys_path(path)):
+        _index_rows(spark, staging.sub("replace"), table, columns, keys_path(path), "append")
+    staging.commit(sorted(f for r in targets for f in r.files))
     staging.apply()
+    build_keys(spark, path, table)
     return len(targets)
