@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sheltered(docs: DataFrame, own: Collection[str],
+              work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` on ``docs`` whose columns but ``own`` have names that no operator uses.
+
+    The result has the columns of ``docs`` again, so that no column of the input can
+    clash with one that ``work`` adds for itself.
+    """
+    names = {c: c if c in own else f"column {k}" for k, c in enumerate(docs.columns)}
+    done = work(docs.select(*[quoted(c).alias(n) for c, n in names.items()]))
+    return done.select(*[quoted(n).alias(c) for c, n in names.items()])
+
+
+def quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def fold(doc_id: str | Column, folds: int) -> Column:
     """``crc32`` of the id written as text, modulo ``folds`` (null id: null)."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str)

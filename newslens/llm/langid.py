@@ -8,7 +8,9 @@ training documents and are summed by Spark.
 
 Training: follow-the-regularised-leader with an elastic-net penalty over a
 bounded sample, ``SAMPLE_DOCS`` documents in all, the same number of each
-language (those with the smallest hash of their id).  A fifth of the sample is
+language (those with the smallest hash of their id; a bound on the hash leaves a
+few times as many to be ranked, so that no language is in one task).  Of more than
+``MAX_LABELS`` labels the most frequent are learned.  A fifth of the sample is
 kept from training and sets the temperature that the class scores are divided
 by, so that the score of a prediction is its probability of being right.
 
@@ -31,10 +33,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newslens.llm.common import fold
+from newslens.llm.common import fold, quoted
 
 FEATURE_BITS = 15
 SAMPLE_DOCS = 2048
+#: The languages that can be learned: those with the most documents.
+MAX_LABELS = 256
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.2, 0.05
 FOLDS, HELD_OUT = 4, 2
@@ -162,10 +166,28 @@ class Model:
 def _sample(rows: DataFrame, size: int) -> tuple[list[str], DataFrame]:
     """The labels, and the (id, label) pairs to train on: equally many a label."""
     known = rows.select("id", "label").filter("id is not null and label is not null").distinct()
-    labels = sorted(r[0] for r in known.select("label").distinct().collect())
-    quota = max(1, size // max(1, len(labels)))
+    counts = dict(tuple(r) for r in known.groupBy("label").agg(F.count("*").alias("n")).orderBy(
+        F.desc("n"), "label").limit(MAX_LABELS).collect())
+    labels = sorted(counts)
+    if not labels:
+        return labels, known
+    quota = max(1, size // len(labels))
+
+    def below(shares: dict[str, float]) -> DataFrame:
+        # At most MAX_LABELS bounds.
+        bounds = rows.sparkSession.createDataFrame(
+            [(k, min((1 << 63) - 1, int(s * (1 << 64)) - (1 << 63))) for k, s in shares.items()],
+            "label string, bound long")
+        return known.join(F.broadcast(bounds), "label").filter(
+            F.xxhash64("id") <= F.col("bound")).drop("bound")
+
+    shares = {k: min(1.0, (4 * quota + 64) / n) for k, n in counts.items()}
+    got = dict(tuple(r) for r in below(shares).groupBy("label").agg(F.count("*")).collect())
+    # A label that has fewer below its bound than asked for is ranked as a whole.
+    shares = {k: s if got.get(k, 0) >= min(quota, counts[k]) else 1.0 for k, s in shares.items()}
     by_hash = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    picked = known.withColumn("nth", F.row_number().over(by_hash)).filter(F.col("nth") <= quota)
+    picked = below(shares).withColumn("nth", F.row_number().over(by_hash)).filter(
+        F.col("nth") <= quota)
     return labels, picked.select("id", "label")
 
 
@@ -173,6 +195,7 @@ def fit(rows: DataFrame, size: int = SAMPLE_DOCS, bits: int = FEATURE_BITS) -> M
     """Learn from (id, label, text) rows; every one of them counts for the frequencies."""
     rows = rows.filter("id is not null and label is not null")
     labels, picked = _sample(rows, size)
+    # A row of a label that is not learned counts for the frequencies alone.
     if not labels:
         return Model([], None, None, 1.0)
     # At most ``size`` pairs.
@@ -239,15 +262,26 @@ def identify(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str =
              label: str = "lang", names: tuple = ("lang_pred", "score"),
              keep: tuple | None = None) -> DataFrame:
     """The columns ``keep`` (all) and the prediction under ``names``; learns where ``train`` holds."""
-    model = fit(docs.filter(train).select(F.col(doc_id).cast("long").alias("id"),
-                                          F.col(label).cast("string").alias("label"),
-                                          F.col(text).alias("text")))
+    return predict(learn(docs, train, doc_id, text, label), docs, text, names, keep)
+
+
+def learn(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text",
+          label: str = "lang") -> Model:
+    return fit(docs.filter(train).select(F.col(doc_id).cast("long").alias("id"),
+                                         F.col(label).cast("string").alias("label"),
+                                         F.col(text).alias("text")))
 
-    keep = list(docs.columns if keep is None else keep)
-    rows = docs.select(F.col(text).alias("_text"), *[F.col(c) for c in keep if c != text])
-    order = [0 if c == text else rows.columns.index(c) for c in keep]
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def predict(model: Model, docs: DataFrame, text: str = "text",
+            names: tuple = ("lang_pred", "score"), keep: tuple | None = None) -> DataFrame:
+    """The columns ``keep`` (all) and the prediction, which replaces columns of its names."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    # By places and under names of their own, so that nothing can clash.
+    rows = docs.select(quoted(text).alias("text"), *[
+        quoted(c).alias(f"k{k}") for k, c in enumerate(keep) if c != text])
+    order = [0 if c == text else rows.columns.index(f"k{k}") for k, c in enumerate(keep)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_letter = letters()
         for b in batches:
             got = [model.predict(features(t.as_py(), is_letter)) for t in b.column(0)]
@@ -258,4 +292,4 @@ def identify(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str =
     schema = T.StructType([*(docs.schema[c] for c in keep),
                            T.StructField(names[0], T.StringType()),
                            T.StructField(names[1], T.DoubleType())])
-    return rows.mapInArrow(predict, schema)
+    return rows.mapInArrow(run, schema)

@@ -31,12 +31,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newslens.llm.common import materialize
+from newslens.llm.common import materialize, sheltered
 
 BLOCK_WORDS = 64
 MAX_REPEATS = 3
 WEIGHTS = (1, 2, 3)
 BUCKET_ROWS = 512
+#: Buckets whose sums are added up together before the stretches' sums are.
+STRETCH_BUCKETS = 4096
 #: At most this many output shards, each of at least SHARD_SLOTS slots.
 MAX_SHARDS = 1 << 14
 SHARD_SLOTS = 4096
@@ -101,12 +103,20 @@ def _pieces(sized: DataFrame, per: DataFrame) -> DataFrame:
     rows = (sized.filter("size > 0").join(per.select("source", "source_no"),
                                           sized["source"].eqNullSafe(per["source"]))
             .select("source_no", "doc_id", "size", "text_hash", "copy")
-            .withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(buckets))))
-    sums = rows.groupBy("source_no", "bucket").agg(F.sum("size").alias("words"))
-    ahead = Window.partitionBy("source_no").orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, -1)
-    sums = sums.select("source_no", "bucket",
-                       F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("base"))
+            .withColumn("bucket", F.pmod(
+                F.xxhash64("doc_id", "text_hash", "copy", F.lit(SEED)), F.lit(buckets))))
+    sums = rows.groupBy("source_no", "bucket").agg(F.sum("size").alias("words")).withColumn(
+        "stretch", F.floor(F.col("bucket") / STRETCH_BUCKETS))
+    # Sums of the buckets ahead in two levels: a source's stretches, a stretch's buckets.
+    ahead = (Window.partitionBy("source_no").orderBy("stretch")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    stretches = sums.groupBy("source_no", "stretch").agg(F.sum("words").alias("all")).select(
+        "source_no", "stretch", F.coalesce(F.sum("all").over(ahead), F.lit(0)).alias("start"))
+    ahead = (Window.partitionBy("source_no", "stretch").orderBy("bucket")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    sums = (sums.withColumn("before", F.coalesce(F.sum("words").over(ahead), F.lit(0)))
+            .join(stretches, ["source_no", "stretch"])
+            .select("source_no", "bucket", (F.col("start") + F.col("before")).alias("base")))
     inside = (Window.partitionBy("source_no", "bucket").orderBy("doc_id", "text_hash", "copy")
               .rowsBetween(Window.unboundedPreceding, -1))
     placed = (rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
@@ -237,6 +247,12 @@ def piece_texts(docs: DataFrame, mixture: DataFrame, doc_id: str = "doc_id",
     A piece reaches from its first word to the next piece's first word, so white
     space between words stays as it is.
     """
+    return sheltered(docs, (doc_id, text, source), lambda d: _piece_texts(
+        d, mixture, doc_id, text, source))
+
+
+def _piece_texts(docs: DataFrame, mixture: DataFrame, doc_id: str, text: str,
+                 source: str) -> DataFrame:
     word = re.compile(WORD)
     # The number of a row among its copies and its pieces meet under the same three
     # keys, none of them null, so that texts move once.

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newslens.llm.common import materialize
+from newslens.llm.common import materialize, sheltered
 
 SHINGLE_WORDS = 3
 RADIUS = 2
@@ -285,6 +285,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """The columns of ``docs`` for one row of each component: that of the smallest id."""
+    return sheltered(docs, (doc_id, text), lambda d: _one_per_group(
+        d, doc_id, text, shingle_words, radius))
+
+
+def _one_per_group(docs: DataFrame, doc_id: str, text: str, shingle_words: int,
+                   radius: int) -> DataFrame:
     rows = materialize(fingerprints(docs, text, shingle_words), "simhash-documents")
     keys = rows.select(F.col(doc_id).cast("long").alias("doc_id"), F.col("_fp").alias("fp"))
     placed = components(keys, radius)
