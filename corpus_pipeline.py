@@ -3,7 +3,7 @@
 Each stage takes what the one before kept and calls one operator:
 
 1. language identification: documents without a letter, or whose language is no
-   more than a guess, go; a missing label is filled in;
+   more than a guess among those learned, go; a missing label is filled in;
 2. SimHash near-duplicates: the document of the smallest id of each group stays;
 3. suffix-array dedup: repeated passages (strings of ``REPEAT_BYTES``) are cut out of
    the texts;
@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens.llm import langid, mixing, packing, simhash, suffix_dedup
-from newslens.llm.common import materialize, table
+from newslens.llm.common import materialize, sheltered, table
 
-#: A prediction below this is no better than a guess among a few languages.
-MIN_LANGUAGE_SCORE = 0.3
+#: A prediction is a guess unless its score is above an even share of the languages by
+#: this part of what is left to certainty.
+LANGUAGE_MARGIN = 0.1
 #: 51 repeated words take 245 bytes at least in the given tables (median 317), so
 #: passages of over 50 words lie in repeated strings of this many bytes.
 REPEAT_BYTES = 240
@@ -33,10 +34,15 @@ REPEAT_ANCHOR = 40
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = langid.identify(docs, langid.learnable(), names=("_lang", "_score"))
-    known = (F.col("_lang") != langid.UNDETERMINED) & (F.col("_score") >= MIN_LANGUAGE_SCORE)
-    return found.filter(known).withColumn("lang", F.coalesce("lang", "_lang")).select(
-        *docs.columns)
+    def known(rows: DataFrame) -> DataFrame:
+        model = langid.learn(rows, langid.learnable())
+        even = 1 / max(1, len(model.labels))
+        found = langid.predict(model, rows, names=("found", "score"))
+        return found.filter((F.col("found") != langid.UNDETERMINED) & (
+            F.col("score") >= even + LANGUAGE_MARGIN * (1 - even))).withColumn(
+            "lang", F.coalesce("lang", "found"))
+
+    return sheltered(docs, ("doc_id", "text", "lang"), known)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,15 +50,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # Under names of their own, so that no column of the input can clash.
-    inner = docs.select(*[F.col(c).alias(f"in_{c}") for c in docs.columns])
-    keep = tuple(c for c in inner.columns if c not in ("in_text", "in_n_chars"))
-    cut = suffix_dedup.remove_repeats(inner, "in_text", keep, with_kept=True,
-                                      length=REPEAT_BYTES, anchor_bytes=REPEAT_ANCHOR)
-    return cut.select(*[
-        F.col("kept").alias(c) if c == "text"
-        else F.length("kept").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-        else F.col(f"in_{c}").alias(c) for c in docs.columns])
+    def cut(rows: DataFrame) -> DataFrame:
+        keep = tuple(c for c in rows.columns if c != "text")
+        return (suffix_dedup.remove_repeats(rows, "text", keep, with_kept=True,
+                                            length=REPEAT_BYTES, anchor_bytes=REPEAT_ANCHOR)
+                .withColumn("text", F.col("kept"))
+                .withColumn("n_chars", F.length("kept").cast(docs.schema["n_chars"].dataType)))
+
+    return sheltered(docs, ("text", "n_chars"), cut)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
