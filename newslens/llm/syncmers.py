@@ -3,23 +3,28 @@
 A k-mer (``K`` characters) is a closed syncmer if the smallest of its ``W``
 inner substrings of ``S`` characters, by hash, is its first or its last.  That
 depends on the k-mer alone, so equal passages are anchored at the same places
-whatever surrounds them.  A document's fingerprint is the set of all its anchor
-hashes, sorted; the likeness of two fingerprints is the share of their union that
-both hold.  The places of the anchors are not part of it.
+whatever surrounds them.  One of ``SAMPLE`` anchors is kept, by the hash of its first
+inner substring, so the number kept grows with the text.  Anchors are matched by
+position: a mark is made of an anchor, the next one and the distance between their
+places, and the fingerprint is the set of all marks, sorted.  Two texts share a
+mark only where two anchors follow each other equally far apart; the likeness of two
+fingerprints is the share of their union that both hold.
 
 Texts are cut once into overlapping chunks, so that taking substrings stays
-linear in the length of a text, and every substring is hashed once.
+linear in the length of a text, and every substring is hashed once.  The edited
+text's anchors are those of its two parts, shifted, and those across the seam.
 
-The next document is found without a global order: ids are cut into stretches
-of equal width with a few thousand documents each, rows are sorted per stretch,
-and the first row of a stretch is also sent to the stretch before it.  Texts move
-once.  (Ids that crowd into few stretches make these larger, no result changes.)
+The next document is found without a global order: ids are cut into stretches at
+approximate quantiles, wide ones again into equal parts, and rows without an id by
+the hash of their text; rows are sorted per stretch, and the first row of a stretch
+is also sent to the stretch before it.  Texts move once.  (Rows that all have the
+same id share a stretch.)
 
 Defined results: a null or empty text has an empty fingerprint; a text shorter
-than a k-mer is one anchor; two empty fingerprints are alike (1), an empty and
-another one are not (0); rows of equal id follow each other by hash of their
-text, rows without an id come last; a single document is its own next one; an
-empty table gives an empty result.
+than a k-mer, or without a kept anchor, is one mark; two empty fingerprints are alike
+(1), an empty and another one are not (0); rows of equal id follow each other by hash
+of their text, rows without an id come last; a single document is its own next one;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,10 +35,12 @@ from pyspark.sql import functions as F
 S = 12
 W = 5
 K = S + W - 1
-#: Anchors of a fingerprint: all.
-SKETCH = None
+#: One anchor in so many is kept, a power of two.
+SAMPLE = 8
 CHUNK = 64
 STRETCH_ROWS = 4096
+#: Quantiles of the ids that are looked up, and parts of all stretches between them.
+QUANTILES = 1024
 MAX_STRETCHES = 1 << 19
 
 
@@ -57,10 +64,21 @@ def inner_hashes(text: Column) -> Column:
 
 def anchors(hashes: Column) -> Column:
     """(hash, place) of every closed syncmer, from the inner hashes of a text."""
+    return sampled_anchors(1)(hashes)
+
+
+def sampled_anchors(sample: int):
+    """As ``anchors``, of one anchor in ``sample``."""
+    return lambda hashes: _anchors(hashes, sample)
+
+
+def _anchors(hashes: Column, sample: int) -> Column:
     def closed(i: Column) -> Column:
         inner = [F.get(hashes, i + j) for j in range(1, W - 1)]
         edge = F.least(F.get(hashes, i), F.get(hashes, i + (W - 1)))
-        return edge <= (F.least(*inner) if len(inner) > 1 else inner[0])
+        test = edge <= (F.least(*inner) if len(inner) > 1 else inner[0])
+        return test if sample == 1 else (
+            F.get(hashes, i).bitwiseAND(F.lit(sample - 1)) == 0) & test
 
     def anchor(i: Column) -> Column:
         # The two edge substrings cover the whole k-mer.
@@ -72,13 +90,23 @@ def anchors(hashes: Column) -> Column:
         F.array().cast("array<struct<hash:int,place:int>>"))
 
 
+def marks(found: Column) -> Column:
+    """A hash of every anchor with the next one and the distance to it (a column)."""
+    def mark(x: Column, k: Column) -> Column:
+        following = F.get(found, k + 1)
+        return F.shiftright(F.xxhash64(
+            x["hash"], following["place"] - x["place"], following["hash"]), 32).cast("int")
+
+    return F.transform(found, mark)
+
+
 def distinct(values: Column) -> Column:
     """The distinct values, sorted."""
     return F.sort_array(F.array_distinct(values))
 
 
-def short_anchor(text: Column) -> Column:
-    """The fingerprint of a text shorter than a k-mer."""
+def whole(text: Column) -> Column:
+    """The fingerprint of a text without a kept anchor."""
     return F.when(F.length(text) == 0, F.array().cast("array<int>")).otherwise(
         F.array(F.shiftright(F.xxhash64(text), 32).cast("int")))
 
@@ -95,40 +123,70 @@ def text_of(sketch: Column) -> Column:
         F.hex(x.cast("long") + F.lit(1 << 32)), -8, 8)), ""))
 
 
-def sketch(text: Column) -> Column:
-    """The fingerprint of a whole text, as an array of hashes."""
-    found = _let(inner_hashes(text), anchors)
-    return F.when(F.length(text) < K, short_anchor(text)).otherwise(
-        distinct(F.transform(found, lambda x: x["hash"])))
+def sketch(text: Column, found: Column) -> Column:
+    """The fingerprint of a text with the kept anchors ``found`` (both columns)."""
+    return F.when(F.size(found) == 0, whole(text)).otherwise(distinct(marks(found)))
+
+
+def stretch_of(rows: DataFrame) -> Column:
+    """The number of a row's stretch, which falls as the order of documents goes on."""
+    counts = rows.agg(F.count("*"), F.count("doc_id"), F.min("doc_id"), F.max("doc_id")).first()
+    n, known, low, high = counts
+    stretches = min(MAX_STRETCHES, max(1, -(-known // STRETCH_ROWS)))
+    coarse = min(QUANTILES, stretches)
+    fine = -(-stretches // coarse)
+    # Fewer than QUANTILES numbers.
+    bounds = sorted(set(rows.agg(F.percentile_approx(
+        "doc_id", [k / coarse for k in range(1, coarse)], 10 * QUANTILES)).first()[0]
+        if coarse > 1 and known else []))
+    bounds = [b for b in bounds if b > low]
+    of_null = max(1, -(-(n - known) // STRETCH_ROWS))
+    share = F.col("text_hash").cast("double") / F.lit(2.0 ** 64) + F.lit(0.5)
+    nameless = F.lit(-1) - F.least(
+        F.lit(of_null - 1), F.floor(share * F.lit(of_null)).cast("long"))
+    if not known:
+        return nameless
+    limits = F.array(*[F.lit(b).cast("long") for b in [low, *bounds, high + 1]])
+    at = F.size(F.filter(limits, lambda b: b <= F.col("doc_id"))) if bounds else F.lit(1)
+    start, end = F.element_at(limits, at), F.element_at(limits, at + 1)
+    if fine == 1:
+        part = F.lit(0).cast("long")
+    else:
+        wide = [x.cast("decimal(20,0)") for x in (F.col("doc_id"), start, end)]
+        part = F.least(F.lit(fine - 1), F.floor(
+            (wide[0] - wide[1]).cast("double") * fine / (wide[2] - wide[1]).cast("double"))
+            .cast("long"))
+    return F.when(F.col("doc_id").isNull(), nameless).otherwise(
+        F.lit(fine).cast("long") * at + part)
 
 
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, text, next_text, stretch, copy, order``.
+    """``doc_id, text, stretch, copy, text_hash``.
 
     ``copy`` marks rows that only serve the stretch before their own.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
-    n, low, high = rows.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
-    stretches = min(MAX_STRETCHES, max(1, -(-n // STRETCH_ROWS)))
-    low = low if low is not None else 0
-    width = max(1, -(-((high if high is not None else 0) - low + 1) // stretches))
-    stretch = F.coalesce(F.floor((F.col("doc_id").cast("decimal(20,0)") - F.lit(low)) / width)
-                         .cast("long"), F.lit(-1).cast("long"))
-    rows = rows.withColumn("stretch", stretch)
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    rows = rows.withColumn("stretch", stretch_of(rows))
     # One row per stretch: its first document, and the stretch before it (round the end).
-    heads = rows.groupBy("stretch").agg(F.max("doc_id").alias("head"))
+    first = F.min(F.struct(F.isnull("doc_id").alias("n"), F.bitwise_not("doc_id").alias("i"),
+                           F.col("text_hash").alias("h")))
+    heads = rows.groupBy("stretch").agg(first.alias("head"))
     down = Window.orderBy(F.desc("stretch"))
     last = heads.agg(F.min("stretch").alias("last"))
     heads = heads.withColumn("before", F.lag("stretch").over(down)).join(last, F.lit(True)) \
-        .select("head", F.coalesce("before", "last").alias("before"))
-    placed = rows.join(heads, rows["doc_id"].eqNullSafe(heads["head"]), "left")
+        .select(F.bitwise_not(F.col("head.i")).alias("head_id"),
+                F.col("head.h").alias("head_hash"),
+                F.coalesce("before", "last").alias("before"))
+    placed = rows.join(heads, rows["doc_id"].eqNullSafe(heads["head_id"])
+                       & (rows["text_hash"] == heads["head_hash"]), "left")
     own = F.struct(F.col("stretch"), F.lit(False).alias("copy"))
     sent = F.struct(F.col("before").alias("stretch"), F.lit(True).alias("copy"))
     head = F.col("before").isNotNull()
-    return placed.select("doc_id", "text", F.explode(F.when(
+    return placed.select("doc_id", "text", "text_hash", F.explode(F.when(
         head, F.array(own, sent)).otherwise(F.array(own))).alias("at")).select(
-        "doc_id", "text", "at.stretch", "at.copy", F.xxhash64("text").alias("text_hash"))
+        "doc_id", "text", "at.stretch", "at.copy", "text_hash")
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -141,27 +199,32 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         "copy", F.col("doc_id").desc_nulls_last(), "text_hash")
     rows = with_next(docs, doc_id, text).withColumn("next_text", F.lead("text").over(line))
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))
+    rows = rows.withColumn("found", _let(inner_hashes(F.col("text")),
+                                         sampled_anchors(SAMPLE)))
+    # Same stretches in the same order: no further exchange or sort.
+    rows = rows.withColumn("next_found", F.lead("found").over(line)).filter("not copy")
     need = F.floor(F.col("n_chars") / 2).cast("int")
-    rows = rows.withColumn("half", F.col("n_chars").cast("int") - need)
+    rows = rows.withColumn("need", need).withColumn(
+        "half", F.col("n_chars").cast("int") - need)
     rows = rows.withColumn("edited", F.concat(
         F.substring(F.col("text"), F.lit(1), F.col("half")),
-        F.coalesce(F.substring(F.col("next_text"), F.lit(1), need), F.lit(""))))
-    # Anchors of the edited text that begin before this place are those of the text.
+        F.coalesce(F.substring(F.col("next_text"), F.lit(1), F.col("need")), F.lit(""))))
+    # Anchors of the edited text: before the seam, across it, behind it.
     rows = rows.withColumn("from", F.greatest(F.col("half") - (K - 1), F.lit(0)))
-    rows = rows.withColumn("found", _let(inner_hashes(F.col("text")), anchors))
-    tail = F.substring(F.col("edited"), F.col("from") + 1, F.length("edited"))
-    rows = rows.withColumn("found_tail", _let(inner_hashes(tail), anchors))
-    hashes = lambda c: F.transform(c, lambda x: x["hash"])
-    kept = F.filter("found", lambda x: x["place"] < F.col("from"))
+    seam = F.substring(F.col("edited"), F.col("from") + 1, F.col("half") - F.col("from") + (K - 1))
+    across = F.transform(_let(inner_hashes(seam), sampled_anchors(SAMPLE)), lambda x: F.struct(
+        x["hash"].alias("hash"), (x["place"] + F.col("from")).alias("place")))
+    kept = F.filter("found", lambda x: x["place"] <= F.col("half") - K)
+    behind = F.transform(
+        F.filter("next_found", lambda x: x["place"] <= F.col("need") - K),
+        lambda x: F.struct(x["hash"].alias("hash"), (x["place"] + F.col("half")).alias("place")))
+    rows = rows.withColumn("edited_found", F.concat(
+        kept, across, F.coalesce(behind, F.array().cast("array<struct<hash:int,place:int>>"))))
     rows = rows.select(
-        "doc_id", "n_chars", "stretch", "copy", "text_hash",
-        F.sha2("edited", 256).alias("edited_sha256"),
-        F.when(F.col("n_chars") < K, short_anchor(F.col("text"))).otherwise(
-            distinct(hashes(F.col("found")))).alias("sketch"),
-        F.when(F.length("edited") < K, short_anchor(F.col("edited"))).otherwise(
-            distinct(F.concat(hashes(kept), hashes(F.col("found_tail"))))).alias("edited_sketch"))
-    # Same stretches in the same order: no further exchange or sort.
-    rows = rows.withColumn("next_sketch", F.lead("sketch").over(line)).filter("not copy")
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        sketch(F.col("text"), F.col("found")).alias("sketch"),
+        sketch(F.col("edited"), F.col("edited_found")).alias("edited_sketch"),
+        sketch(F.col("next_text"), F.col("next_found")).alias("next_sketch"))
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", text_of(F.col("sketch")).alias("fingerprint"),
         text_of(F.col("edited_sketch")).alias("edited_fingerprint"),
