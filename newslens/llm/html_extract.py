@@ -21,11 +21,15 @@ characters and blocks are counted before parts beside the article are cut: those
 whose tag (nav, footer, form ...) or whose class, id or role (menu, advert, share,
 comments ...) says so.  Such a part stays if the article or main element lies in
 it, or if, beside links, it holds more text and at least as many blocks as all
-that would be left without the named parts; never a readers' part.  A warning or
-notice inside the article, or inside the densest part below the body, stays too.
+that would be left without the named parts; never a readers' part.  Names that are
+also words of prose (a warning, related work, search ...) count inside the article, or
+inside the densest part below the body, only where the part is mostly links; the
+article's own header stays if it has a heading.
 
 Blocks are the stretches of text between block-level tags; a line break is white
-space.  Each page is parsed on its own in one pass over its tokens.
+space.  Each page is parsed on its own in one pass over its tokens, in time linear
+in its length: a quote opens a value only right after ``=``, and open elements are
+counted, so that closing looks at no element twice.
 
 Defined results: a null or empty html, or a page without text, has an empty
 text; markup that is never closed is read as browsers do; rows are taken one by
@@ -38,6 +42,7 @@ from __future__ import annotations
 import html as _html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -64,7 +69,7 @@ CLOSED_BY = {"p": {"address", "article", "aside", "blockquote", "center", "detai
                    "section", "table", "ul"},
              "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
              "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr", "tbody", "tfoot"},
-             "th": {"td", "th", "tr", "tbody", "tfoot"}, "head": {"body"}}
+             "th": {"td", "th", "tr", "tbody", "tfoot"}, "head": {"body", "head"}}
 #: Closing looks no further out than these.
 SCOPE = {"table", "ul", "ol", "dl", "article", "section", "main", "body", "html", "div",
          "blockquote", "td", "th", "select"}
@@ -82,12 +87,15 @@ ASIDE = {"ad", "ads", "adbox", "adsense", "advert", "adverts", "advertisement",
          "widget", "widgets"}
 #: What a title or a lead before the body of an article is written as.
 LEAD = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup", "p"}
-CALLOUT = {"alert", "announcement", "disclaimer", "notice", "notices", "warning"}
+#: Names that prose has too.
+CALLOUT = {"alert", "announcement", "banner", "dialog", "disclaimer", "form", "header", "menu",
+           "notice", "notices", "notification", "promotion", "recommended", "related", "search",
+           "warning", "widget", "widgets"}
 READERS = {"comment", "comments", "commentlist", "discussion", "disqus", "replies", "respond"}
 
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>?"
-    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-hidden)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""",
                        re.I)
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -95,13 +103,16 @@ SPACE = re.compile(r"\s+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "aside", "chars", "tags", "link_chars",
+    __slots__ = ("tag", "parent", "children", "aside", "closable", "chars", "tags", "link_chars",
                  "link_tags", "own", "parts", "density", "total", "best")
 
     def __init__(self, tag, parent, aside=""):
         self.tag, self.parent, self.aside = tag, parent, aside
         #: Nodes, and strings for text.
         self.children: list = []
+        #: The innermost open element that a start tag may close, within its scope.
+        self.closable = self if tag in CLOSED_BY else (
+            None if parent is None or tag in SCOPE else parent.closable)
 
 
 def named_aside(attributes: str) -> str:
@@ -125,7 +136,15 @@ def named_aside(attributes: str) -> str:
 def parse(page: str) -> _Node:
     """The page as a tree; scripts, comments and other markup are left out."""
     root = node = _Node("#root", None)
+    is_open: Counter[str] = Counter()
     at = 0
+
+    def leave(inner: _Node, outer: _Node) -> _Node:
+        while inner is not outer:
+            is_open[inner.tag] -= 1
+            inner = inner.parent
+        return outer
+
     while True:
         m = TOKEN.search(page, at)
         text = page[at:m.start() if m else len(page)]
@@ -140,20 +159,18 @@ def parse(page: str) -> _Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            look = node
-            while look is not None and look.tag != tag:
-                look = look.parent
-            if look is not None and look.parent is not None:
-                node = look.parent
+            if is_open[tag]:
+                look = node
+                while look.tag != tag:
+                    look = look.parent
+                node = leave(node, look.parent)
             continue
-        look = node
-        while look.parent is not None:
-            if tag in CLOSED_BY.get(look.tag, ()):
-                node = look.parent
+        look = node.closable
+        while look is not None:
+            if tag in CLOSED_BY[look.tag]:
+                node = leave(node, look.parent)
                 break
-            if look.tag in SCOPE:
-                break
-            look = look.parent
+            look = None if look.tag in SCOPE else look.parent.closable
         child = _Node(tag, node, named_aside(m[3]) if m[3] else "")
         node.children.append(child)
         if tag in RAW:
@@ -163,6 +180,7 @@ def parse(page: str) -> _Node:
             at = end.end() if end else len(page)
         elif tag not in VOID and not m[3].endswith("/"):
             node = child
+            is_open[tag] += 1
 
 
 def _order(root: _Node) -> list[_Node]:
@@ -225,17 +243,26 @@ def prune(root: _Node) -> None:
         own = n.tag == "br" or n.tag not in INLINE and n.own > 0
         count[id(n)] = own + sum(count[id(c)] for c in n.children if not isinstance(c, str))
 
-    # Callouts are part of the text that they stand in.
+    # Callouts are part of the text that they stand in, and a header of its article.
     centre = max(nodes, key=lambda n: n.total)
-    while centre is not None and centre.aside == "callout":
+    while centre is not None and (centre.aside == "callout" or centre.tag == "section"):
         centre = centre.parent
     within = {id(n) for n in (article, centre)
               if n is not None and n.tag not in ("body", "html", "#root")}
+    headed = set()
+    for n in reversed(nodes):
+        if n.parent is not None and (n.tag in LEAD - {"p"} or id(n) in headed):
+            headed.add(id(n.parent))
+    inside = {id(article)} if article else set()
     for n in nodes:
         if n.parent is not None and id(n.parent) in within:
             within.add(id(n))
-            if n.aside == "callout":
+            if n.aside == "callout" and 2 * n.link_chars <= n.chars:
                 n.aside = ""
+        if n.parent is not None and id(n.parent) in inside:
+            inside.add(id(n))
+            if n.tag == "header" and id(n) in headed and 2 * n.link_chars <= n.chars:
+                keeps.add(id(n))
 
     # A named part that outweighs all that is left without such parts wraps the article.
     def left(top: _Node, parts: list[_Node]) -> tuple[int, int]:
