@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from newslens.functions import fields as X
 from newslens.operators import prepare
+from newslens.operators.period import top_k_per_group
 from newslens.plans import oracle
 from newslens.plans import queries as Q
 from newslens.schemas import EXPORT_SCHEMA, GKG_SCHEMA, MENTIONS_SCHEMA
@@ -42,6 +43,7 @@ Q33_K = Q34_K = 3
 Q35_K = 10
 Q4_PAIR = ("France", "United States")
 Q42_K = 3
+DEEP_K = 1500
 Q42_SUBSTRING_PAIR = ("Niger", "France")
 Q42_HYPHEN_PAIR = ("Guinea", "France")
 
@@ -412,6 +414,7 @@ def _registry() -> dict[str, tuple[QueryFn, str | None]]:
         g, k = dim_k
         reg[key] = (_on_articles(partial(fn, source=Q3_SOURCE, granularity=g, limit=k)),
                     osql(Q3_SOURCE, g, k))
+    reg["top_k_deep"] = (_on_articles(_deep_top), oracle.deep_top(DEEP_K))
     reg["manifest_window"] = (_manifest_window, oracle.manifest_window(
         "2024-01-05 00:00:00", "2024-01-05 11:45:00", MANIFEST_WINDOW[2]))
     reg["manifest_by_feed"] = (_manifest_by_feed, oracle.manifest_by_feed())
@@ -473,6 +476,14 @@ def _registry() -> dict[str, tuple[QueryFn, str | None]]:
     return reg
 
 
+def _deep_top(articles: DataFrame) -> DataFrame:
+    """N2 / O3 beyond Spark's own group limit: the best-toned articles of each year."""
+    return top_k_per_group(
+        articles.select("event_year", "event_tone", "global_event_id"), ["event_year"],
+        [F.desc_nulls_last("event_tone"), F.asc_nulls_last("global_event_id")], DEEP_K,
+        "event_tone")
+
+
 def _q1(em: DataFrame, language: str | None) -> DataFrame:
     return Q.articles_by_date_country_language(em, *Q1_ARGS, language=language)
 

@@ -304,6 +304,14 @@ SELECT GKGRECORDID, c[1] AS first_country, c[2] AS second_country
 FROM (SELECT *, {_COUNTRIES_EXPR} AS c FROM raw_gkg) g"""
 
 
+def deep_top(k: int) -> str:
+    return with_article_tables() + f"""
+SELECT event_year, event_tone, global_event_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_year ORDER BY event_tone DESC NULLS LAST,
+                               global_event_id ASC NULLS LAST) AS rn
+  FROM upsert_articles) x WHERE rn <= {k}"""
+
+
 def parse_feed(raw: str, schema) -> str:
     """Every field of a feed's lines: its text, blank as null, as its type."""
     types = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}

@@ -55,7 +55,7 @@ def most_mentioned_events(event_mentions: DataFrame, country: str,
     period = period_columns(granularity)
     df = event_mentions.filter(F.col("event_country") == country)
     top = top_k_per_group(df, period, [F.desc_nulls_last("num_mentions"),
-                                       F.asc_nulls_last("global_event_id")], 1)
+                                       F.asc_nulls_last("global_event_id")], 1, "num_mentions")
     return ordered_result(top.select(*period, "event_country", "global_event_id", "num_mentions"),
                           *period_desc(granularity))
 
@@ -99,7 +99,7 @@ def _source_top_k(rows: DataFrame, source: str, granularity: str, dim: str, coun
     agg = (rows.groupBy("internet_source", *period, dim)
            .agg(F.avg("event_tone").alias("average_tone"), F.count("*").alias(count_name)))
     top = top_k_per_group(agg, period, [F.desc_nulls_last(count_name),
-                                        F.asc_nulls_last(dim)], k)
+                                        F.asc_nulls_last(dim)], k, count_name)
     return ordered_result(top.select("internet_source", *period, dim, "average_tone", count_name),
                           *period_desc(granularity), F.desc_nulls_last(count_name),
                           F.asc_nulls_last(dim))
@@ -200,7 +200,7 @@ def themes_by_countries(articles: DataFrame, country1: str, country2: str,
            .agg(F.avg("event_tone").alias("average_tone"), F.count("*").alias("theme_count")))
     top = top_k_per_group(agg, period, [F.desc_nulls_last("theme_count"),
                                         F.asc_nulls_last("event_themes"),
-                                        F.asc_nulls_last("country_pair")], limit)
+                                        F.asc_nulls_last("country_pair")], limit, "theme_count")
     out = top.select(first.alias("first_country"), second.alias("second_country"), *period,
                      "event_themes", "average_tone", "theme_count")
     return ordered_result(out, *period_desc(granularity), F.desc_nulls_last("theme_count"),
