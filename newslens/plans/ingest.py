@@ -205,28 +205,32 @@ def ingest_landing(spark: SparkSession, landing_dir: str, event_mentions_path: s
                    batch: tuple[dt.datetime, dt.datetime] | None = None,
                    names: DataFrame | None = None, windows: Sequence[int] | None = None,
                    days: Sequence[dt.date] | None = None,
-                   history_join: bool = False) -> dict[str, int]:
+                   history_join: bool = False,
+                   files: Sequence[str] | None = None) -> dict[str, int]:
     """Read each feed's landed archives once (one task per archive) and upsert.
 
     Files are grouped into half-day windows by name (many windows, one job), or,
     with ``batch=(start, end)``, all treated as that one batch.  ``names`` (column
     ``file_name``) keeps listed files, ``windows`` those of these windows'
-    ``batch_seq``; no list of files ever comes to the driver.  With ``history_join``
-    mentions of events that earlier windows stored count too (windows in order).
+    ``batch_seq``; no list of files ever comes to the driver.  A caller that knows the
+    paths of the archives gives them as ``files``, and no folder is listed.  With
+    ``history_join`` mentions of events that earlier windows stored count too (windows
+    in order).
     """
     tagged = {}
     name = F.substring_index("path", "/", -1)
     for feed, mask in manifest.FEED_CLASSES:
-        files = archives.landed(spark, landing_dir, name_glob(mask, days))
-        files = files.filter(manifest.feed_of(name) == feed)
+        found = (archives.landed(spark, landing_dir, name_glob(mask, days)) if files is None
+                 else archives.named(spark, [f for f in files if mask in f.rsplit("/", 1)[-1]]))
+        found = found.filter(manifest.feed_of(name) == feed)
         if windows is not None:
             key = F.substring_index(name, ".", 1)
-            files = files.filter(window_of(manifest.file_key_to_ts(key))["batch_seq"]
+            found = found.filter(window_of(manifest.file_key_to_ts(key))["batch_seq"]
                                  .isin(list(windows)))
         if names is not None:
             listed = names.select(F.col("file_name").alias("_name")).distinct()
-            files = files.join(listed, name == F.col("_name"), "left_semi")
-        tagged[feed] = feed_lines(archives.member_blocks(files), batch)
+            found = found.join(listed, name == F.col("_name"), "left_semi")
+        tagged[feed] = feed_lines(archives.member_blocks(found), batch)
     em, art = process_windows(tagged["export"], tagged["mentions"], tagged["gkg"], quote,
                               event_mentions_path if history_join else None)
     return {

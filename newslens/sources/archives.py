@@ -10,6 +10,7 @@ lines.  So memory holds one archive and one block, however long a member is.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -81,6 +82,14 @@ def landed(spark: SparkSession, folder: str, name_glob: str = "*.zip") -> DataFr
             .load(folder).select("path", "content"))
 
 
+def named(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, content) of the archives at these paths; no folder is listed."""
+    if not paths:
+        return spark.createDataFrame([], "path string, content binary")
+    plain = [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths]
+    return spark.read.format("binaryFile").load(plain).select("path", "content")
+
+
 def member_blocks(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Unzip ``(path, content)`` rows to (path, member, block of whole lines)."""
     return files.select("path", "content").mapInPandas(_unzip_fn(block_bytes), BLOCK_SCHEMA)
