@@ -5,7 +5,8 @@ alone.  A micro-batch yields the set of half-day windows that its files belong
 to; all landed files of these windows are read again, as the batch path does,
 and upserted under the windows' sequence.  So the tables end up the same however
 files are dealt to triggers: in any order, a window spread over many of them, or
-a file long after its window.
+a file long after its window.  ``start_window_stream`` holds windows back until they
+are closed, in keyed state with timers in event time.
 
 Fault tolerance: progress lives in the checkpoint location on shared storage; a
 replayed micro-batch re-applies the same keyed upsert, which changes nothing the
@@ -102,7 +103,6 @@ def _window_state(retain_ms: int):
         forgets = closes + retain_ms
         now = state.getCurrentWatermarkMs()
         paths, done = (list(state.get[0]), state.get[1]) if state.exists else ([], False)
-        # Read to the end on a timer too: the worker waits for it.
         landed = {p for b in batches for p in b["path"] if p is not None}
         fresh = not done or not landed <= set(paths)
         paths = sorted(landed | set(paths))
