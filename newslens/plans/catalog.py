@@ -44,6 +44,8 @@ Q35_K = 10
 Q4_PAIR = ("France", "United States")
 Q42_K = 3
 DEEP_K = 1500
+# Small files, so that these tables' months have several.
+CLUSTERED_FILE_ROWS = 500
 Q42_SUBSTRING_PAIR = ("Niger", "France")
 Q42_HYPHEN_PAIR = ("Guinea", "France")
 
@@ -75,6 +77,16 @@ def stored(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return serving.read_serving(spark, path, table)
 
 
+def _clustered(table: str, fn: Callable[[DataFrame], DataFrame]) -> QueryFn:
+    """A query over the table after its files were laid along the curve (S10)."""
+    def run(spark, sf_dir):
+        path = scratch_path(spark, f"clustered-{table}")
+        serving.write_serving(SERVING_TABLES[table](spark, sf_dir), path, table)
+        serving.compact_serving(spark, path, table, min_files=1, file_rows=CLUSTERED_FILE_ROWS)
+        return fn(serving.read_serving(spark, path, table))
+    return run
+
+
 def _on_events(fn: Callable[[DataFrame], DataFrame]) -> QueryFn:
     return lambda spark, sf_dir: fn(stored(spark, sf_dir, "event_mentions"))
 
@@ -414,6 +426,17 @@ def _registry() -> dict[str, tuple[QueryFn, str | None]]:
         g, k = dim_k
         reg[key] = (_on_articles(partial(fn, source=Q3_SOURCE, granularity=g, limit=k)),
                     osql(Q3_SOURCE, g, k))
+    # The same answers from clustered files.
+    reg["q1_clustered"] = (_clustered("event_mentions", partial(_q1, language=None)),
+                           oracle.q1(*Q1_ARGS, None))
+    reg["q33_clustered"] = (_clustered("articles", partial(
+        Q.themes_by_source, source=Q3_SOURCE, granularity="month", limit=Q33_K)),
+        oracle.q33(Q3_SOURCE, "month", Q33_K))
+    reg["q41_clustered"] = (_clustered("articles", partial(
+        Q.tone_and_count_by_countries, country1=Q4_PAIR[0], country2=Q4_PAIR[1],
+        granularity="month")), oracle.q41(*Q4_PAIR, "month"))
+    reg["compacted_articles"] = (_clustered("articles", lambda rows: rows),
+                                 oracle.upsert_articles())
     reg["top_k_deep"] = (_on_articles(_deep_top), oracle.deep_top(DEEP_K))
     reg["manifest_window"] = (_manifest_window, oracle.manifest_window(
         "2024-01-05 00:00:00", "2024-01-05 11:45:00", MANIFEST_WINDOW[2]))

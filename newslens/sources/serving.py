@@ -9,7 +9,10 @@ first written; take days once a month is more than one wants to rewrite):
 * an upsert rewrites only the files that hold a row it replaces;
 * rows are sorted by the main filter column inside each file so Parquet
   min/max statistics skip row groups for ``event_country`` /
-  ``internet_source`` filters.
+  ``internet_source`` filters;
+* ``compact_serving`` lays the rows of a partition along a space-filling curve over the
+  two columns that queries filter on (``CLUSTER``) and cuts it into files, so most files
+  of a month hold no row that a filter on either column lets through.
 
 Every stored row carries ``batch_seq``, the sequence of the batch it came from.
 The row of the greater sequence stays whatever order batches are applied in, and
@@ -41,6 +44,7 @@ from pyspark.sql import types as T
 
 from newslens.schemas import ARTICLES_SCHEMA, EVENT_MENTIONS_SCHEMA
 from newslens.session import scratch_path
+from newslens.sources.clustering import curve_place
 
 PARTITIONS = {"month": ["event_year", "event_month"],
               "day": ["event_year", "event_month", "event_day"]}
@@ -60,6 +64,12 @@ SERVING = {
     "articles": (ARTICLES_SCHEMA, "global_event_id", "internet_source"),
 }
 
+# The columns that compacted files are clustered by.
+CLUSTER = {"event_mentions": ["event_country", "event_day"],
+           "articles": ["internet_source", "first_country"]}
+# Rows of a compacted file at most: some 100 MB of articles.
+FILE_ROWS = 2_000_000
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` in order, cast to its types (the serving DDL)."""
@@ -128,6 +138,28 @@ def write_serving(df: DataFrame, path: str, table: str, mode: str = "overwrite",
      .parquet(path))
 
 
+def write_clustered(df: DataFrame, path: str, table: str, by: list[str],
+                    file_rows: int = FILE_ROWS) -> None:
+    """Write stored rows along the curve over ``CLUSTER``'s columns, in each partition.
+
+    ``df`` is read three times: for the curve's axes (two columns), for the bounds of the
+    ranges, and to be written.  Ranges end with the key, so any number of rows of one
+    value is cut over several tasks.
+    """
+    key = SERVING[table][1]
+    rows = conform(with_seq(df), stored_schema(table))
+    order = [*by, "_place", *CLUSTER[table], key]
+    (rows.withColumn("_place", curve_place(rows, CLUSTER[table]))
+     .repartitionByRange(*order)
+     .sortWithinPartitions(*order)
+     .drop("_place")
+     .write.mode("overwrite")
+     .option("maxRecordsPerFile", file_rows)
+     .option("compression", COMPRESSION)
+     .partitionBy(*by)
+     .parquet(path))
+
+
 # --- staging folder -----------------------------------------------------------
 class Staging:
     """``<table>__staging``: ``replace/`` and ``add/`` partitions, and a marker.
@@ -400,11 +432,14 @@ def _partitions(files: list[str], columns: list[str]) -> list[dict[str, int]]:
             for folder in sorted(folders)]
 
 
-def compact_serving(spark: SparkSession, path: str, table: str, min_files: int = 8) -> int:
+def compact_serving(spark: SparkSession, path: str, table: str, min_files: int = 8,
+                    file_rows: int = FILE_ROWS) -> int:
     """Rewrite partitions that hold at least ``min_files`` files (from added batches).
 
     Files are counted over a listing of names, no row is read for it.  Rows are
-    unchanged.  The key index is built anew.  Returns the number of partitions rewritten.
+    unchanged; they come to lie along a curve (``write_clustered``), so ``min_files=1``
+    clusters a whole table.  The key index is built anew.  Returns the number of
+    partitions rewritten.
     """
     staging = Staging(spark, path)
     staging.recover()
@@ -422,7 +457,7 @@ def compact_serving(spark: SparkSession, path: str, table: str, min_files: int =
         return 0
     rows = read_stored(spark, path, table).filter(
         _partition_predicate(targets, columns))
-    write_serving(rows, staging.sub("replace"), table, by=columns)
+    write_clustered(rows, staging.sub("replace"), table, columns, file_rows)
     if staging.exists(keys_path(path)):
         _index_rows(spark, staging.sub("replace"), table, columns, keys_path(path), "append")
     staging.commit(sorted(f for r in targets for f in r.files))
