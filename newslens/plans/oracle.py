@@ -439,6 +439,15 @@ def two_window_articles(splits: dict[int, dict[str, str]]) -> str:
     return _with(*ctes) + _merge_sql(list(splits))
 
 
+def on_two_windows(sql: str, splits: dict[int, dict[str, str]]) -> str:
+    """A query over the articles as they are after the windows of ``two_window_articles``."""
+    one_run = with_article_tables()
+    assert sql.startswith(one_run)
+    merged = two_window_articles(splits)
+    ctes, rows = merged.removesuffix(_merge_sql(list(splits))), _merge_sql(list(splits))
+    return f"{ctes.rstrip()},\nupsert_articles AS (\n{rows})\n{sql.removeprefix(one_run)}"
+
+
 def _merge_sql(batches: list[int]) -> str:
     """Later batch wins per key."""
     parts = []

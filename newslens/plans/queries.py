@@ -2,7 +2,8 @@
 
 Each function takes the serving table as a DataFrame (read it with
 ``newslens.sources.serving.read_serving``, or pass any DataFrame with the
-serving columns) and returns a lazy DataFrame.  ``granularity`` is one of
+serving columns) and returns a lazy DataFrame.  Q1, Q3.2 to Q3.5, Q4.1 and Q4.2 also
+take a rollup that holds their columns (``serving.read_totals``) and sum its counts.  ``granularity`` is one of
 ``year``, ``month``, ``day``; an unknown value raises ``ValueError``.
 
 Ties the reference leaves to chance are broken by a total order so results do
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from newslens.functions import fields as X
 from newslens.operators.period import period_columns, period_desc, top_k_per_group
+from newslens.sources.totals import mean_tone, row_count
 
 ARTICLE_PERIOD_OUTPUT = ["event_themes", "person_list", "first_country", "event_tone"]
 
@@ -40,7 +42,7 @@ def articles_by_date_country_language(event_mentions: DataFrame, year: int, mont
         cond = cond & (F.col("source_language") == language)
     out = (event_mentions.filter(cond)
            .groupBy("event_year", "event_month", "event_day", "event_country", "source_language")
-           .count())
+           .agg(row_count(event_mentions).alias("count")))
     return out if language is not None else ordered_result(out, "source_language")
 
 
@@ -82,8 +84,8 @@ def tone_and_count_by_source(articles: DataFrame, source: str,
     period = period_columns(granularity)
     agg = (articles.filter(F.col("internet_source") == source)
            .groupBy("internet_source", *period)
-           .agg(F.avg("event_tone").alias("average_tone"),
-                F.count("global_event_id").alias("article_count")))
+           .agg(mean_tone(articles).alias("average_tone"),
+                row_count(articles, "global_event_id").alias("article_count")))
     return ordered_result(agg, *period_desc(granularity))
 
 
@@ -97,7 +99,7 @@ def _source_top_k(rows: DataFrame, source: str, granularity: str, dim: str, coun
     """
     period = period_columns(granularity)
     agg = (rows.groupBy("internet_source", *period, dim)
-           .agg(F.avg("event_tone").alias("average_tone"), F.count("*").alias(count_name)))
+           .agg(mean_tone(rows).alias("average_tone"), row_count(rows).alias(count_name)))
     top = top_k_per_group(agg, period, [F.desc_nulls_last(count_name),
                                         F.asc_nulls_last(dim)], k, count_name)
     return ordered_result(top.select("internet_source", *period, dim, "average_tone", count_name),
@@ -121,8 +123,9 @@ def locations_by_source(articles: DataFrame, source: str, granularity: str = "ye
 def persons_by_source(articles: DataFrame, source: str, granularity: str = "year",
                       limit: int = 3) -> DataFrame:
     """Each ``;``-separated name counts once per occurrence (``''`` included)."""
-    df = (articles.filter(F.col("internet_source") == source)
-          .withColumn("person", F.explode(X.split_persons("person_list"))))
+    df = articles.filter(F.col("internet_source") == source)
+    if "person" not in df.columns:
+        df = df.withColumn("person", F.explode(X.split_persons("person_list")))
     return _source_top_k(df, source, granularity, "person", "person_count", limit)
 
 
@@ -147,7 +150,7 @@ def tone_and_count_by_countries(articles: DataFrame, country1: str, country2: st
           .filter((F.get("sorted_country_pair", F.lit(0)) == country1)
                   & (F.get("sorted_country_pair", F.lit(1)) == country2)))
     agg = (df.groupBy("sorted_country_pair", *period)
-           .agg(F.avg("event_tone").alias("average_tone"), F.count("*").alias("event_count")))
+           .agg(mean_tone(df).alias("average_tone"), row_count(df).alias("event_count")))
     out = agg.select(F.get("sorted_country_pair", F.lit(0)).alias("first_country"),
                      F.get("sorted_country_pair", F.lit(1)).alias("second_country"),
                      *period, "average_tone", "event_count")
@@ -197,7 +200,7 @@ def themes_by_countries(articles: DataFrame, country1: str, country2: str,
         keys = ["country_pair"]
         first, second = X.pair_member("country_pair", 0), X.pair_member("country_pair", 1)
     agg = (df.groupBy(*keys, *period, "event_themes")
-           .agg(F.avg("event_tone").alias("average_tone"), F.count("*").alias("theme_count")))
+           .agg(mean_tone(df).alias("average_tone"), row_count(df).alias("theme_count")))
     top = top_k_per_group(agg, period, [F.desc_nulls_last("theme_count"),
                                         F.asc_nulls_last("event_themes"),
                                         F.asc_nulls_last("country_pair")], limit, "theme_count")

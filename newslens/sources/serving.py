@@ -25,7 +25,8 @@ records in order of time, so a batch's keys lie in few ranges, and a lookup read
 these folders and then only the data files that hold one of the keys.  Entries are
 added before a batch is committed and never changed; those whose data file has gone
 are passed over, and ``compact_serving`` leaves them out.  A table without an index
-gets one from a scan of its key column.
+gets one from a scan of its key column.  Counts and tone sums per day and value are
+kept by data file in the same way once ``keep_totals`` was called (``totals.py``).
 
 Writes are staged in a folder of fixed name beside the table: what stays of the
 rewritten files together with new rows beside them, and files to add.  A marker file
@@ -44,6 +45,7 @@ from pyspark.sql import types as T
 
 from newslens.schemas import ARTICLES_SCHEMA, EVENT_MENTIONS_SCHEMA
 from newslens.session import scratch_path
+from newslens.sources import totals
 from newslens.sources.clustering import curve_place
 
 PARTITIONS = {"month": ["event_year", "event_month"],
@@ -123,8 +125,9 @@ def write_serving(df: DataFrame, path: str, table: str, mode: str = "overwrite",
                   by: str | list[str] = "month") -> None:
     _, _, sort_col = SERVING[table]
     columns = PARTITIONS[by] if isinstance(by, str) else by
-    # What is written here is not in the index of an earlier table of that name.
+    # What is written here is not in the index or totals of an earlier table of that name.
     _delete(df.sparkSession, keys_path(path))
+    _delete(df.sparkSession, totals_path(path))
     # REBALANCE (not repartition): AQE splits a hot partition over several writer
     # tasks and merges tiny ones, so one partition with a third of the rows does
     # not end up in one task.
@@ -298,14 +301,20 @@ def _index_schema(table: str) -> T.StructType:
                          T.StructField("bin", T.StringType())])
 
 
+def _with_file(spark: SparkSession, folder: str, table: str, columns: list[str]) -> DataFrame:
+    """The rows of the data files below ``folder``, each with the file's place in the table."""
+    rows = spark.read.schema(stored_schema(table)).parquet(folder)
+    return rows.withColumn("file", F.concat_ws(
+        "/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in columns],
+        F.col("_metadata.file_name")))
+
+
 def _index_rows(spark: SparkSession, folder: str, table: str, columns: list[str],
                 to: str, mode: str) -> None:
     """Write an entry for every row of the data files below ``folder`` (key column alone)."""
     key = SERVING[table][1]
-    rows = spark.read.schema(stored_schema(table)).parquet(folder)
-    place = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string"))
-                               for c in columns], F.col("_metadata.file_name"))
-    (rows.select(key, BATCH_SEQ, place.alias("file"),
+    rows = _with_file(spark, folder, table, columns)
+    (rows.select(key, BATCH_SEQ, "file",
                  key_bin(F.col(key), rows.schema[key].dataType).alias("bin"))
      .hint("rebalance", "bin").sortWithinPartitions("bin", key)
      .write.mode(mode).option("compression", COMPRESSION).partitionBy("bin").parquet(to))
@@ -371,6 +380,64 @@ def rows_of_keys(spark: SparkSession, keys: DataFrame, path: str, table: str) ->
     return read_files(spark, path, table, files).join(found.select(key), key, "left_semi")
 
 
+# --- totals -------------------------------------------------------------------
+def totals_path(path: str) -> str:
+    return f"{path.rstrip('/')}__totals"
+
+
+def _file_names(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """``path`` and ``file`` (the place in the table) of all data files, from a listing."""
+    names = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("recursiveFileLookup", "true").load(path).select("path"))
+    return names.select("path", F.substring_index("path", "/", -len(columns) - 1).alias("file"))
+
+
+def _count_staged(spark: SparkSession, folder: str, path: str, table: str,
+                  columns: list[str]) -> None:
+    """Entries of staged files, if the table keeps totals."""
+    if Staging(spark, path).exists(totals_path(path)):
+        rows = _with_file(spark, folder, table, columns)
+        for rollup in totals.ROLLUPS[table]:
+            totals.write_entries(totals.count_files(rows, table, rollup), table, rollup,
+                                 totals_path(path), "append")
+
+
+def _entries(spark: SparkSession, path: str, table: str, rollup: str) -> DataFrame:
+    """A rollup's entries of the files that are there."""
+    kept = (spark.read.schema(totals.rollup_schema(table, rollup))
+            .parquet(f"{totals_path(path)}/{rollup}"))
+    names = _file_names(spark, path, partitions_of(spark, path)).select("file")
+    return kept.join(names, "file", "left_semi")
+
+
+def _put_totals(spark: SparkSession, path: str, table: str, entries) -> None:
+    """Write ``entries(rollup)`` of all rollups in place of the table's totals."""
+    fresh = f"{totals_path(path)}_new"
+    for rollup in totals.ROLLUPS[table]:
+        totals.write_entries(entries(rollup), table, rollup, fresh, "overwrite")
+    _delete(spark, totals_path(path))
+    # Between the two the table keeps no totals; ``keep_totals`` counts them anew.
+    staging = Staging(spark, path)
+    staging._rename(staging._path(fresh), staging._path(totals_path(path)))
+
+
+def keep_totals(spark: SparkSession, path: str, table: str) -> None:
+    """Count the table's rollups; from now on every upsert keeps them up to date."""
+    Staging(spark, path).recover()
+    rows = _with_file(spark, path, table, partitions_of(spark, path))
+    _put_totals(spark, path, table, lambda rollup: totals.count_files(rows, table, rollup))
+
+
+def read_totals(spark: SparkSession, path: str, table: str, rollup: str) -> DataFrame:
+    """A rollup's columns, ``event_year``, ``event_month``, ``event_day`` and the measures.
+
+    A combination may come in several rows, one per file that holds it.
+    """
+    if not Staging(spark, path).exists(totals_path(path)):
+        raise ValueError(f"{path} keeps no totals; see keep_totals")
+    return _entries(spark, path, table, rollup).drop("file")
+
+
 # --- writes -------------------------------------------------------------------
 def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str,
                    by: str = "month") -> int:
@@ -392,7 +459,8 @@ def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str,
     batch = spark.read.schema(stored_schema(table)).parquet(staging.sub("batch"))
     n = batch.count()
     if not staging.exists(path):
-        # First load: nothing to merge.
+        # First load: nothing to merge, and no totals of these files.
+        _delete(spark, totals_path(path))
         write_serving(batch, staging.sub("add"), table, by=columns)
         if not n:
             write_serving(batch, path, table, by=columns)
@@ -417,9 +485,11 @@ def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str,
         write_serving(rest.unionByName(batch.filter(replaced).select(*rest.columns)),
                       staging.sub("replace"), table, by=columns)
         _index_rows(spark, staging.sub("replace"), table, columns, keys_path(path), "append")
+        _count_staged(spark, staging.sub("replace"), path, table, columns)
         added = batch.filter(~replaced)
     write_serving(added, staging.sub("add"), table, by=columns)
     _index_rows(spark, staging.sub("add"), table, columns, keys_path(path), "append")
+    _count_staged(spark, staging.sub("add"), path, table, columns)
     staging.commit(touched)
     staging.apply()
     return n
@@ -444,13 +514,10 @@ def compact_serving(spark: SparkSession, path: str, table: str, min_files: int =
     staging = Staging(spark, path)
     staging.recover()
     columns = partitions_of(spark, path)
-    names = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-             .option("recursiveFileLookup", "true").load(path).select("path"))
-    depth = len(columns) + 1
     place = [F.regexp_extract("path", f"/{c}=([0-9]+)/", 1).cast("int").alias(c)
              for c in columns]
     # Names of the files that are about to be replaced.
-    targets = (names.select(*place, F.substring_index("path", "/", -depth).alias("file"))
+    targets = (_file_names(spark, path, columns).select(*place, "file")
                .groupBy(*columns).agg(F.collect_list("file").alias("files"))
                .filter(F.size("files") >= min_files).collect())
     if not targets:
@@ -460,7 +527,10 @@ def compact_serving(spark: SparkSession, path: str, table: str, min_files: int =
     write_clustered(rows, staging.sub("replace"), table, columns, file_rows)
     if staging.exists(keys_path(path)):
         _index_rows(spark, staging.sub("replace"), table, columns, keys_path(path), "append")
+    _count_staged(spark, staging.sub("replace"), path, table, columns)
     staging.commit(sorted(f for r in targets for f in r.files))
     staging.apply()
     build_keys(spark, path, table)
+    if staging.exists(totals_path(path)):
+        _put_totals(spark, path, table, lambda rollup: _entries(spark, path, table, rollup))
     return len(targets)
