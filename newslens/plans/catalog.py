@@ -21,7 +21,7 @@ from newslens.operators.period import top_k_per_group
 from newslens.plans import oracle
 from newslens.plans import queries as Q
 from newslens.schemas import EXPORT_SCHEMA, GKG_SCHEMA, MENTIONS_SCHEMA
-from newslens.plans import ingest
+from newslens.plans import ingest, intervals
 from newslens.sources import archives, manifest, serving
 from newslens.sources.fixtures import (HISTORY_SPLITS, LINE_FIXTURES, TWO_WINDOW_SPLITS, TWO_WINDOW_STARTS,
                                        fixture, window_lines, write_archives)
@@ -177,6 +177,9 @@ def _latest_odd(table: str) -> QueryFn:
 MANIFEST_WINDOW = (dt.datetime(2024, 1, 5, 0, 0, 0), dt.datetime(2024, 1, 5, 11, 45, 0),
                    "export.CSV.zip")
 FILES_PER_WINDOW_DAYS = (dt.date(2024, 1, 5), dt.date(2024, 1, 7))
+# First and last start, hours, hours between starts.
+SLIDING_FILES = ("2024-01-04 06:00:00", "2024-01-09 00:00:00", 36, 6)
+SLIDING_MENTIONS = (168, 24)
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -209,6 +212,30 @@ def _files_per_window(spark, sf_dir):
     return _window_text(ingest.files_per_window(_entries(spark, sf_dir), windows))
 
 
+def _sliding(spark, first, last, hours: int, every: int) -> DataFrame:
+    return intervals.sliding_windows(spark, first, last, dt.timedelta(hours=hours),
+                                     dt.timedelta(hours=every))
+
+
+def _files_per_any_window(spark, sf_dir):
+    first, last, *hours = SLIDING_FILES
+    windows = _sliding(spark, dt.datetime.fromisoformat(first), dt.datetime.fromisoformat(last),
+                       *hours)
+    return _window_text(intervals.files_per_any_window(_entries(spark, sf_dir), windows))
+
+
+def _mentions_per_any_window(spark, sf_dir):
+    """All mentions in weeks that start on each day from the first to the last mention."""
+    timed = fixture(spark, sf_dir, "raw_mentions").select(
+        manifest.file_key_to_ts(F.col("MentionTimeDate").cast("string")).alias("t"))
+    lo, hi = timed.agg(F.to_date(F.min("t")), F.to_date(F.max("t"))).first()
+    midnight = dt.time()
+    windows = _sliding(spark, dt.datetime.combine(lo, midnight), dt.datetime.combine(hi, midnight),
+                       *SLIDING_MENTIONS)
+    return _window_text(intervals.counts_in_windows(
+        timed, windows, "t", {"mention_count": F.count("*")}))
+
+
 # --- two windows, upserted one after the other into written tables ---------------
 def _batch(spark, sf_dir, table: str, b: int, export: str = "raw_export") -> DataFrame:
     pred = TWO_WINDOW_SPLITS[b]
@@ -463,6 +490,10 @@ def _registry() -> dict[str, tuple[QueryFn, str | None]]:
     reg["ingest_windows"] = (_ingest_windows, oracle.ingest_windows())
     reg["files_per_window"] = (_files_per_window, oracle.files_per_window(
         *[d.isoformat() for d in FILES_PER_WINDOW_DAYS]))
+    reg["files_per_any_window"] = (_files_per_any_window,
+                                   oracle.files_per_any_window(*SLIDING_FILES))
+    reg["mentions_per_any_window"] = (_mentions_per_any_window,
+                                      oracle.mentions_per_any_window(*SLIDING_MENTIONS))
     reg["two_window_upsert"] = (_two_window("event_mentions"),
                                 oracle.two_window_event_mentions(TWO_WINDOW_SPLITS))
     reg["two_window_upsert_articles"] = (_two_window("articles"),

@@ -390,6 +390,42 @@ LEFT JOIN (SELECT * FROM entries WHERE {_SELECTED}) e
 GROUP BY w.window_start, w.window_end"""
 
 
+def _sliding(first: str, last: str, hours: int, every: int) -> str:
+    return f"""sliding AS (
+  SELECT s AS window_start, s + INTERVAL {hours} HOUR - INTERVAL 1 SECOND AS window_end
+  FROM (SELECT unnest(generate_series({first}, {last}, INTERVAL {every} HOUR)) AS s) g)"""
+
+
+_SLIDING_TEXT = """strftime(w.window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(w.window_end, '%Y-%m-%d %H:%M:%S') AS window_end"""
+
+
+def files_per_any_window(first: str, last: str, hours: int, every: int) -> str:
+    span = _sliding(f"TIMESTAMP {_lit(first)}", f"TIMESTAMP {_lit(last)}", hours, every)
+    return _with(fixture_cte(["raw_manifest"]), _ENTRIES, span) + f"""
+SELECT {_SLIDING_TEXT},
+       count(e.feed) FILTER (WHERE e.feed = 'export') AS export_files,
+       count(e.feed) FILTER (WHERE e.feed = 'mentions') AS mentions_files,
+       count(e.feed) FILTER (WHERE e.feed = 'gkg') AS gkg_files,
+       count(e.url) AS file_count
+FROM sliding w
+LEFT JOIN (SELECT * FROM entries WHERE {_SELECTED}) e
+  ON e.file_ts BETWEEN w.window_start AND w.window_end
+GROUP BY w.window_start, w.window_end"""
+
+
+def mentions_per_any_window(hours: int, every: int) -> str:
+    timed = """timed AS (
+  SELECT TRY_STRPTIME(CAST(MentionTimeDate AS VARCHAR), '%Y%m%d%H%M%S') AS t
+  FROM raw_mentions)"""
+    span = _sliding("(SELECT date_trunc('day', min(t)) FROM timed)",
+                    "(SELECT date_trunc('day', max(t)) FROM timed)", hours, every)
+    return _with(fixture_cte(["raw_mentions"]), timed, span) + f"""
+SELECT {_SLIDING_TEXT}, count(m.t) AS mention_count
+FROM sliding w LEFT JOIN timed m ON m.t BETWEEN w.window_start AND w.window_end
+GROUP BY w.window_start, w.window_end"""
+
+
 # --- two windows upserted one after the other -------------------------------------
 def two_window_event_mentions(splits: dict[int, dict[str, str]],
                               later_export: str = "raw_export") -> str:
