@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newslens.functions import fields as X
+from newslens.operators.skew import join_split
 from newslens.operators.upsert import latest_per_key
 from newslens.schemas import ARTICLES_SCHEMA, EVENT_MENTIONS_SCHEMA
 
@@ -40,14 +41,18 @@ EVENT_MENTIONS_ORDER = [("mention_time_date", "desc"), ("mention_identifier", "a
 ARTICLES_ORDER = [("event_year", "desc"), ("event_month", "desc"), ("event_day", "desc")]
 
 
-def join_events_mentions(export: DataFrame, mentions: DataFrame) -> DataFrame:
+def join_events_mentions(export: DataFrame, mentions: DataFrame,
+                         split_hot: bool = False) -> DataFrame:
     """Inner equi-join on ``GlobalEventID``; one row per mention.
 
     Both sides are projected to the columns used downstream before the join, so
-    the scans read only those columns.
+    the scans read only those columns.  ``split_hot`` cuts events of very many
+    mentions into pieces (``operators.skew``; one more scan of the mentions' key).
     """
     e = export.select(*EXPORT_FIELDS)
     m = mentions.select(*MENTION_FIELDS)
+    if split_hot:
+        return join_split(e, m, "GlobalEventID")
     return e.join(m, on="GlobalEventID", how="inner")
 
 

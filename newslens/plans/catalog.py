@@ -96,9 +96,9 @@ def _on_articles(fn: Callable[[DataFrame], DataFrame]) -> QueryFn:
 
 
 # --- pipeline steps -------------------------------------------------------------
-def _join_events_mentions(spark, sf_dir):
+def _join_events_mentions(spark, sf_dir, split_hot=False):
     return prepare.join_events_mentions(fixture(spark, sf_dir, "raw_export"),
-                                        fixture(spark, sf_dir, "raw_mentions"))
+                                        fixture(spark, sf_dir, "raw_mentions"), split_hot)
 
 
 def _event_mentions(spark, sf_dir):
@@ -404,6 +404,8 @@ def _archive_round_trip(feed: str) -> QueryFn:
 def _registry() -> dict[str, tuple[QueryFn, str | None]]:
     reg: dict[str, tuple[QueryFn, str | None]] = {
         "join_events_mentions": (_join_events_mentions, oracle.join_events_mentions()),
+        "join_events_mentions_split": (partial(_join_events_mentions, split_hot=True),
+                                       oracle.join_events_mentions()),
         "event_date_parts": (_event_date_parts, oracle.event_date_parts()),
         "article_date_parts": (_article_date_parts, oracle.article_date_parts()),
         "source_language": (_source_language, oracle.source_language()),
