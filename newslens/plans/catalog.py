@@ -87,6 +87,17 @@ def _clustered(table: str, fn: Callable[[DataFrame], DataFrame]) -> QueryFn:
     return run
 
 
+def _q42_by_names(pair: tuple[str, str]) -> QueryFn:
+    """Q4.2 by substring, the names looked up in the index of a clustered table."""
+    def run(spark, sf_dir):
+        path = scratch_path(spark, "named-articles")
+        serving.write_serving(serving_articles(spark, sf_dir), path, "articles")
+        serving.keep_names(spark, path, "articles")
+        return Q.themes_by_countries(serving.read_serving(spark, path, "articles"), *pair, "year",
+                                     Q42_K, names=serving.read_names(spark, path))
+    return run
+
+
 def _on_events(fn: Callable[[DataFrame], DataFrame]) -> QueryFn:
     return lambda spark, sf_dir: fn(stored(spark, sf_dir, "event_mentions"))
 
@@ -553,6 +564,9 @@ def _registry() -> dict[str, tuple[QueryFn, str | None]]:
         _on_articles(partial(Q.themes_by_countries, country1=Q42_HYPHEN_PAIR[0],
                              country2=Q42_HYPHEN_PAIR[1], granularity="year", limit=Q42_K)),
         oracle.q42(*Q42_HYPHEN_PAIR, "year", Q42_K))
+    for key, named in (("q42_substring_names", Q42_SUBSTRING_PAIR),
+                       ("q42_hyphen_names", Q42_HYPHEN_PAIR)):
+        reg[key] = (_q42_by_names(named), oracle.q42(*named, "year", Q42_K))
     lo, hi = Q4_PAIR
     for key, (a, b), symmetric in (("q41_swapped", (hi, lo), False),
                                    ("q41_symmetric", (hi, lo), True),

@@ -12,6 +12,9 @@ not depend on partitioning (documented per query).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -159,8 +162,8 @@ def tone_and_count_by_countries(articles: DataFrame, country1: str, country2: st
 
 # --- Q4.2 --------------------------------------------------------------------
 def themes_by_countries(articles: DataFrame, country1: str, country2: str,
-                        granularity: str = "year", limit: int = 3,
-                        exact: bool = False) -> DataFrame:
+                        granularity: str = "year", limit: int = 3, exact: bool = False,
+                        names: Callable[[str], list[str] | None] | None = None) -> DataFrame:
     """Top ``limit`` themes per period over articles whose pair mentions both names.
 
     Default (reference behaviour): the pair is the ``-``-joined ordered names and
@@ -169,6 +172,9 @@ def themes_by_countries(articles: DataFrame, country1: str, country2: str,
     pair on ``-`` (``Guinea-Bissau`` is cut).  ``exact=True`` matches the
     ordered pair exactly and reports the stored names.
     Ties: theme count descending, then theme, then pair, ascending.
+
+    ``names`` (``serving.read_names``) turns a text into the stored names that hold it,
+    so the scan tests for these in place of the substring.
     """
     period = period_columns(granularity)
     if exact:
@@ -192,8 +198,10 @@ def themes_by_countries(articles: DataFrame, country1: str, country2: str,
             # A non-empty name without the separator can only match inside one
             # member, so this implied filter is exact and reaches the scan.
             if name and X.PAIR_SEP not in name:
-                df = df.filter(F.col("first_country").contains(name)
-                               | F.col("second_country").contains(name))
+                found = names(name) if names else None
+                df = df.filter(reduce(Column.__or__, [
+                    F.col(c).contains(name) if found is None else F.col(c).isin(found)
+                    for c in ("first_country", "second_country")]))
         df = (df.withColumn("country_pair", pair)
               .filter(F.col("country_pair").contains(country1)
                       & F.col("country_pair").contains(country2)))

@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 
 from newslens.schemas import ARTICLES_SCHEMA, EVENT_MENTIONS_SCHEMA
 from newslens.session import scratch_path
-from newslens.sources import totals
+from newslens.sources import names, totals
 from newslens.sources.clustering import curve_place
 
 PARTITIONS = {"month": ["event_year", "event_month"],
@@ -69,6 +69,9 @@ SERVING = {
 # The columns that compacted files are clustered by.
 CLUSTER = {"event_mentions": ["event_country", "event_day"],
            "articles": ["internet_source", "first_country"]}
+# The columns of the name index.
+NAMED = {"event_mentions": ["event_country_full_name"],
+         "articles": ["first_country", "second_country"]}
 # Rows of a compacted file at most: some 100 MB of articles.
 FILE_ROWS = 2_000_000
 
@@ -125,9 +128,9 @@ def write_serving(df: DataFrame, path: str, table: str, mode: str = "overwrite",
                   by: str | list[str] = "month") -> None:
     _, _, sort_col = SERVING[table]
     columns = PARTITIONS[by] if isinstance(by, str) else by
-    # What is written here is not in the index or totals of an earlier table of that name.
-    _delete(df.sparkSession, keys_path(path))
-    _delete(df.sparkSession, totals_path(path))
+    # What is written here is not in the indexes or totals of an earlier table of that name.
+    for beside in (keys_path, totals_path, names_path):
+        _delete(df.sparkSession, beside(path))
     # REBALANCE (not repartition): AQE splits a hot partition over several writer
     # tasks and merges tiny ones, so one partition with a third of the rows does
     # not end up in one task.
@@ -394,9 +397,14 @@ def _file_names(spark: SparkSession, path: str, columns: list[str]) -> DataFrame
 
 def _count_staged(spark: SparkSession, folder: str, path: str, table: str,
                   columns: list[str]) -> None:
-    """Entries of staged files, if the table keeps totals."""
-    if Staging(spark, path).exists(totals_path(path)):
-        rows = _with_file(spark, folder, table, columns)
+    """Entries of staged files in the totals and the name index, if the table keeps them."""
+    staging, rows = Staging(spark, path), _with_file(spark, folder, table, columns)
+    if staging.exists(names_path(path)):
+        known = spark.read.schema(names.SCHEMA).parquet(names_path(path))
+        new = names.names_of(rows, NAMED[table]).join(known, "name", "left_anti")
+        if not new.isEmpty():
+            names.write_names(new, names_path(path), "append")
+    if staging.exists(totals_path(path)):
         for rollup in totals.ROLLUPS[table]:
             totals.write_entries(totals.count_files(rows, table, rollup), table, rollup,
                                  totals_path(path), "append")
@@ -438,6 +446,25 @@ def read_totals(spark: SparkSession, path: str, table: str, rollup: str) -> Data
     return _entries(spark, path, table, rollup).drop("file")
 
 
+# --- names --------------------------------------------------------------------
+def names_path(path: str) -> str:
+    return f"{path.rstrip('/')}__names"
+
+
+def keep_names(spark: SparkSession, path: str, table: str) -> None:
+    """Index the table's country names; from now on every upsert adds new ones."""
+    Staging(spark, path).recover()
+    names.write_names(names.names_of(read_stored(spark, path, table), NAMED[table]),
+                      names_path(path), "overwrite")
+
+
+def read_names(spark: SparkSession, path: str):
+    """What ``themes_by_countries`` takes as ``names``: a text's names by the index."""
+    if not Staging(spark, path).exists(names_path(path)):
+        raise ValueError(f"{path} has no name index; see keep_names")
+    return names.finder(spark.read.schema(names.SCHEMA).parquet(names_path(path)))
+
+
 # --- writes -------------------------------------------------------------------
 def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str,
                    by: str = "month") -> int:
@@ -459,8 +486,9 @@ def upsert_serving(spark: SparkSession, batch: DataFrame, path: str, table: str,
     batch = spark.read.schema(stored_schema(table)).parquet(staging.sub("batch"))
     n = batch.count()
     if not staging.exists(path):
-        # First load: nothing to merge, and no totals of these files.
-        _delete(spark, totals_path(path))
+        # First load: nothing to merge, and no totals or names of these files.
+        for beside in (totals_path, names_path):
+            _delete(spark, beside(path))
         write_serving(batch, staging.sub("add"), table, by=columns)
         if not n:
             write_serving(batch, path, table, by=columns)
